@@ -37,10 +37,12 @@ def exact_quantiles(
         F.max("_v").alias("_max"),
         F.percentile_approx("_v", asked, accuracy).alias("_marks"),
     )
+    # In a group smaller than the sketch a margin may fall between two ranks.
+    small = F.col("_n") < accuracy
     brackets = []
     for i, q in enumerate(qs):
-        lo = F.col("_min") if q <= margin else F.col("_marks")[i]
-        hi = F.col("_max") if q >= 1 - margin else F.col("_marks")[len(qs) + i]
+        lo = F.when(small | F.lit(q <= margin), F.col("_min")).otherwise(F.col("_marks")[i])
+        hi = F.when(small | F.lit(q >= 1 - margin), F.col("_max")).otherwise(F.col("_marks")[len(qs) + i])
         rank = (F.col("_n") - 1) * F.lit(q)
         brackets.append(
             F.struct(F.lit(i).alias("i"), lo.alias("lo"), hi.alias("hi"), rank.alias("rank"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -25,11 +26,8 @@ def table_name(path: str) -> str:
 
 def list_csv(spark: SparkSession, directory: str) -> list[str]:
     """Paths of the CSV files in ``directory``, on any file system Spark can read."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(directory)
-    statuses = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
-    paths = [s.getPath().toString() for s in statuses if s.isFile()]
-    return sorted(p for p in paths if p.endswith(SUFFIX))
+    files = spark.read.option("pathGlobFilter", f"*{SUFFIX}").text(directory).inputFiles()
+    return sorted(unquote(f) for f in files)
 
 
 def read_csv(

@@ -8,11 +8,7 @@ from pyspark.sql import functions as F
 from hedonic.functions.geo import PLANAR_SRID
 from hedonic.sources.csv import read_csv
 
-GEOJSON = (
-    "type string, features array<struct<"
-    "properties: map<string, string>, geometry: struct<type: string, coordinates: array<double>>>>"
-)
-GEOJSON_ROW = "properties map<string, string>, geometry struct<type: string, coordinates: array<double>>"
+GEOJSON = "properties map<string, string>, geometry struct<type: string, coordinates: array<double>>"
 
 
 def load_layer(
@@ -26,11 +22,14 @@ def load_layer(
 ) -> DataFrame:
     """A layer as rows with double columns ``x, y`` and a constant ``srid``.
 
-    ``fmt`` is ``parquet``, ``csv``, ``geojsonl`` (one point feature per line,
-    splittable) or ``geojson`` (whole feature collections, one document per file).
+    ``fmt`` is ``parquet``, ``csv`` or ``geojson``, the last with one point
+    feature per line so that files split.
     """
-    if fmt in ("geojson", "geojsonl"):
-        return _features(spark, path, fmt, srid)
+    if fmt == "geojson":
+        point = F.col("geometry.coordinates")
+        return spark.read.schema(GEOJSON).json(path).select(
+            "properties", F.get(point, 0).alias("x"), F.get(point, 1).alias("y"), F.lit(srid).alias("srid")
+        )
     if fmt == "csv":
         rows = read_csv(spark, path, schema)
     else:
@@ -39,13 +38,3 @@ def load_layer(
         {"x": F.col(x_col).cast("double"), "y": F.col(y_col).cast("double"), "srid": F.lit(srid)}
     )
 
-
-def _features(spark: SparkSession, path: str, fmt: str, srid: int) -> DataFrame:
-    if fmt == "geojsonl":
-        rows = spark.read.schema(GEOJSON_ROW).json(path)
-    else:
-        rows = spark.read.schema(GEOJSON).option("multiLine", True).json(path).select(F.inline("features"))
-    point = F.col("geometry.coordinates")
-    return rows.select(
-        "properties", F.get(point, 0).alias("x"), F.get(point, 1).alias("y"), F.lit(srid).alias("srid")
-    )
