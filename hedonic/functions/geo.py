@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,49 +59,62 @@ def sector(quad_segs: int) -> float:
     return math.pi / (2 * quad_segs)
 
 
-def within(dx: Column, dy: Column, radius: float, quad_segs: int | None = None) -> Column:
-    """Is the offset inside the buffer of ``radius``, boundary included?
+def buffer_metric(dx: Column, dy: Column, quad_segs: int | None = None) -> tuple[Column, Callable[[float], float]]:
+    """A measure of an offset, and the bound it has to meet inside the buffer of a radius.
 
     With ``quad_segs`` the buffer is the polygon inscribed in the circle (eight
     sides per quarter is the usual GIS default) rather than the circle itself.
     """
+    d2 = dx * dx + dy * dy
     if quad_segs is None:
-        return dx * dx + dy * dy <= radius * radius
+        return d2, lambda r: float(r) * float(r)
     step = sector(quad_segs)
     phi = F.pmod(F.atan2(dy, dx), F.lit(step)) - step / 2
-    return F.sqrt(dx * dx + dy * dy) * F.cos(phi) <= radius * math.cos(step / 2)
+    return F.sqrt(d2) * F.cos(phi), lambda r: r * math.cos(step / 2)
 
 
-def segment_distance(x: Column, y: Column, ax: Column, ay: Column, bx: Column, by: Column) -> Column:
-    """Distance from a point to the segment a-b."""
-    ux, uy = bx - ax, by - ay
-    length2 = ux * ux + uy * uy
-    along = F.coalesce(F.try_divide((x - ax) * ux + (y - ay) * uy, length2), F.lit(0.0))
-    along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-    return F.hypot(x - (ax + along * ux), y - (ay + along * uy))
+def within(dx: Column, dy: Column, radius: float, quad_segs: int | None = None) -> Column:
+    """Is the offset inside the buffer of ``radius``, boundary included?"""
+    metric, bound = buffer_metric(dx, dy, quad_segs)
+    return metric <= bound(radius)
 
 
-def ring_distance(x: Column, y: Column, ring: Column) -> Column:
-    """Distance from a point to an outline, 0 inside it.
+def ring_sides(ring: Column) -> Column:
+    """Sides ``array<struct<ax,ay,bx,by>>`` of an outline given as ``array<struct<x,y>>``.
 
-    ``ring`` is an ``array<struct<x,y>>`` of corners, closed or not.  A single
-    outer ring only.
+    The outline may repeat its first corner at the end or not.
     """
-    corners = F.size(ring)
-    rotated = F.concat(F.slice(ring, F.lit(2), F.greatest(corners - 1, F.lit(0))), F.slice(ring, 1, 1))
-    sides = F.arrays_zip(ring.alias("a"), rotated.alias("b"))
+    after = F.concat(F.slice(ring, F.lit(2), F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.zip_with(
+        ring,
+        after,
+        lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")),
+    )
+
+
+def side_distance(x: Column, y: Column, side: Column) -> Column:
+    """Distance from a point to one side."""
+    ux, uy = side["bx"] - side["ax"], side["by"] - side["ay"]
+    px, py = x - side["ax"], y - side["ay"]
+    length2 = ux * ux + uy * uy
+    along = F.when(length2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), (px * ux + py * uy) / length2)))
+    along = F.coalesce(along, F.lit(0.0))
+    return F.hypot(px - along * ux, py - along * uy)
 
-    def edge(s: Column):
-        a, b = s["a"], s["b"]
-        return a["x"], a["y"], b["x"], b["y"]
 
-    nearest = F.array_min(F.transform(sides, lambda s: segment_distance(x, y, *edge(s))))
+def sides_distance(x: Column, y: Column, sides: Column) -> Column:
+    """Distance from a point to an outline, 0 inside it.  A single outer ring only."""
+    nearest = F.array_min(F.transform(sides, lambda s: side_distance(x, y, s)))
 
     def crosses(s: Column) -> Column:
-        ax, ay, bx, by = edge(s)
-        straddles = (ay > y) != (by > y)
-        at = ax + F.coalesce(F.try_divide((y - ay) * (bx - ax), by - ay), F.lit(0.0))
+        straddles = (s["ay"] > y) != (s["by"] > y)
+        at = F.when(straddles, s["ax"] + (y - s["ay"]) * (s["bx"] - s["ax"]) / (s["by"] - s["ay"]))
         return straddles & (x < at)
 
     inside = F.size(F.filter(sides, crosses)) % 2 == 1
     return F.when(inside, F.lit(0.0)).otherwise(nearest)
+
+
+def ring_distance(x: Column, y: Column, ring: Column) -> Column:
+    """Distance from a point to the outline ``ring``, 0 inside it."""
+    return sides_distance(x, y, ring_sides(ring))

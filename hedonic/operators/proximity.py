@@ -5,8 +5,8 @@ to distinct locations with multiplicities.  Locations are then grouped in square
 cells, and *cells* are compared with cells: from the bounding boxes of the
 locations they hold, a pair of cells is wholly inside a radius (its counts are
 added as totals), wholly outside (dropped) or undecided.  Undecided pairs holding
-few enough location pairs are tested exactly; larger ones are halved into
-sub-cells and compared again.  A crowded cell is thus refined instead of having
+few enough location pairs are tested exactly; larger ones are cut into sub-cells
+and compared again.  A crowded cell is thus refined instead of having
 all its location pairs listed, and every table joined on cells has one row per
 cell or cell pair.
 """
@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.functions.geo import ring_distance, sector, within
+from hedonic.functions.geo import buffer_metric, ring_sides, sector, sides_distance
 from hedonic.session import cut
 
 # Buffer radii in feet.
@@ -31,21 +31,32 @@ RADII = (1000, 5000, 20000)
 PAIR_BUDGET = 20_000
 # Location pairs per task in the exact test.  Its input is small in bytes and
 # large in work, so its tasks are sized by work.
-TASK_PAIRS = 5_000_000
-# Halvings of the largest radius before pairs are tested whatever their number:
-# cells a few feet wide.
-MAX_LEVELS = 12
+TASK_PAIRS = 2_000_000
+# A cell is cut into 4 x 4, at most so many times that its side is a few feet;
+# pairs still large then are tested whatever their number.
+LEVEL_BITS = 2
+MAX_LEVELS = 6
 # Relative slack between box arithmetic and a test that rounds differently.
 SLACK = 1e-9
 
 
 @dataclass(frozen=True)
 class _Shape:
-    """How a property is located: its identifying columns, box and exact test."""
+    """How a property is located.
+
+    ``keys`` say where a property is and ``ids`` name that place in the
+    aggregates.  ``site`` lists what is stored per place; ``box`` names the columns
+    holding its low and high x and its low and high y.  A point is near when ``metric`` is at most ``bound(r)``;
+    it surely is when all of the box lies within ``sure(r)`` and surely is not
+    when none lies within ``reach(r)``.
+    """
 
     keys: list[str]
-    box: dict[str, Column]
-    near: Callable[[float], Column]
+    ids: list[str]
+    site: dict[str, Column]
+    box: tuple[str, str, str, str]
+    metric: Column
+    bound: Callable[[float], float]
     sure: Callable[[float], float]
     reach: Callable[[float], float]
     widest: Callable[[DataFrame], float]
@@ -53,36 +64,44 @@ class _Shape:
 
 def _point_shape(quad_segs: int | None) -> _Shape:
     x, y = F.col("x"), F.col("y")
-    dx, dy = F.col("px") - x, F.col("py") - y
-    if quad_segs is None:
-        # The box corners bound each offset, and rounding is monotone: no slack.
-        sure = reach = float
-    else:
-        apothem = math.cos(sector(quad_segs) / 2) * (1 - SLACK)
-        sure = lambda r: r * apothem
-        reach = lambda r: r * (1 + SLACK)
+    metric, bound = buffer_metric(F.col("px") - x, F.col("py") - y, quad_segs)
+    # For circles the box corners bound each offset and rounding is monotone, so
+    # no slack is needed.
+    inner = 1.0 if quad_segs is None else math.cos(sector(quad_segs) / 2) * (1 - SLACK)
+    outer = 1.0 if quad_segs is None else 1 + SLACK
     return _Shape(
-        ["x", "y"],
-        {"x0": x, "x1": x, "y0": y, "y1": y},
-        lambda r: within(dx, dy, float(r), quad_segs),
-        sure,
-        reach,
-        lambda sites: 0.0,
+        keys=["x", "y"],
+        ids=["x", "y"],
+        site={"x": x, "y": y},
+        box=("x", "x", "y", "y"),
+        metric=metric,
+        bound=bound,
+        sure=lambda r: r * inner,
+        reach=lambda r: r * outer,
+        widest=lambda sites: 0.0,
     )
 
 
 def _ring_shape() -> _Shape:
     ring = F.col("ring")
-    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     xs = F.transform(ring, lambda p: p["x"])
     ys = F.transform(ring, lambda p: p["y"])
+    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     return _Shape(
-        ["ring"],
-        {"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)},
-        lambda r: ring_distance(F.col("px"), F.col("py"), ring) <= float(r),
-        lambda r: r * (1 - SLACK),
-        lambda r: r * (1 + SLACK),
-        lambda sites: sites.agg(F.max(side)).head()[0] or 0.0,
+        keys=["ring"],
+        ids=["site"],
+        site={
+            # Fixed once the sites are checkpointed.
+            "site": F.monotonically_increasing_id(),
+            "ring": ring, "sides": ring_sides(ring),
+            "x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys),
+        },
+        box=("x0", "x1", "y0", "y1"),
+        metric=sides_distance(F.col("px"), F.col("py"), F.col("sides")),
+        bound=float,
+        sure=lambda r: r * (1 - SLACK),
+        reach=lambda r: r * (1 + SLACK),
+        widest=lambda sites: sites.agg(F.max(side)).head()[0] or 0.0,
     )
 
 
@@ -145,10 +164,12 @@ def _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget, m
     # The only pass over the property rows: everything below reads this table.
     visits = cut(props.groupBy(key, *shape.keys).agg(F.count(F.lit(1)).alias("m")))
     located = visits.where(usable)
-    sites = cut(located.select(*shape.keys).distinct().select(*shape.keys, *[c.alias(n) for n, c in shape.box.items()]))
+    sites = cut(located.select(*shape.keys).distinct().select(*[c.alias(n) for n, c in shape.site.items()]))
     spots = cut(_spots(pois, layers))
 
     found = _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
+    if shape.ids != shape.keys:
+        found = found.join(sites.select(*shape.ids, *shape.keys), shape.ids)
     times = F.col("m") if mode == "rows" else F.lit(1)
     near = located.join(found, shape.keys, "left").select(
         key, *[(F.coalesce(F.col(n), F.lit(0)) * times).alias(n) for n in names.values()]
@@ -172,6 +193,7 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
     # largest radius lie at most one base cell away.
     base = (max(radii) + shape.widest(sites)) * (1 + 1e-6)
 
+    x0, x1, y0, y1 = shape.box
     opens = [f"open{i}" for i in range(len(radii))]
     sures = [f"sure{i}" for i in range(len(radii))]
     tallies = [f"n{j}" for j in range(len(layers))]
@@ -182,7 +204,7 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
     parts = []
     pairs = None
     for level in range(max_levels + 1):
-        size = base / 2**level
+        size = base / 2 ** (LEVEL_BITS * level)
 
         def cell(at: Column, size: float = size) -> Column:
             # Integers, so that a join packs both numbers of a cell into one long.
@@ -190,14 +212,14 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
 
         placed = sites.select(
             "*",
-            cell((F.col("x0") + F.col("x1")) / 2).alias("ax"),
-            cell((F.col("y0") + F.col("y1")) / 2).alias("ay"),
+            cell((F.col(x0) + F.col(x1)) / 2).alias("ax"),
+            cell((F.col(y0) + F.col(y1)) / 2).alias("ay"),
         )
         pinned = spots.select("*", cell(F.col("px")).alias("bx"), cell(F.col("py")).alias("by"))
         a = placed.groupBy("ax", "ay").agg(
             F.count(F.lit(1)).alias("na"),
-            F.min("x0").alias("ax0"), F.max("x1").alias("ax1"),
-            F.min("y0").alias("ay0"), F.max("y1").alias("ay1"),
+            F.min(x0).alias("ax0"), F.max(x1).alias("ax1"),
+            F.min(y0).alias("ay0"), F.max(y1).alias("ay1"),
         )
         b = pinned.groupBy("bx", "by").agg(
             F.count(F.lit(1)).alias("nb"),
@@ -222,11 +244,16 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
             leaf = pairs.where(exact).select("ax", "ay", "bx", "by", *opens)
             by_site = leaf.repartition(tasks, "ax", "ay").join(placed, ["ax", "ay"])
             by_spot = by_site.repartition(tasks, "bx", "by").join(_by_layer(pinned, tallies), ["bx", "by"])
-            tested = by_spot.where(shape.near(max(radii))).groupBy(*shape.keys, "layer")
+            # The box test is cheap and spares most pairs the exact one.
+            gap_x = F.greatest(F.lit(0.0), F.col("px") - F.col(x1), F.col(x0) - F.col("px"))
+            gap_y = F.greatest(F.lit(0.0), F.col("py") - F.col(y1), F.col(y0) - F.col("py"))
+            close = by_spot.where(gap_x * gap_x + gap_y * gap_y <= shape.reach(max(radii)) ** 2)
+            measured = close.select(*shape.ids, *opens, "layer", "n", shape.metric.alias("metric"))
+            tested = measured.groupBy(*shape.ids, "layer")
             parts.append(
                 tested.agg(
                     *[
-                        F.sum(F.when(F.col(o) & shape.near(r), F.col("n")).otherwise(F.lit(0))).alias(c)
+                        F.sum(F.when(F.col(o) & (F.col("metric") <= shape.bound(r)), F.col("n")).otherwise(F.lit(0))).alias(c)
                         for o, r, c in zip(opens, radii, per_radius)
                     ]
                 )
@@ -239,7 +266,7 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
                     for s, c in zip(sures, per_radius)
                 ]
             )
-            parts.append(placed.join(totals, ["ax", "ay"]).select(*shape.keys, "layer", *per_radius))
+            parts.append(placed.join(totals, ["ax", "ay"]).select(*shape.ids, "layer", *per_radius))
         if not load["heavy"]:
             break
         pairs = pairs.where(undecided & ~exact)
@@ -250,8 +277,8 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
     ]
     if not parts:
         empty = sites.where(F.lit(False))
-        parts = [empty.select(*shape.keys, *[F.lit(0).cast("long").alias(c) for c in ("layer", *per_radius)])]
-    return reduce(DataFrame.unionByName, parts).groupBy(*shape.keys).agg(*wide)
+        parts = [empty.select(*shape.ids, *[F.lit(0).cast("long").alias(c) for c in ("layer", *per_radius)])]
+    return reduce(DataFrame.unionByName, parts).groupBy(*shape.ids).agg(*wide)
 
 
 def _by_layer(df: DataFrame, tallies: list[str]) -> DataFrame:
@@ -270,7 +297,9 @@ def _cell_pairs(a: DataFrame, b: DataFrame, parents: DataFrame | None, opens: li
         return a.join(around, ["ax", "ay"]).withColumns({o: F.lit(True) for o in opens})
 
     def children(cells: DataFrame, cx: str, cy: str) -> DataFrame:
-        return cells.withColumn(f"up_{cx}", F.shiftright(cx, 1)).withColumn(f"up_{cy}", F.shiftright(cy, 1))
+        return cells.withColumn(f"up_{cx}", F.shiftright(cx, LEVEL_BITS)).withColumn(
+            f"up_{cy}", F.shiftright(cy, LEVEL_BITS)
+        )
 
     up = parents.select(
         *[F.col(c).alias(f"up_{c}") for c in ("ax", "ay", "bx", "by")], *opens
