@@ -13,6 +13,12 @@ def clean_dates(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("date").cast("timestamp_ntz") for c in cols})
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NULL for NaN in the floating-point columns, so that one kind of missing value is left."""
+    floats = [c for c, t in df.dtypes if t in ("float", "double")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+
+
 def year_of(col: Column | str) -> Column:
     return F.year(col)
 

@@ -5,21 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.operators.lookups import aligned_divide
+from hedonic.operators.lookups import ratio
 from hedonic.operators.quantiles import approx_quantiles, exact_quantiles
 
 # Fixed value: reach of a box-plot whisker in interquartile ranges.
 WHISKER = 1.5
 
 
-def histogram(df: DataFrame, col: str, bins: int, upper: float | None = None) -> DataFrame:
+def histogram(
+    df: DataFrame, col: str, bins: int, upper: float | None = None, weight: str | None = None
+) -> DataFrame:
     """Equal-width bins from the smallest to the largest value.
 
     Each bin takes its left edge, the last one both.  Empty bins are listed.
     ``upper`` first drops values not under it; a constant column is widened by
-    one half to both sides.
+    one half to both sides.  With ``weight`` a row stands for that many values.
     """
-    values = df.select(F.col(col).cast("double").alias("_v"))
+    times = F.lit(1) if weight is None else F.col(weight)
+    values = df.select(F.col(col).cast("double").alias("_v"), times.cast("long").alias("_w"))
     values = values.where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     if upper is not None:
         values = values.where(F.col("_v") < upper)
@@ -31,8 +34,8 @@ def histogram(df: DataFrame, col: str, bins: int, upper: float | None = None) ->
             F.when(flat, hi + 0.5).otherwise(hi).alias("hi"),
         )
     ).scalar()
-    spread = values.select("_v", span.alias("_s"))
-    spread = spread.select("_v", F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
+    spread = values.select("_v", "_w", span.alias("_s"))
+    spread = spread.select("_v", "_w", F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
     width = (F.col("_hi") - F.col("_lo")) / bins
 
     def edge(i: Column) -> Column:
@@ -47,25 +50,31 @@ def histogram(df: DataFrame, col: str, bins: int, upper: float | None = None) ->
         .when((F.col("_v") >= edge(g + 1)) & (g < bins - 1), g + 1)
         .otherwise(g)
     )
-    counts = placed.groupBy(settled.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = placed.groupBy(settled.cast("int").alias("bin")).agg(F.sum("_w").alias("n"))
     frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), span.alias("_s"))
     frame = frame.select("bin", F.col("_s.lo").alias("_lo"), F.col("_s.hi").alias("_hi"))
     frame = frame.select("bin", edge(F.col("bin")).alias("left"), edge(F.col("bin") + 1).alias("right"))
     filled = frame.join(counts, "bin", "left")
-    return filled.select("bin", "left", "right", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    return filled.select("bin", "left", "right", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def ratio_histogram(df: DataFrame, num: str, den: str, bins: int = 400, key: str | None = None) -> DataFrame:
     """Histogram of ``num / den`` over rows with a positive denominator.
 
-    With ``key`` the two columns are aligned by key instead of by row.
+    With ``key`` the two columns are aligned by key instead of by row: every
+    numerator of a key meets every denominator of it.  Equal values of a key are
+    merged before they meet.
     """
     positive = df.where(F.col(den) > 0)
     if key is None:
-        pairs = aligned_divide(positive.withColumn("_key", F.lit(0)), positive, "_key", num, den, mode="rows")
+        pairs = positive.select(ratio(F.col(num), F.col(den)).alias("ratio"), F.lit(1).alias("n"))
     else:
-        pairs = aligned_divide(df, positive, key, num, den, mode="index")
-    return histogram(pairs, "ratio", bins)
+        tops = df.groupBy(key, F.col(num).alias("_num")).agg(F.count(F.lit(1)).alias("_a"))
+        bottoms = positive.groupBy(key, F.col(den).alias("_den")).agg(F.count(F.lit(1)).alias("_b"))
+        pairs = tops.join(bottoms, key).select(
+            ratio(F.col("_num"), F.col("_den")).alias("ratio"), (F.col("_a") * F.col("_b")).alias("n")
+        )
+    return histogram(pairs, "ratio", bins, weight="n")
 
 
 def density_grid(

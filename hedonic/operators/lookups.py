@@ -24,14 +24,16 @@ def left_lookup_chain(df: DataFrame, lookups: list[DataFrame], key: str = "pin")
 
 
 def aligned_divide(
-    a: DataFrame, b: DataFrame, key: str, num: str, den: str, mode: str = "index", out: str = "ratio"
+    a: DataFrame, b: DataFrame, key: str, num: str, den: str, mode: str = "rows", out: str = "ratio"
 ) -> DataFrame:
-    """``a.num / b.den`` aligned on ``key``.
+    """``a.num / b.den`` aligned on ``key``; division by zero gives NULL.
 
-    ``mode="index"`` pairs every row of ``a`` with every row of ``b`` under the
-    same key and keeps unmatched keys of both sides with a NULL ratio.
     ``mode="rows"`` divides inside each row of ``a``, which then holds both
-    columns (``b`` is not read).  Division by zero gives NULL.
+    columns (``b`` is not read).  ``mode="index"`` aligns two tables the way
+    index arithmetic does: every row of ``a`` meets every row of ``b`` under the
+    same key, and unmatched keys of both sides stay with a NULL ratio.  Its
+    result is as large as the product of a key's rows, so prefer ``rows`` where
+    keys repeat.
     """
     if mode == "rows":
         return a.select(key, ratio(F.col(num), F.col(den)).alias(out))

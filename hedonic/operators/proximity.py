@@ -28,10 +28,11 @@ from hedonic.session import cut
 RADII = (1000, 5000, 20000)
 
 # Largest number of location pairs of two cells that are tested one by one.
-PAIR_BUDGET = 20_000
+PAIR_BUDGET = 8_000
 # Location pairs per task in the exact test.  Its input is small in bytes and
 # large in work, so its tasks are sized by work.
 TASK_PAIRS = 2_000_000
+MAX_TASKS = 20_000
 # A cell is cut into 4 x 4, at most so many times that its side is a few feet;
 # pairs still large then are tested whatever their number.
 LEVEL_BITS = 2
@@ -240,7 +241,7 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
             F.count_if(undecided & ~exact).alias("heavy"),
         ).head()
         if load["tests"]:
-            tasks = max(1, math.ceil(load["tests"] / TASK_PAIRS))
+            tasks = min(MAX_TASKS, math.ceil(load["tests"] / TASK_PAIRS))
             leaf = pairs.where(exact).select("ax", "ay", "bx", "by", *opens)
             by_site = leaf.repartition(tasks, "ax", "ay").join(placed, ["ax", "ay"])
             by_spot = by_site.repartition(tasks, "bx", "by").join(_by_layer(pinned, tallies), ["bx", "by"])

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from hedonic.functions.points import parse_point
+from hedonic.functions.scalars import nan_to_null
 from hedonic.sources.tables import write_table
 
 # File naming and text encoding of the assessor extracts.
@@ -39,8 +40,8 @@ def read_csv(
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+        return nan_to_null(reader.option("inferSchema", True).csv(path))
+    return nan_to_null(reader.schema(schema).csv(path))
 
 
 def ingest_csv_dir(
@@ -68,9 +69,10 @@ def ingest_open_data(
     directory: str,
     db: str,
     schemas: Mapping[str, StructType | str] | None = None,
+    name_rule: Callable[[str], str] = table_name,
 ) -> list[str]:
     """Load open-data CSV files, adding ``lat`` and ``long`` where a ``Shape`` column exists.
 
     Tables already present are left alone.
     """
-    return ingest_csv_dir(spark, directory, db, schemas, "UTF-8", mode="ignore", prepare=parse_point)
+    return ingest_csv_dir(spark, directory, db, schemas, "UTF-8", name_rule, "ignore", parse_point)

@@ -214,7 +214,7 @@ FROM sales AS a FULL JOIN (SELECT * FROM sales WHERE appr_tot_val > 0) AS b ON a
 def divide_index(spark, sf):
     sales = view(spark, sf, "sales")
     positive = sales.where(F.col("appr_tot_val") > 0)
-    return aligned_divide(sales, positive, "o_custkey", "sale_price", "appr_tot_val")
+    return aligned_divide(sales, positive, "o_custkey", "sale_price", "appr_tot_val", mode="index")
 
 
 @query(

@@ -154,6 +154,20 @@ def coefficients(spark, sf):
     return ends.select("feature", r6("coefficient"))
 
 
+@query(
+    "coefficient_report_one",
+    """
+WITH c AS (SELECT covar_pop(l_quantity, l_extendedprice) AS c, var_pop(l_quantity) AS v FROM lineitem),
+w AS (SELECT 'l_quantity' AS feature, round(sign(c) * greatest(abs(c) - 100.0, 0.0) / v, 6) AS coefficient FROM c)
+SELECT * FROM w UNION ALL SELECT * FROM w
+""",
+)
+def one_coefficient(spark, sf):
+    lines = load(spark, sf, "lineitem")
+    _, ends = coefficient_report(lines, ["l_quantity"], "l_extendedprice", alpha=100.0, transform=False)
+    return ends.select("feature", r6("coefficient"))
+
+
 @query("ridge_sweep_wide")
 def ridge_wide(spark, sf):
     table, cols = embedded(spark, sf)

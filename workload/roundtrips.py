@@ -1,11 +1,13 @@
 """Writing tables out and reading them back."""
 
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hedonic.session import ensure_checkpoint_dir
-from hedonic.sources.csv import ingest_csv_dir, ingest_open_data
+from hedonic.sources.csv import ingest_csv_dir, ingest_open_data, list_csv
 from hedonic.sources.layers import load_layer
 from hedonic.sources.tables import load_snapshot, materialize, read_table, save_snapshot, write_table
 from workload.common import VIEWS, cte, load, query, view
@@ -24,36 +26,29 @@ def fresh_db(spark) -> str:
     return name
 
 
-@query("csv_round_trip", CUSTOMER_SQL)
-def csv_round_trip(spark, sf):
-    customer = load(spark, sf, "customer")
-    where, db = scratch(spark), fresh_db(spark)
-    noted = customer.withColumn("c_name", F.concat(F.lit('Café, "'), "c_name", F.lit('"')))
-    writer = noted.write.option("header", True).option("escape", '"').option("encoding", "ISO-8859-1")
-    writer.csv(where)
-    # Every part file becomes a table; together they are the source again.
-    schema = customer.schema
-    names = ingest_csv_dir(spark, where, db, name_rule=part_name, schemas=_Always(schema))
-    tables = [read_table(spark, f"{db}.{n}") for n in names]
-    whole = tables[0]
-    for t in tables[1:]:
-        whole = whole.unionByName(t)
-    return whole.withColumn("c_name", F.regexp_extract("c_name", '^Café, "(.*)"$', 1))
-
-
 def part_name(path: str) -> str:
     """Catalog-safe name of a part file."""
     return "t_" + "".join(ch if ch.isalnum() else "_" for ch in path.rsplit("/", 1)[-1].split(".")[0])
 
 
-class _Always:
-    """A mapping giving one schema to every table."""
+def same_schema(spark, where, schema) -> dict:
+    return {part_name(p): schema for p in list_csv(spark, where)}
+
+
+def together(spark, db, names) -> DataFrame:
+    """The tables made from the part files, as one again."""
+    return reduce(DataFrame.unionByName, [read_table(spark, f"{db}.{n}") for n in names])
 
-    def __init__(self, schema):
-        self.schema = schema
 
-    def get(self, name):
-        return self.schema
+@query("csv_round_trip", CUSTOMER_SQL)
+def csv_round_trip(spark, sf):
+    customer = load(spark, sf, "customer")
+    where, db = scratch(spark), fresh_db(spark)
+    noted = customer.withColumn("c_name", F.concat(F.lit('Café, "'), "c_name", F.lit('"')))
+    writer = noted.repartition(3).write.option("header", True).option("escape", '"')
+    writer.option("encoding", "ISO-8859-1").csv(where)
+    names = ingest_csv_dir(spark, where, db, same_schema(spark, where, customer.schema), name_rule=part_name)
+    return together(spark, db, names).withColumn("c_name", F.regexp_extract("c_name", '^Café, "(.*)"$', 1))
 
 
 VIEWS["landmarks"] = (
@@ -76,19 +71,11 @@ SELECT name, Shape, CAST(split_part(substr(Shape, 2, length(Shape) - 2), ', ', 1
 def open_data(spark, sf):
     where, db = scratch(spark), fresh_db(spark)
     rows = view(spark, sf, "landmarks")
-    rows.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{where}/part")
-    names = []
-    for _ in range(2):  # the second load finds the table and leaves it alone
-        names = ingest_csv_dir_named(spark, f"{where}/part", db)
-    return read_table(spark, f"{db}.{names[0]}")
-
-
-def ingest_csv_dir_named(spark, where, db):
-    from hedonic.functions.points import parse_point
-
-    return ingest_csv_dir(
-        spark, where, db, _Always("name string, Shape string"), "UTF-8", part_name, "ignore", parse_point
-    )
+    rows.repartition(3).write.option("header", True).option("escape", '"').csv(where)
+    schemas = same_schema(spark, where, "name string, Shape string")
+    names = ingest_open_data(spark, where, db, schemas, part_name)
+    ingest_open_data(spark, where, db, schemas, part_name)  # finds the tables and leaves them alone
+    return together(spark, db, names)
 
 
 @query("snapshot", "SELECT * FROM orders")
