@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hedonic.operators.lookups import ratio
-from hedonic.operators.quantiles import approx_quantiles, exact_quantiles
+from hedonic.operators.quantiles import approx_quantiles, exact_quantiles, join_groups
 
 # Fixed value: reach of a box-plot whisker in interquartile ranges.
 WHISKER = 1.5
@@ -107,7 +107,7 @@ def box_stats(df: DataFrame, value: str, by: str, approx: bool = False) -> DataF
     low, high = F.col("q1") - reach, F.col("q3") + reach
     inside = F.col("_v").between(low, high)
     return (
-        clean.join(box, "category")
+        join_groups(clean, box, ["category"])
         .groupBy("category", "q1", "median", "q3")
         .agg(
             F.count(F.lit(1)).alias("n"),

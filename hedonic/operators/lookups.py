@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hedonic.operators.skew import join_lookups
+
 
 def attach_location(df: DataFrame, addr: DataFrame, key: str = "pin", limit: int | None = None) -> DataFrame:
     """Inner join of properties to their address rows; ``limit`` caps a trial run."""
-    joined = df.join(addr, key)
+    joined = join_lookups(df, [addr], [key], "inner")
     return joined if limit is None else joined.limit(limit)
 
 
@@ -18,9 +20,7 @@ def left_lookup_chain(df: DataFrame, lookups: list[DataFrame], key: str = "pin")
     Row order and row multiplicity follow SQL: several lookup rows for one key
     repeat the property row.
     """
-    for lookup in lookups:
-        df = df.join(lookup, key, "left")
-    return df
+    return join_lookups(df, lookups, [key], "left")
 
 
 def aligned_divide(

@@ -60,7 +60,7 @@ def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False)
     if approx:
         marks = approx_quantiles(present, "value", ["column"], QUARTILES)
     else:
-        marks = exact_quantiles(present, "value", ["column"], QUARTILES, few_groups=True)
+        marks = exact_quantiles(present, "value", ["column"], QUARTILES)
     return moments.join(marks, "column").select(
         "column", "count", "mean", "std", "min",
         F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max",

@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hedonic.functions.geo import buffer_metric, ring_sides, sector, sides_distance
+from hedonic.operators.skew import join_lookups
 from hedonic.session import cut
 
 # Buffer radii in feet.
@@ -172,7 +173,7 @@ def _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget, m
     if shape.ids != shape.keys:
         found = found.join(sites.select(*shape.ids, *shape.keys), shape.ids)
     times = F.col("m") if mode == "rows" else F.lit(1)
-    near = located.join(found, shape.keys, "left").select(
+    near = join_lookups(located, [found], shape.keys, "left").select(
         key, *[(F.coalesce(F.col(n), F.lit(0)) * times).alias(n) for n in names.values()]
     )
     far = visits.where(F.coalesce(~usable, F.lit(True))).select(

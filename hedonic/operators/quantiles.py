@@ -10,22 +10,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hedonic.operators.skew import is_small, join_lookups
+from hedonic.session import cut
+
 SKETCH_ACCURACY = 10000
 
 
+def join_groups(df: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
+    """Join one row per group to the rows of ``df``.
+
+    Groups are often few and one may be most of the data, so they are stored,
+    counted, and broadcast when few; many groups are looked up with hot ones split.
+    """
+    groups = cut(groups)
+    if is_small(groups):
+        return df.join(F.broadcast(groups), by)
+    return join_lookups(df, [groups], by, "inner")
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,
     by: list[str],
     qs: list[float],
     accuracy: int = SKETCH_ACCURACY,
-    few_groups: bool = False,
 ) -> DataFrame:
     """Linearly interpolated quantiles: one row per group with columns ``q0, q1, ...``.
 
-    NULL and NaN values, and rows with a NULL group, are left out.  ``few_groups``
-    promises that the number of groups has a fixed bound (such as a column list),
-    which allows broadcasting the brackets.
+    NULL and NaN values, and rows with a NULL group, are left out.
     """
     clean = df.select(*by, F.col(value).cast("double").alias("_v"))
     clean = clean.where(F.col("_v").isNotNull() & ~F.isnan("_v")).dropna(subset=by)
@@ -49,7 +61,7 @@ def exact_quantiles(
         )
     sketch = sketch.select(*by, F.array(*brackets).alias("_b"))
 
-    rows = clean.join(F.broadcast(sketch) if few_groups else sketch, by)
+    rows = join_groups(clean, sketch, by)
     rows = rows.select(*by, "_v", F.explode("_b").alias("_b")).where(F.col("_v") <= F.col("_b.hi"))
     inside = F.when(F.col("_v") >= F.col("_b.lo"), F.col("_v"))
     counts = rows.groupBy(*by, F.col("_b.i").alias("_i"), F.col("_b.rank").alias("_rank"), inside.alias("_v")).agg(
@@ -89,4 +101,4 @@ def median_where(df: DataFrame, col: str, cond) -> DataFrame:
     No qualifying row gives an empty result.
     """
     one = df.where(cond).select(F.lit(0).alias("_all"), F.col(col))
-    return exact_quantiles(one, col, ["_all"], [0.5], few_groups=True).select(F.col("q0").alias("median"))
+    return exact_quantiles(one, col, ["_all"], [0.5]).select(F.col("q0").alias("median"))

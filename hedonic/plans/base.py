@@ -11,6 +11,7 @@ from hedonic.operators.latest import latest_per_key
 from hedonic.operators.layers import DEFAULT_LAYERS
 from hedonic.operators.lookups import left_lookup_chain
 from hedonic.operators.proximity import RADII, count_name
+from hedonic.operators.skew import join_lookups
 
 KEYS = ["Major", "Minor"]
 RESIDENTIAL = "R"
@@ -28,6 +29,7 @@ BUILDING_COLUMNS = (
     ("HeatSystem", "heat_system"), ("BrickStone", "brick_stone"), ("SqFtUpperFloor", "sq_ft_upper_floor"),
 )
 SALE_COLUMNS = (("DocumentDate", "sale_date"), ("SalePrice", "sale_price"), ("SaleReason", "sale_reason"))
+SALE_NAMES = tuple(b for _, b in SALE_COLUMNS)
 APPRAISAL_COLUMNS = (("UpdateDate", "appr_date"), ("LandVal", "appr_land_val"), ("ImpsVal", "appr_imprv_val"))
 
 
@@ -45,16 +47,15 @@ def residential_base(parcel: DataFrame, building: DataFrame, sale: DataFrame, ap
 
     One row per combination of the four, as the tables hold them.
     """
-    joined = pick(parcel.where(F.col("PropType") == RESIDENTIAL), KEYS, PARCEL_COLUMNS)
+    homes = pick(parcel.where(F.col("PropType") == RESIDENTIAL), KEYS, PARCEL_COLUMNS)
     newest = latest_per_key(appraisal.select(*KEYS, "UpdateDate", "LandVal", "ImpsVal"), KEYS, "UpdateDate")
-    for table, columns in (
-        (building, BUILDING_COLUMNS),
-        (sale, SALE_COLUMNS),
-        (newest, APPRAISAL_COLUMNS),
-    ):
-        joined = joined.join(pick(table, KEYS, columns), KEYS)
+    buildings = pick(building, KEYS, BUILDING_COLUMNS)
+    values = pick(newest, KEYS, APPRAISAL_COLUMNS)
+    # Sales are the long table; the others are looked up for them.
+    joined = join_lookups(pick(sale, KEYS, SALE_COLUMNS), [homes, buildings, values], KEYS, "inner")
     total = F.col("appr_land_val").cast("long") + F.col("appr_imprv_val").cast("long")
-    return joined.withColumn("appr_tot_val", total)
+    order = [*homes.columns, *buildings.columns[2:], *SALE_NAMES, *values.columns[2:]]
+    return joined.select(*order, total.alias("appr_tot_val"))
 
 
 # Column order of the complete table ahead of the counts.

@@ -35,19 +35,20 @@ class Raw:
 
 def property_table(
     raw: Raw,
-    save: str,
+    database: str = "default",
     specs: Iterable[LayerSpec] = DEFAULT_LAYERS,
     radii: Sequence[float] = RADII,
     mode: str = "rows",
 ) -> DataFrame:
     """Base table, locations and proximity counts, with dates cut to days.
 
-    The located base table feeds both the counts and the final join, so it is
-    saved under the table name ``save`` and read back.
+    The base table and the located base table are each read several times, so
+    they are saved in ``database`` and read back.
     """
     specs = tuple(specs)
     base = residential_base(raw.parcel, raw.building, clean_keys(raw.sale, KEYS), raw.appraisal)
-    located = materialize(attach_location(add_pin(base), raw.addresses), save)
+    base = materialize(add_pin(base), f"{database}.residential")
+    located = materialize(attach_location(base, raw.addresses), f"{database}.located_residential")
     props = located.withColumnsRenamed({"point_x": "x", "point_y": "y"}).select("pin", "x", "y")
     pois = stack_layers(raw.layers.__getitem__, specs)
     names = [spec.name for spec in specs]
@@ -78,7 +79,7 @@ def study(
     forest_depth: int = 30,
 ) -> Study:
     """Run everything; intermediate tables are saved in ``database``."""
-    table = materialize(property_table(raw, f"{database}.located_residential"), f"{database}.complete_residential")
+    table = materialize(property_table(raw, database), f"{database}.complete_residential")
     features = materialize(build_features(table), f"{database}.features")
     cols = [c for c in feature_columns(features) if c != key]
     train, test = split(features, key)

@@ -30,14 +30,14 @@ def raw(spark):
 
 
 def test_property_table(spark, db, raw):
-    table = property_table(raw, f"{db}.located", SPECS)
+    table = property_table(raw, db, SPECS)
     assert len(table.columns) == 62
     assert dict(table.dtypes)["sale_date"] == "timestamp_ntz"
     assert table.count() > 0 and table.where("PropType <> 'R' OR sale_reason = 19").isEmpty()
 
 
 def test_features_hold_no_leaks_and_no_gaps(spark, db, raw):
-    table = property_table(raw, f"{db}.located", SPECS)
+    table = property_table(raw, db, SPECS)
     features = build_features(table)
     assert features.count() == model_rows(table).count() > 0
     cols = feature_columns(features)
@@ -50,7 +50,7 @@ def test_study(spark, db, raw, monkeypatch):
     import hedonic.plans.valuation as valuation
 
     real = valuation.property_table
-    monkeypatch.setattr(valuation, "property_table", lambda raw, save: real(raw, save, SPECS))
+    monkeypatch.setattr(valuation, "property_table", lambda raw, database: real(raw, database, SPECS))
     done = study(spark, raw, db, forest_sizes=(2,), forest_depth=3)
     assert done.ridge.count() == 16 and done.lasso.count() == 6
     assert done.best_ridge.head().rmse > 0 and done.baseline.head().rmse > 0

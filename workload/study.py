@@ -26,7 +26,7 @@ SPECS = tuple(LayerSpec(name, name, "x", "y", PLANAR_SRID) for name in LAYERS)
 def complete_table(spark, sf) -> DataFrame:
     parts = {name: view(spark, sf, name) for name in ASSESSOR}
     addresses = view(spark, sf, "addresses")
-    base = add_pin(residential_base(*parts.values()))
+    base = cut(add_pin(residential_base(*parts.values())))
     located = cut(attach_location(base, addresses.drop("lat", "lon")))
     pois = view(spark, sf, "pois")
     layered = stack_layers(lambda name: pois.where(F.col("layer") == name), SPECS)
