@@ -1,7 +1,7 @@
 """Price regressions and their reports.
 
-Ridge and lasso need the data only through means and covariances.  Those take
-two passes on the executors whatever the number of penalties; a sweep is then
+Ridge and lasso need the data only through means and covariances.  Those take one
+or two passes on the executors whatever the number of penalties; a sweep is then
 arithmetic on one small matrix, sized by the number of features.
 """
 
@@ -11,13 +11,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hedonic.operators.moments import Moments, moments
 from hedonic.operators.profile import extremes
 from hedonic.operators.scale import transform_target
 
@@ -36,34 +35,9 @@ def feature_columns(df: DataFrame, leakage: Sequence[str] = LEAKAGE) -> list[str
     return df.drop(*leakage).columns
 
 
-@dataclass(frozen=True)
-class Moments:
-    """Row count, means and population covariance of some columns, the label last."""
-
-    n: int
-    mean: np.ndarray
-    cov: np.ndarray
-
-
-def moments(df: DataFrame, cols: Sequence[str]) -> Moments:
-    """Moments of ``cols``, computed on the executors; a missing value raises."""
-    assembler = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="error")
-    vectors = assembler.transform(df.select(*cols)).select("_v").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = vectors.select(Summarizer.metrics("count", "mean", "std").summary(F.col("_v")).alias("s")).head()[0]
-        corr = Correlation.corr(vectors, "_v").head()[0].toArray()
-    finally:
-        vectors.unpersist()
-    n = int(stats["count"])
-    std = stats["std"].toArray() * np.sqrt((n - 1) / n)
-    # A constant column has no correlation with anything.
-    cov = np.nan_to_num(corr) * np.outer(std, std)
-    return Moments(n, stats["mean"].toArray(), cov)
-
-
 @dataclass(frozen=True)
 class LinearFit:
-    """Coefficients on the raw feature scale."""
+    """Coefficients on the raw feature scale; moments have the label last."""
 
     coef: np.ndarray
     intercept: float

@@ -1,14 +1,16 @@
 """Scaling by column statistics and projection on principal components.
 
-Statistics enter as one-row scalar subqueries, so no join is involved.
+Statistics enter as one-row scalar subqueries or literals, so no join is involved.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hedonic.operators.moments import moments
+
 
 def standardize(df: DataFrame, cols: list[str]) -> DataFrame:
     """``(x - mean) / sample deviation`` of each column; a constant column turns NULL."""
@@ -44,19 +46,17 @@ def transform_target(df: DataFrame, col: str, stats: Column | None = None, out:
 def pca_features(df: DataFrame, cols: list[str], k: int = 3, prefix: str = "View") -> DataFrame:
     """Add ``<prefix>_1..k``, the centred projections on the first ``k`` components.
 
-    Missing input raises.  A component's sign is free; here its largest loading
-    is made positive.
+    The components are the leading axes of the columns' covariance.  Missing input
+    raises.  A component's sign is free; here its largest loading is made positive.
     """
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="error").transform(df.select(*cols))
-    loadings = PCA(k=k, inputCol="_v", outputCol="_pc").fit(vectors).pc.toArray()
-    means = df.agg(F.struct(*[F.avg(c).alias(f"mean_{i}") for i, c in enumerate(cols)])).scalar()
-    joined = df.withColumn("_s", means)
+    m = moments(df, cols)
+    _, axes = np.linalg.eigh(m.cov)
     parts = {}
     for j in range(k):
-        loading = loadings[:, j]
+        loading = axes[:, -1 - j]
         if loading[abs(loading).argmax()] < 0:
             loading = -loading
         parts[f"{prefix}_{j + 1}"] = sum(
-            ((F.col(c) - F.col(f"_s.mean_{i}")) * float(loading[i]) for i, c in enumerate(cols)), F.lit(0.0)
+            ((F.col(c) - float(m.mean[i])) * float(loading[i]) for i, c in enumerate(cols)), F.lit(0.0)
         )
-    return joined.withColumns(parts).drop("_s")
+    return df.withColumns(parts)

@@ -6,8 +6,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from hedonic.operators.forest import forest_sweep
+from hedonic.operators.moments import _by_matrix, _by_sql, moments
 from hedonic.operators.regress import (
-    best_of, coefficient_report, feature_columns, fit_lasso, fit_ridge, lasso_sweep, model_pipeline, moments,
+    best_of, coefficient_report, feature_columns, fit_lasso, fit_ridge, lasso_sweep, model_pipeline,
     null_rmse, regression_metrics, ridge_sweep,
 )
 
@@ -35,19 +36,21 @@ def scaled(x, by):
     return (x - by.mean(axis=0)) / by.std(axis=0)
 
 
-def test_moments(table, data):
+@pytest.mark.parametrize("compute", [_by_sql, _by_matrix])
+def test_moments(table, data, compute):
     x, y = data
-    m = moments(table, [*COLS, "sale_price"])
+    m = compute(table, [*COLS, "sale_price"])
     both = np.column_stack([x, y])
     assert m.n == 400 and m.mean == pytest.approx(both.mean(axis=0))
     assert m.cov == pytest.approx(np.cov(both.T, ddof=0), rel=1e-9)
 
 
-def test_moments_of_constant_column_and_missing_value(spark):
+@pytest.mark.parametrize("compute", [_by_sql, _by_matrix])
+def test_moments_of_constant_column_and_missing_value(spark, compute):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "k double, v double")
-    assert moments(df, ["k", "v"]).cov == pytest.approx(np.array([[0.0, 0.0], [0.0, 1.0]]))
+    assert compute(df, ["k", "v"]).cov == pytest.approx(np.array([[0.0, 0.0], [0.0, 1.0]]))
     with pytest.raises(Exception):
-        moments(df.withColumn("k", F.lit(None).cast("double")), ["k", "v"])
+        compute(df.withColumn("k", F.lit(None).cast("double")), ["k", "v"])
 
 
 @pytest.mark.parametrize("alpha", [1e-15, 0.1, 10])
