@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -57,3 +58,23 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the reliable checkpoint folder and continue from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as parquet in the shared folder and read it back.
+
+    Like :func:`cut`, but later reads prune columns and know the size.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(*frames: DataFrame) -> None:
+    """Delete the files of settled frames that nothing reads any more."""
+    for df in frames:
+        for file in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file)
+            if path.getName().startswith("table-"):
+                path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
