@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: name -> query over the tables of a directory
@@ -37,3 +37,19 @@ def tasks_for(rows: int, each: int) -> int:
 def unsigned_crc32(text: str):
     """CRC-32 of a text's UTF-8 bytes, a missing text counting as empty."""
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+
+
+def running_before(df: DataFrame, order: str, value: str, name: str, each: int = 4096) -> DataFrame:
+    """``order`` and the sum ``name`` of ``value`` over all smaller ``order`` (a small whole number).
+
+    Sums stretches of ``each`` numbers first, so the one ordered pass over everything sees
+    a row per stretch.
+    """
+    stretch = F.floor(F.col(order) / each).cast("long")
+    rows = df.select(order, value, stretch.alias("_stretch"))
+    sums = rows.groupBy("_stretch").agg(F.sum(value).alias("_sum"))
+    before = Window.orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = sums.select("_stretch", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_ahead"))
+    inside = Window.partitionBy("_stretch").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    local = rows.select(order, "_stretch", F.coalesce(F.sum(value).over(inside), F.lit(0)).alias("_local"))
+    return local.join(ahead, "_stretch").select(order, (F.col("_local") + F.col("_ahead")).alias(name))

@@ -1,6 +1,6 @@
 """Loads every operator module, which register their queries."""
 
-from hedonic.llm import packing
+from hedonic.llm import packing, token_files
 from hedonic.llm.common import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "packing"]
+__all__ = ["QUERIES", "SQL", "packing", "token_files"]
