@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: name -> query over the tables of a directory
@@ -39,6 +39,11 @@ def unsigned_crc32(text: str):
     return F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary"))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def running_before(df: DataFrame, order: str, value: str, name: str, each: int = 4096) -> DataFrame:
     """``order`` and the sum ``name`` of ``value`` over all smaller ``order`` (a small whole number).
 

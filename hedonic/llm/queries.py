@@ -1,6 +1,6 @@
 """Loads every operator module, which register their queries."""
 
-from hedonic.llm import packing, sharding, token_files
+from hedonic.llm import fingerprints, language, licenses, packing, sharding, token_files
 from hedonic.llm.common import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "packing", "sharding", "token_files"]
+__all__ = ["QUERIES", "SQL", "fingerprints", "language", "licenses", "packing", "sharding", "token_files"]

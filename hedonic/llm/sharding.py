@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import query, table, tasks_for, unsigned_crc32
+from hedonic.llm.common import let, query, table, tasks_for, unsigned_crc32
 from hedonic.session import cut, settle
 
 #: Rows of a shard that one task orders at a time.
@@ -40,11 +40,6 @@ def _long(c: Column) -> Column:
     return c.cast("long")
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)``, with ``value`` computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def hypergeometric(good: Column, total: Column, drawn: Column, u: Column) -> Column:
     """How many of ``good`` among ``total`` are in a uniform sample of ``drawn``; ``u`` is uniform in [0, 1).
 
@@ -76,7 +71,7 @@ def hypergeometric(good: Column, total: Column, drawn: Column, u: Column) -> Col
         """Sum of the weights on one side, the mode's weight being 1."""
         start = F.struct(F.lit(1.0).alias("w"), F.lit(0.0).alias("sum"))
         return F.aggregate(
-            walk(steps), start, lambda a, i: _let(a["w"] * ratio(p, i, up), lambda w: F.struct(w.alias("w"), (a["sum"] + w).alias("sum"))),
+            walk(steps), start, lambda a, i: let(a["w"] * ratio(p, i, up), lambda w: F.struct(w.alias("w"), (a["sum"] + w).alias("sum"))),
             lambda a: a["sum"],
         )
 
@@ -88,16 +83,16 @@ def hypergeometric(good: Column, total: Column, drawn: Column, u: Column) -> Col
             k = a["k"] + F.when(a["sum"] + w <= goal, 1.0).otherwise(0.0)
             return F.struct(w.alias("w"), (a["sum"] + w).alias("sum"), k.alias("k"))
 
-        return F.aggregate(walk(steps), start, lambda a, i: _let(a["w"] * ratio(p, i, up), lambda w: step(a, w)), lambda a: a["k"])
+        return F.aggregate(walk(steps), start, lambda a, i: let(a["w"] * ratio(p, i, up), lambda w: step(a, w)), lambda a: a["k"])
 
     def draw(p: Column) -> Column:
         sums = F.struct(total_of(p, p["up"], True).alias("up"), total_of(p, p["down"], False).alias("down"))
-        return _let(sums, lambda s: _let(p["u"] * (1 + s["up"] + s["down"]), lambda goal: F.when(goal < 1, p["m"]).when(
+        return let(sums, lambda s: let(p["u"] * (1 + s["up"] + s["down"]), lambda goal: F.when(goal < 1, p["m"]).when(
             goal < 1 + s["up"], F.least(p["m"] + p["up"], p["m"] + 1 + passed(p, p["up"], goal - 1, True))
         ).otherwise(F.greatest(p["m"] - p["down"], p["m"] - 1 - passed(p, p["down"], goal - 1 - s["up"], False)))))
 
     certain = F.when((n <= 0) | (K <= 0), F.lit(0.0)).when(n >= N, K).when(K >= N, n)
-    return _long(F.coalesce(certain, _let(known, draw)))
+    return _long(F.coalesce(certain, let(known, draw)))
 
 
 def communication_matrix(blocks: DataFrame, shards: int, seed: int = 0) -> DataFrame:
@@ -131,7 +126,7 @@ def _halve(nodes: DataFrame, seed: int) -> DataFrame:
     def shard(a: Column, s: Column) -> Column:
         """One shard's share of what the left half still takes."""
         u = F.pmod(F.xxhash64(F.lit(seed), F.col("node"), F.size(a["got"])), F.lit(1 << 52)) / float(1 << 52)
-        return _let(hypergeometric(s, a["pool"], a["left"], u), lambda k: F.struct(
+        return let(hypergeometric(s, a["pool"], a["left"], u), lambda k: F.struct(
             (a["left"] - k).alias("left"), (a["pool"] - s).alias("pool"), F.concat(a["got"], F.array(k)).alias("got")
         ))
 
