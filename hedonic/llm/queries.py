@@ -1,6 +1,6 @@
 """Loads every operator module, which register their queries."""
 
-from hedonic.llm import decontaminate, extract, fingerprints, language, licenses, packing, sharding, token_files
+from hedonic.llm import decontaminate, extract, fingerprints, language, licenses, ngram_join, packing, sharding, token_files
 from hedonic.llm.common import QUERIES, SQL
 
-__all__ = ["QUERIES", "SQL", "decontaminate", "extract", "fingerprints", "language", "licenses", "packing", "sharding", "token_files"]
+__all__ = ["QUERIES", "SQL", "decontaminate", "extract", "fingerprints", "language", "licenses", "ngram_join", "packing", "sharding", "token_files"]
