@@ -44,6 +44,25 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def rows_near(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
+    """The rows of ``df`` whose ``column`` falls into a hash bucket of some row of ``keys``.
+
+    A cheap sieve before a join on ``column``: it loses no partner, and what it broadcasts
+    has at most ``2 ** bits`` whole numbers, however many keys there are.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
+    marks = keys.select(bucket.alias("_bucket")).distinct()
+    return df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_semi").drop("_bucket")
+
+
+def rows_without(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is in no row of ``keys``; only rows behind the same sieve are shuffled."""
+    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
+    marks = keys.select(bucket.alias("_bucket")).distinct()
+    far = df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_anti").select(df.columns)
+    return far.union(rows_near(df, keys, column, bits).join(keys, column, "left_anti").select(df.columns))
+
+
 def running_before(df: DataFrame, order: str, value: str, name: str, each: int = 4096) -> DataFrame:
     """``order`` and the sum ``name`` of ``value`` over all smaller ``order`` (a small whole number).
 

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import query, table
+from hedonic.llm.common import query, rows_near, table
 from hedonic.llm.components import components
 from hedonic.session import release, settle
 
@@ -260,7 +260,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Leaders only have to be plausible: half the hits, as some of the pair's keys have other leaders.
     star = star.agg(F.count(F.lit(1)).alias("hits"), F.min(wanted).alias("least"), F.min("at").alias("at"))
     star = settle(star.where((F.col("at") < 0) | (2 * F.col("hits") >= 1 + F.floor(F.col("least") / PER_HIT))).select("u", "v"))
-    texts = _texts(rows, heads, star)
+    texts = _texts(rows, star)
     links = settle(_verify(star, texts))
     label = settle(components(links))
 
@@ -282,7 +282,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     )
     rest = met.where((F.col("i") < 0) | ((F.col("hits") >= F.col("hits_needed")) & (F.col("room") >= 0))).select("u", "v")
     rest = settle(rest)
-    more = settle(_verify(rest, _texts(rows, heads, rest)))
+    more = settle(_verify(rest, _texts(rows, rest)))
     both = settle(components(links.union(more)))
 
     named = member.join(both, "node", "left")
@@ -290,10 +290,11 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
-def _texts(rows: DataFrame, heads: DataFrame, pairs: DataFrame) -> DataFrame:
+def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     """Whole texts of the nodes in ``pairs``."""
     ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    found = rows.join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    ids = settle(ids)
+    found = rows_near(rows, ids, "doc_id").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return settle(found.select(F.col("doc_id").alias("node"), "text"))
 
 
