@@ -29,7 +29,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import let, query, table
+from hedonic.llm.common import let, query, rows_near, table
 from hedonic.session import settle
 
 #: Public license notices, as they are to be quoted in files.
@@ -95,7 +95,8 @@ def _windows(rows: DataFrame, key: str, stride: int) -> DataFrame:
     """``key, at, h0, ...``: the windows of ``words`` by their first word (from 0), with their shingles' hashes."""
     n = F.greatest(F.size("words") - (SHINGLE - 1), F.lit(0))
     starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(stride)), lambda i: i < n)
-    cut = F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice("words", i + 1, WINDOW + SHINGLE - 1).alias("words")))
+    size = WINDOW + SHINGLE - 1
+    cut = let(F.col("words"), lambda all_: F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(all_, i + 1, size).alias("words"))))
     spread = rows.select(key, F.explode(cut).alias("w"))
     return spread.select(key, "w.at", *[h.alias(f"h{k}") for k, h in enumerate(signature(F.col("w.words")))])
 
@@ -132,10 +133,12 @@ def license_matches(
     wanted = F.array_distinct(shingles_of(F.col("words"))).alias("wanted")
     texts = listed.select("template", wanted, F.size("words").alias("long"))
     spots = retrieved.join(F.broadcast(texts), "template")
-    spots = spots.withColumnRenamed("doc_id", "_id").join(rows, F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id")
+    near = rows_near(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), retrieved, "doc_id")
+    spots = spots.withColumnRenamed("doc_id", "_id").join(near, F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id")
     first = F.greatest(F.col("at") - F.col("long"), F.lit(0))
-    around = F.slice("words", first + 1, 2 * F.col("long") + WINDOW + SHINGLE)
-    share = let(shingles_of(around), lambda have: F.size(F.array_intersect(F.col("wanted"), have)) / F.size("wanted"))
+    around = F.slice(words_of(F.col("text")), first + 1, 2 * F.col("long") + WINDOW + SHINGLE)
+    held = let(around, lambda words: let(shingles_of(words), lambda have: F.size(F.array_intersect(F.col("wanted"), have))))
+    share = held / F.size("wanted")
     spots = spots.select("doc_id", "template", "at", share.alias("share")).distinct()
     good = spots.where(F.col("share") >= contained)
     return good.groupBy("doc_id", "template").agg(
