@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows that Python sees at a time: texts are long.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # The JVM does not compile methods over this size; Spark then makes shorter ones.
     "spark.sql.codegen.hugeMethodLimit": "8000",
 }
@@ -56,23 +58,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the reliable checkpoint folder and continue from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and read it back.
 
-    Like :func:`cut`, but later reads prune columns and know the size.
+    Cuts the lineage; later reads prune columns and know the size.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # This codec works in the heap; others hold native buffers for every file until a collection.
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+cut = settle
+
+
 def release(*frames: DataFrame) -> None:
     """Delete the files of settled frames that nothing reads any more."""
     for df in frames:
