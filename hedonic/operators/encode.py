@@ -4,17 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bin edges and labels.
 BEDROOM_EDGES = (-0.5, 0.5, 1.5, 2.5, 3.5, 4.5, 5.5, 6.5, 100)
 BEDROOM_LABELS = (0, 1, 2, 3, 4, 5, 6, 7)
-YEAR_EDGES = (1700, 1800, *range(1900, 2021, 10))
-YEAR_LABELS = YEAR_EDGES[:-1]
-
-# A dummy column per category only makes sense for a short list.
-MAX_CATEGORIES = 1000
+YEAR_EDGES = (1700, 1800, 1900, 1910, 1920, 1930, 1940, 1950, 1960, 1970, 1980, 1990, 2000, 2010, 2020)
+YEAR_LABELS = (1700, 1800, 1900, 1910, 1920, 1930, 1940, 1950, 1960, 1970, 1980, 1990, 2000, 2010)
 
 
 def bin_column(df: DataFrame, col: str, edges: Sequence, labels: Sequence, out: str | None = None) -> DataFrame:
@@ -31,12 +30,23 @@ def bin_column(df: DataFrame, col: str, edges: Sequence, labels: Sequence, out:
     return df.withColumn(out or f"bin_{col}", label)
 
 
-def categories(df: DataFrame, col: str, limit: int = MAX_CATEGORIES) -> list:
-    """Sorted distinct values of ``col``; refuses when there are more than ``limit``."""
-    found = df.select(col).where(F.col(col).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(found) > limit:
-        raise ValueError(f"{col} has more than {limit} categories")
-    return sorted(row[0] for row in found)
+def categories(df: DataFrame, col: str) -> list:
+    """Sorted distinct values of ``col``: as many as the columns that dummies of it make."""
+    return sorted(row[0] for row in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+
+
+def dummy_vectors(df: DataFrame, col: str, out: str, drop_first: bool = False) -> DataFrame:
+    """``df`` with one sparse 0/1 vector per row instead of a column per category, for wide lists.
+
+    Categories are in order of their text; a missing value is 0 everywhere.
+    """
+    text = df.withColumn("_text", F.col(col).cast("string"))
+    index = StringIndexer(inputCol="_text", outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep")
+    # Missing values get the last index, which is the one the encoder leaves out.
+    spread = Pipeline(stages=[index, OneHotEncoder(inputCol="_index", outputCol="_all", dropLast=True)]).fit(text)
+    shown = range(drop_first, len(spread.stages[0].labels))
+    slicer = VectorSlicer(inputCol="_all", outputCol=out, indices=list(shown))
+    return slicer.transform(spread.transform(text)).drop("_text", "_index", "_all")
 
 
 def dummies(

@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from hedonic.operators.skew import join_lookups
 
 
-def attach_location(df: DataFrame, addr: DataFrame, key: str = "pin", limit: int | None = None) -> DataFrame:
-    """Inner join of properties to their address rows; ``limit`` caps a trial run."""
-    joined = join_lookups(df, [addr], [key], "inner")
-    return joined if limit is None else joined.limit(limit)
+def attach_location(df: DataFrame, addr: DataFrame, key: str = "pin") -> DataFrame:
+    """Inner join of properties to their address rows."""
+    return join_lookups(df, [addr], [key], "inner")
 
 
 def left_lookup_chain(df: DataFrame, lookups: list[DataFrame], key: str = "pin") -> DataFrame:

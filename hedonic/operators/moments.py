@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
 
 import numpy as np
 from pyspark import StorageLevel
@@ -13,10 +12,6 @@ from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Column pairs up to which one SQL aggregate beats the matrix routines: beyond it
-# the generated code grows too large to compile.
-SQL_PAIRS = 60
-
 
 @dataclass(frozen=True)
 class Moments:
@@ -28,42 +23,38 @@ class Moments:
 
 
 def moments(df: DataFrame, cols: Sequence[str]) -> Moments:
-    """Moments of ``cols``; a missing value raises."""
-    d = len(cols)
-    return _by_sql(df, cols) if d * (d + 1) // 2 <= SQL_PAIRS else _by_matrix(df, cols)
-
+    """Moments of ``cols``; no rows or a missing value raise.
 
-def _by_sql(df: DataFrame, cols: Sequence[str]) -> Moments:
-    """One aggregate with an expression per pair of columns."""
+    The same for every number of columns: sums over assembled vectors, in a tree, so
+    that what meets in one place is features by features.
+    """
     d = len(cols)
     values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)])
-    pairs = list(combinations_with_replacement(range(d), 2))
-    row = values.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(f"v{i}").isNull() | F.isnan(f"v{i}")).alias(f"gap{i}") for i in range(d)],
-        *[F.avg(f"v{i}").alias(f"mean{i}") for i in range(d)],
-        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"cov{i}_{j}") for i, j in pairs],
-    ).head()
-    gaps = [c for i, c in enumerate(cols) if row[f"gap{i}"]]
-    if gaps:
-        raise ValueError(f"missing values in {', '.join(gaps)}")
-    cov = np.empty((d, d))
-    for i, j in pairs:
-        cov[i, j] = cov[j, i] = row[f"cov{i}_{j}"]
-    return Moments(row["n"], np.array([row[f"mean{i}"] for i in range(d)]), cov)
-
-
-def _by_matrix(df: DataFrame, cols: Sequence[str]) -> Moments:
-    """Two passes over assembled vectors, each summed up in a tree."""
-    assembler = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="error")
-    vectors = assembler.transform(df.select(*cols)).select("_v").persist(StorageLevel.MEMORY_AND_DISK)
+    assembler = VectorAssembler(inputCols=values.columns, outputCol="_v", handleInvalid="keep")
+    vectors = assembler.transform(values).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        stats = vectors.select(Summarizer.metrics("count", "mean", "std").summary(F.col("_v")).alias("s")).head()[0]
-        corr = Correlation.corr(vectors, "_v").head()[0].toArray()
+        gaps = vectors.agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count_if(F.col(f"v{i}").isNull() | F.isnan(f"v{i}")).alias(f"gap{i}") for i in range(d)],
+        ).head()
+        missing = [c for i, c in enumerate(cols) if gaps[f"gap{i}"]]
+        if missing:
+            raise ValueError(f"missing values in {', '.join(missing)}")
+        n = gaps["n"]
+        if n == 0:
+            raise ValueError("no rows")
+        stats = vectors.select(Summarizer.metrics("mean", "std").summary(F.col("_v")).alias("s")).head()[0]
+        mean = stats["mean"].toArray()
+        if n == 1:
+            return Moments(n, mean, np.zeros((d, d)))
+        corr = Correlation.corr(vectors, "_v").head()[0].toArray() if d > 1 else np.ones((1, 1))
     finally:
         vectors.unpersist()
-    n = int(stats["count"])
     std = stats["std"].toArray() * np.sqrt((n - 1) / n)
-    # A constant column has no correlation with anything.
-    cov = np.nan_to_num(corr) * np.outer(std, std)
-    return Moments(n, stats["mean"].toArray(), cov)
+    cov = corr * np.outer(std, std)
+    # A constant column varies with nothing; its correlations are undefined.
+    constant = std == 0
+    cov[constant] = cov[:, constant] = 0.0
+    if np.isnan(cov).any():
+        raise ValueError("a covariance is undefined: values too large or infinite")
+    return Moments(n, mean, cov)

@@ -71,7 +71,10 @@ def fit_ridge(m: Moments, alpha: float, scaled: bool = True) -> LinearFit:
 
 
 def fit_lasso(m: Moments, alpha: float, scaled: bool = True, tol: float = 1e-12, rounds: int = 100_000) -> LinearFit:
-    """Minimise ``|y - Xw|^2 / 2n + alpha |w|_1`` by cyclic coordinate descent."""
+    """Minimise ``|y - Xw|^2 / 2n + alpha |w|_1`` by cyclic coordinate descent.
+
+    ``tol`` is relative to the largest effect of a feature; not reaching it within ``rounds`` raises.
+    """
 
     def solve(gram, xy):
         w = np.zeros_like(xy)
@@ -83,9 +86,9 @@ def fit_lasso(m: Moments, alpha: float, scaled: bool = True, tol: float = 1e-12,
                 new = np.sign(pull) * max(abs(pull) - alpha, 0.0) / gram[i, i]
                 moved = max(moved, abs(new - w[i]) * np.sqrt(gram[i, i]))
                 w[i] = new
-            if moved < tol:
-                break
-        return w
+            if moved <= tol * max(1.0, max((abs(w[i]) * np.sqrt(gram[i, i]) for i in live), default=0.0)):
+                return w
+        raise ValueError(f"the lasso did not converge within {rounds} rounds")
 
     return _fit(m, scaled, solve)
 

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hedonic.operators.encode import (
-    BEDROOM_EDGES, BEDROOM_LABELS, YEAR_EDGES, YEAR_LABELS, bin_column, categories, dummies, proximity_features,
+    BEDROOM_EDGES, BEDROOM_LABELS, YEAR_EDGES, YEAR_LABELS, bin_column, categories, dummies, dummy_vectors, proximity_features,
 )
 from hedonic.operators.scale import pca_features, standardize, target_stats, transform_target
 from hedonic.operators.split import split, with_folds
@@ -40,11 +40,19 @@ def test_dummies_drop_the_first_category(spark):
     assert dummies(df.where("id = 1"), "v", "d", values=["A", "B", "C"]).columns[2:] == ["d_B", "d_C"]
 
 
-def test_categories_sort_by_code_point_and_refuse_too_many(spark):
+def test_categories_sort_by_code_point(spark):
     df = spark.createDataFrame([("SeaTac",), ("SNOQUALMIE",), (None,)], "v string")
     assert categories(df, "v") == ["SNOQUALMIE", "SeaTac"]
-    with pytest.raises(ValueError):
-        categories(df, "v", limit=1)
+    assert len(categories(spark.range(1100), "id")) == 1100
+
+
+def test_dummy_vectors_agree_with_dummies(spark):
+    df = spark.createDataFrame([(1, "B"), (2, None), (3, "A"), (4, "C")], "id int, v string")
+    for drop_first in (False, True):
+        wide = dummies(df, "v", "d", drop_first)
+        columns = [c for c in wide.columns if c.startswith("d_")]
+        sparse = dummy_vectors(df, "v", "d", drop_first).orderBy("id").collect()
+        assert [list(map(int, r.d.toArray())) for r in sparse] == [[r[c] for c in columns] for r in wide.orderBy("id").collect()]
 
 
 def test_proximity_features_take_the_last_two(spark):

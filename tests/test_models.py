@@ -6,7 +6,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from hedonic.operators.forest import forest_sweep
-from hedonic.operators.moments import _by_matrix, _by_sql, moments
+from hedonic.operators.moments import moments
 from hedonic.operators.regress import (
     best_of, coefficient_report, feature_columns, fit_lasso, fit_ridge, lasso_sweep, model_pipeline,
     null_rmse, regression_metrics, ridge_sweep,
@@ -36,21 +36,36 @@ def scaled(x, by):
     return (x - by.mean(axis=0)) / by.std(axis=0)
 
 
-@pytest.mark.parametrize("compute", [_by_sql, _by_matrix])
-def test_moments(table, data, compute):
+def test_moments(table, data):
     x, y = data
-    m = compute(table, [*COLS, "sale_price"])
+    m = moments(table, [*COLS, "sale_price"])
     both = np.column_stack([x, y])
     assert m.n == 400 and m.mean == pytest.approx(both.mean(axis=0))
     assert m.cov == pytest.approx(np.cov(both.T, ddof=0), rel=1e-9)
 
 
-@pytest.mark.parametrize("compute", [_by_sql, _by_matrix])
-def test_moments_of_constant_column_and_missing_value(spark, compute):
+def test_moments_of_constant_column_and_missing_value(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 4.0)], "k double, v double")
-    assert compute(df, ["k", "v"]).cov == pytest.approx(np.array([[0.0, 0.0], [0.0, 1.0]]))
-    with pytest.raises(Exception):
-        compute(df.withColumn("k", F.lit(None).cast("double")), ["k", "v"])
+    assert moments(df, ["k", "v"]).cov == pytest.approx(np.array([[0.0, 0.0], [0.0, 1.0]]))
+    with pytest.raises(ValueError, match="missing values in k"):
+        moments(df.withColumn("k", F.lit(None).cast("double")), ["k", "v"])
+    wide = df.select("v", *[F.col("v").alias(f"v{i}") for i in range(30)])
+    with pytest.raises(ValueError, match="missing values in v3"):
+        moments(wide.withColumn("v3", F.lit(float("nan"))), wide.columns)
+
+
+@pytest.mark.parametrize("width", [1, 2, 30])
+def test_moments_of_one_row_and_of_none(spark, width):
+    df = spark.createDataFrame([(3.0,)], "v double").select(*[F.col("v").alias(f"v{i}") for i in range(width)])
+    m = moments(df, df.columns)
+    assert (m.n, m.mean.tolist(), m.cov.tolist()) == (1, [3.0] * width, [[0.0] * width] * width)
+    with pytest.raises(ValueError):
+        moments(df.where("v0 < 0"), df.columns)
+
+
+def test_lasso_that_does_not_converge_raises(table):
+    with pytest.raises(ValueError, match="converge"):
+        fit_lasso(moments(table, [*COLS, "sale_price"]), 1e-6, rounds=1)
 
 
 @pytest.mark.parametrize("alpha", [1e-15, 0.1, 10])
