@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from hedonic.functions.geo import buffer_metric, ring_sides, sector, sides_distance
 from hedonic.operators.skew import join_lookups
-from hedonic.session import cut
+from hedonic.session import settle
 
 # Buffer radii in feet.
 RADII = (1000, 5000, 20000)
@@ -33,11 +33,10 @@ PAIR_BUDGET = 20_000
 # Location pairs per task in the exact test.  Its input is small in bytes and
 # large in work, so its tasks are sized by work.
 TASK_PAIRS = 2_000_000
-MAX_TASKS = 20_000
-# A cell is cut into 4 x 4, at most so many times that its side is a few feet;
-# pairs still large then are tested whatever their number.
+# A cell is cut into 4 x 4.
 LEVEL_BITS = 2
-MAX_LEVELS = 6
+# Cell numbers stay below this, so that sums and shifts of them are exact.
+CELL_RANGE = 1 << 61
 # Relative slack between box arithmetic and a test that rounds differently.
 SLACK = 1e-9
 
@@ -46,15 +45,14 @@ SLACK = 1e-9
 class _Shape:
     """How a property is located.
 
-    ``keys`` say where a property is and ``ids`` name that place in the
-    aggregates.  ``site`` lists what is stored per place; ``box`` names the columns
+    ``keys`` name the place of a property: its coordinates, or two hashes of its
+    outline.  ``site`` lists what else is stored per place; ``box`` names the columns
     holding its low and high x and its low and high y.  A point is near when ``metric`` is at most ``bound(r)``;
     it surely is when all of the box lies within ``sure(r)`` and surely is not
     when none lies within ``reach(r)``.
     """
 
     keys: list[str]
-    ids: list[str]
     site: dict[str, Column]
     box: tuple[str, str, str, str]
     metric: Column
@@ -73,8 +71,7 @@ def _point_shape(quad_segs: int | None) -> _Shape:
     outer = 1.0 if quad_segs is None else 1 + SLACK
     return _Shape(
         keys=["x", "y"],
-        ids=["x", "y"],
-        site={"x": x, "y": y},
+        site={},
         box=("x", "x", "y", "y"),
         metric=metric,
         bound=bound,
@@ -90,12 +87,9 @@ def _ring_shape() -> _Shape:
     ys = F.transform(ring, lambda p: p["y"])
     side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
     return _Shape(
-        keys=["ring"],
-        ids=["site"],
+        keys=["site", "site2"],
         site={
-            # Fixed once the sites are checkpointed.
-            "site": F.monotonically_increasing_id(),
-            "ring": ring, "sides": ring_sides(ring),
+            "sides": ring_sides(ring),
             "x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys),
         },
         box=("x0", "x1", "y0", "y1"),
@@ -120,7 +114,6 @@ def proximity_counts(
     mode: str = "rows",
     quad_segs: int | None = None,
     pair_budget: int = PAIR_BUDGET,
-    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """One row per key with columns ``{layer}_counts{radius}``, 0 where nothing is near.
 
@@ -132,7 +125,7 @@ def proximity_counts(
     """
     shape = _point_shape(quad_segs)
     usable = _usable(["x", "y"])
-    return _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget, max_levels)
+    return _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget)
 
 
 def outline_counts(
@@ -143,40 +136,45 @@ def outline_counts(
     key: str = "pin",
     mode: str = "rows",
     pair_budget: int = PAIR_BUDGET,
-    max_levels: int = MAX_LEVELS,
 ) -> DataFrame:
     """Like :func:`proximity_counts` for properties given by a ``ring`` outline.
 
     ``ring`` is an ``array<struct<x,y>>``; a point inside it has distance 0.
     """
     shape = _ring_shape()
-    usable = F.col("ring").isNotNull() & (F.size("ring") > 0)
-    return _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget, max_levels)
+    ends = F.transform("ring", lambda p: p["x"] + p["y"])
+    usable = F.col("ring").isNotNull() & (F.size("ring") > 0) & F.forall(ends, lambda v: F.abs(v) < float("inf"))
+    # Outlines travel as values; two hashes stand for them in groups and joins.
+    props = props.withColumns({"site": F.xxhash64("ring"), "site2": F.xxhash64("ring", F.lit(1))})
+    return _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget)
 
 
 def _usable(cols: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in cols])
+    """Every coordinate is there and finite."""
+    return reduce(lambda a, b: a & b, [F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False)) for c in cols])
 
 
-def _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget, max_levels) -> DataFrame:
+def _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget) -> DataFrame:
     if mode not in ("rows", "distinct"):
         raise ValueError(f"mode must be 'rows' or 'distinct', not {mode!r}")
     names = {(i, j): count_name(layer, r) for j, layer in enumerate(layers) for i, r in enumerate(radii)}
 
-    # The only pass over the property rows: everything below reads this table.
-    visits = cut(props.groupBy(key, *shape.keys).agg(F.count(F.lit(1)).alias("m")))
-    located = visits.where(usable)
-    sites = cut(located.select(*shape.keys).distinct().select(*[c.alias(n) for n, c in shape.site.items()]))
-    spots = cut(_spots(pois, layers))
-
-    found = _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
-    if shape.ids != shape.keys:
-        found = found.join(sites.select(*shape.ids, *shape.keys), shape.ids)
+    usable = F.coalesce(usable, F.lit(False)).alias("usable")
+    visits = settle(props.select(key, *shape.keys, usable).groupBy(key, *shape.keys, "usable").agg(F.count(F.lit(1)).alias("m")))
+    located = visits.where("usable")
+    if shape.site:
+        whole = props.where(usable).select(*shape.keys, *[c.alias(n) for n, c in shape.site.items()])
+        sites = settle(whole.dropDuplicates(shape.keys))
+    else:
+        sites = settle(located.select(*shape.keys).distinct())
+    spots = settle(_spots(pois, layers))
+
+    found = _descend(sites, spots, layers, radii, shape, names, pair_budget)
     times = F.col("m") if mode == "rows" else F.lit(1)
     near = join_lookups(located, [found], shape.keys, "left").select(
         key, *[(F.coalesce(F.col(n), F.lit(0)) * times).alias(n) for n in names.values()]
     )
-    far = visits.where(F.coalesce(~usable, F.lit(True))).select(
+    far = visits.where("NOT usable").select(
         key, *[F.lit(0).cast("long").alias(n) for n in names.values()]
     )
     return near.unionByName(far).groupBy(key).agg(*[F.sum(n).alias(n) for n in names.values()])
@@ -189,7 +187,7 @@ def _spots(pois: DataFrame, layers: Sequence[str]) -> DataFrame:
     return wanted.groupBy(F.col("x").alias("px"), F.col("y").alias("py")).agg(*per_layer)
 
 
-def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels) -> DataFrame:
+def _descend(sites, spots, layers, radii, shape, names, pair_budget) -> DataFrame:
     """Counts per site, from whole-cell totals and exact tests over all levels."""
     # A site is filed under the middle of its box, so neighbours within the
     # largest radius lie at most one base cell away.
@@ -205,19 +203,23 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
 
     parts = []
     pairs = None
-    for level in range(max_levels + 1):
+    level = 0
+    last = _deepest(sites, spots, shape, base)
+    while True:
         size = base / 2 ** (LEVEL_BITS * level)
 
         def cell(at: Column, size: float = size) -> Column:
-            # Integers, so that a join packs both numbers of a cell into one long.
-            return F.floor(at / size).cast("int")
-
-        placed = sites.select(
-            "*",
-            cell((F.col(x0) + F.col(x1)) / 2).alias("ax"),
-            cell((F.col(y0) + F.col(y1)) / 2).alias("ay"),
-        )
-        pinned = spots.select("*", cell(F.col("px")).alias("bx"), cell(F.col("py")).alias("by"))
+            # Beyond the range all places share a cell and are tested one by one.
+            return F.floor(F.greatest(F.least(at / size, F.lit(float(CELL_RANGE))), F.lit(-float(CELL_RANGE)))).cast("long")
+
+        placed = sites.withColumns({"ax": cell((F.col(x0) + F.col(x1)) / 2), "ay": cell((F.col(y0) + F.col(y1)) / 2)})
+        pinned = spots.withColumns({"bx": cell(F.col("px")), "by": cell(F.col("py"))})
+        if pairs is not None:
+            # Only what lies in crowded cells of the level above goes on, less at every level.
+            placed = placed.join(_above(pairs, "ax", "ay"), _up("ax", "ay"), "left_semi")
+            pinned = pinned.join(_above(pairs, "bx", "by"), _up("bx", "by"), "left_semi")
+            placed, pinned = settle(placed), settle(pinned)
+            sites, spots = placed.drop("ax", "ay"), pinned.drop("bx", "by")
         a = placed.groupBy("ax", "ay").agg(
             F.count(F.lit(1)).alias("na"),
             F.min(x0).alias("ax0"), F.max(x1).alias("ax1"),
@@ -230,39 +232,36 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
             *[F.sum(n).alias(n) for n in tallies],
         )
         pairs = _cell_pairs(a, b, pairs, opens)
-        pairs = cut(_classify(pairs, radii, shape, opens, sures, tallies))
+        pairs = settle(_classify(pairs, radii, shape, opens, sures, tallies))
 
         undecided = reduce(lambda p, q: p | q, map(F.col, opens))
-        heavy = F.col("na") * F.col("nb") > pair_budget
-        exact = undecided if level == max_levels else undecided & ~heavy
+        work = F.col("na").cast("double") * F.col("nb")
+        heavy = work > pair_budget
+        exact = undecided if level == last else undecided & ~heavy
         decided = reduce(lambda p, q: p | q, map(F.col, sures))
         load = pairs.agg(
-            F.sum(F.when(exact, F.col("na").cast("double") * F.col("nb"))).alias("tests"),
+            F.sum(F.when(exact, work)).alias("tests"),
             F.count_if(decided).alias("decided"),
             F.count_if(undecided & ~exact).alias("heavy"),
         ).head()
         if load["tests"]:
-            tasks = min(MAX_TASKS, math.ceil(load["tests"] / TASK_PAIRS))
-            leaf = pairs.where(exact).select("ax", "ay", "bx", "by", *opens)
-            # Crowded cells are seldom leaves: drop their places first, in a join
-            # that adaptive execution may split, so none reach the test below.
-            few_sites = placed.join(leaf.select("ax", "ay"), ["ax", "ay"], "left_semi")
-            few_spots = pinned.join(leaf.select("bx", "by"), ["bx", "by"], "left_semi")
-            by_site = leaf.repartition(tasks, "ax", "ay").join(few_sites, ["ax", "ay"])
-            by_spot = by_site.repartition(tasks, "bx", "by").join(_by_layer(few_spots, tallies), ["bx", "by"])
+            leaf = pairs.where(exact).select("ax", "ay", "bx", "by", "na", "nb", *opens)
+            # The points, four numbers each, go to the cell pairs first; sites, perhaps
+            # with outlines, move once.
+            by_spot = _meet(leaf, pinned, ["bx", "by"], ["ax", "ay"], F.col("nb").cast("double"))
+            tasks = math.ceil(load["tests"] / TASK_PAIRS)
+            by_site = _meet(by_spot.drop("nb"), placed, ["ax", "ay"], ["px", "py"], F.col("na").cast("double"), tasks)
             # The box test is cheap and spares most pairs the exact one.
             gap_x = F.greatest(F.lit(0.0), F.col("px") - F.col(x1), F.col(x0) - F.col("px"))
             gap_y = F.greatest(F.lit(0.0), F.col("py") - F.col(y1), F.col(y0) - F.col("py"))
-            close = by_spot.where(gap_x * gap_x + gap_y * gap_y <= shape.reach(max(radii)) ** 2)
-            measured = close.select(*shape.ids, *opens, "layer", "n", shape.metric.alias("metric"))
-            tested = measured.groupBy(*shape.ids, "layer")
+            close = by_site.where(gap_x * gap_x + gap_y * gap_y <= shape.reach(max(radii)) ** 2)
+            measured = close.select(*shape.keys, *opens, *tallies, shape.metric.alias("metric"))
+            within = [F.col(o) & (F.col("metric") <= shape.bound(r)) for o, r in zip(opens, radii)]
+            near = measured.select(*shape.keys, *tallies, *[w.alias(f"w{i}") for i, w in enumerate(within)])
+            near = near.where(reduce(lambda p, q: p | q, [F.col(f"w{i}") for i in range(len(radii))]))
+            tested = _by_layer(near, tallies).groupBy(*shape.keys, "layer")
             parts.append(
-                tested.agg(
-                    *[
-                        F.sum(F.when(F.col(o) & (F.col("metric") <= shape.bound(r)), F.col("n")).otherwise(F.lit(0))).alias(c)
-                        for o, r, c in zip(opens, radii, per_radius)
-                    ]
-                )
+                tested.agg(*[F.sum(F.when(F.col(f"w{i}"), F.col("n")).otherwise(F.lit(0))).alias(c) for i, c in enumerate(per_radius)])
             )
         if load["decided"]:
             totals = _by_layer(pairs.where(decided), tallies).groupBy("ax", "ay", "layer")
@@ -272,10 +271,11 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
                     for s, c in zip(sures, per_radius)
                 ]
             )
-            parts.append(placed.join(totals, ["ax", "ay"]).select(*shape.ids, "layer", *per_radius))
+            parts.append(placed.join(totals, ["ax", "ay"]).select(*shape.keys, "layer", *per_radius))
         if not load["heavy"]:
             break
         pairs = pairs.where(undecided & ~exact)
+        level += 1
 
     wide = [
         F.sum(F.when(F.col("layer") == j, F.col(f"c{i}")).otherwise(F.lit(0))).alias(name)
@@ -283,8 +283,40 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget, max_levels)
     ]
     if not parts:
         empty = sites.where(F.lit(False))
-        parts = [empty.select(*shape.ids, *[F.lit(0).cast("long").alias(c) for c in ("layer", *per_radius)])]
-    return reduce(DataFrame.unionByName, parts).groupBy(*shape.ids).agg(*wide)
+        parts = [empty.select(*shape.keys, *[F.lit(0).cast("long").alias(c) for c in ("layer", *per_radius)])]
+    return reduce(DataFrame.unionByName, parts).groupBy(*shape.keys).agg(*wide)
+
+
+def _deepest(sites: DataFrame, spots: DataFrame, shape: _Shape, base: float) -> int:
+    """The last level at which cells still tell the farthest coordinates apart."""
+    x0, x1, y0, y1 = shape.box
+    widest = [F.max(F.greatest(*[F.abs(F.col(c)) for c in columns])) for columns in ((x0, x1, y0, y1), ("px", "py"))]
+    far = max(sites.agg(widest[0]).head()[0] or 0.0, spots.agg(widest[1]).head()[0] or 0.0, base)
+    return max(0, int((math.log2(CELL_RANGE) - math.log2(far / base)) // LEVEL_BITS) - 1)
+
+
+def _up(cx: str, cy: str) -> list[Column]:
+    """Condition: a cell lies in a cell of the level above."""
+    return [F.shiftright(cx, LEVEL_BITS) == F.col(f"up_{cx}"), F.shiftright(cy, LEVEL_BITS) == F.col(f"up_{cy}")]
+
+
+def _above(pairs: DataFrame, cx: str, cy: str) -> DataFrame:
+    return pairs.select(F.col(cx).alias(f"up_{cx}"), F.col(cy).alias(f"up_{cy}")).distinct()
+
+
+def _meet(leaf: DataFrame, places: DataFrame, here: list[str], other: list[str], rows: Column, tasks: int | None = None) -> DataFrame:
+    """Join the places of each cell ``here`` to its rows of ``leaf``, each of which makes ``rows`` rows.
+
+    A cell with more work than one task should do is dealt over as many salts as it
+    takes, by what it is paired with; its places are repeated for each.
+    """
+    load = settle(leaf.groupBy(*here).agg(F.ceil(F.sum(rows) / TASK_PAIRS).alias("_salts")))
+    left = leaf.join(load, here).withColumn("_salt", F.pmod(F.xxhash64(*other), F.col("_salts")))
+    right = places.join(load, here).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
+    keys = [*here, "_salt"]
+    if tasks is not None:  # small in bytes, large in work: no key is, so a number of tasks can be set
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+    return left.drop("_salts").join(right.drop("_salts"), keys).drop("_salt")
 
 
 def _by_layer(df: DataFrame, tallies: list[str]) -> DataFrame:

@@ -74,19 +74,33 @@ def cloud(seed, n, centre, spread, grid=None):
     return np.round(xy / grid) * grid if grid else xy
 
 
-@pytest.mark.parametrize("budget, levels", [(10**9, 6), (200, 6), (1, 2), (1, 5)])
+@pytest.mark.parametrize("budget", [10**9, 200, 1])
 @pytest.mark.parametrize("mode", ["rows", "distinct"])
-def test_equals_brute_force_at_every_depth(spark, budget, levels, mode):
+def test_equals_brute_force_at_every_depth(spark, budget, mode):
     # A third of both sides sits in one spot-sized cluster, some places repeat,
     # coordinates go negative and many distances fall exactly on a radius.
     place = np.vstack([cloud(1, 60, 0, 15000, 500), cloud(2, 30, -7000, 40, 20)])
     point = np.vstack([cloud(3, 80, 0, 15000, 500), cloud(4, 40, -7600, 40, 20)])
     props = [(f"k{i % 70}", float(x), float(y)) for i, (x, y) in enumerate(place)] + [("lost", None, 3.0)]
     pois = [("abc"[i % 3], float(x), float(y)) for i, (x, y) in enumerate(point)]
-    got = run(spark, props, pois, ["a", "b"], mode=mode, pair_budget=budget, max_levels=levels)
+    got = run(spark, props, pois, ["a", "b"], mode=mode, pair_budget=budget)
     assert got == brute(props, pois, ["a", "b"], RADII, mode)
 
 
+def test_work_of_one_cell_is_dealt_over_salts(spark, monkeypatch):
+    place, point = cloud(12, 80, 0, 3000, 10), cloud(13, 90, 0, 3000, 10)
+    props = [(str(i), float(x), float(y)) for i, (x, y) in enumerate(place)]
+    pois = [("p", float(x), float(y)) for x, y in point]
+    monkeypatch.setattr(proximity, "TASK_PAIRS", 50)
+    assert run(spark, props, pois, ["p"]) == brute(props, pois, ["p"], RADII, "rows")
+
+
+def test_far_and_infinite_coordinates(spark):
+    props = [("A", 1e15, -1e15), ("B", float("inf"), 0.0), ("C", 3e300, 0.0)]
+    pois = [("p", 1e15, -1e15), ("p", 1e15 + 1, -1e15), ("p", 3e300, 0.0), ("p", float("-inf"), 0.0)]
+    assert run(spark, props, pois, ["p"], (1,)) == [("A", 2), ("B", 0), ("C", 1)]
+
+
 def test_copies_of_one_point_cost_one(spark):
     props = [("A", 10.0, 10.0)] * 300 + [("B", 500.0, 0.0)]
     pois = [("p", 0.0, 0.0)] * 400
