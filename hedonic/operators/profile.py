@@ -47,21 +47,23 @@ def unpivot(df: DataFrame, cols: list[str], as_type: str = "double") -> DataFram
 
 
 def describe(df: DataFrame, cols: list[str] | None = None, approx: bool = False) -> DataFrame:
-    """Count, mean, sample deviation, extremes and quartiles of numeric columns."""
+    """Count, mean, sample deviation, extremes and quartiles of numeric columns, also of wholly missing ones."""
     cols = cols or numeric_columns(df)
-    present = unpivot(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
-    moments = present.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    known = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols]
+    rules = (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp), ("min", F.min), ("max", F.max))
+    one = df.select(*[v.alias(f"v{i}") for i, v in enumerate(known)]).agg(
+        *[rule(f"v{i}").alias(f"{name}{i}") for i in range(len(cols)) for name, rule in rules]
     )
+    lines = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{name}{i}").alias(name) for name, _ in rules]) for i, c in enumerate(cols)
+    ]
+    moments = one.select(F.inline(F.array(*lines)))
+    present = unpivot(df, cols).where(F.col("value").isNotNull() & ~F.isnan("value"))
     if approx:
         marks = approx_quantiles(present, "value", ["column"], QUARTILES)
     else:
         marks = exact_quantiles(present, "value", ["column"], QUARTILES)
-    return moments.join(marks, "column").select(
+    return moments.join(marks, "column", "left").select(
         "column", "count", "mean", "std", "min",
         F.col("q0").alias("q25"), F.col("q1").alias("q50"), F.col("q2").alias("q75"), "max",
     )

@@ -48,6 +48,24 @@ def test_ratio_histogram_by_row_and_key(spark):
     assert sum(r.n for r in ratio_histogram(df, "p", "v", 4, key="k").collect()) == 4
 
 
+def test_brackets_are_narrowed_until_few_values_are_left(spark):
+    """Whatever the size, the last ordered pass sees a fixed number of values per bracket."""
+    rng = np.random.default_rng(3)
+    values = np.concatenate([rng.normal(0, 1, 4000), np.full(3000, 0.25), rng.exponential(50, 3000)])
+    df = spark.createDataFrame([("a", float(v)) for v in values] + [("b", float(v)) for v in values[:7]], "g string, v double")
+    qs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
+    got = {r.g: [r[f"q{i}"] for i in range(len(qs))] for r in exact_quantiles(df, "v", ["g"], qs, 500, final=40).collect()}
+    assert got["a"] == pytest.approx(np.quantile(values, qs).tolist(), rel=1e-12)
+    assert got["b"] == pytest.approx(np.quantile(values[:7], qs).tolist(), rel=1e-12)
+
+
+def test_describe_keeps_a_wholly_missing_column(spark):
+    df = spark.createDataFrame([(1.0, None), (float("nan"), None), (3.0, None)], "a double, b int")
+    got = {r.column: r for r in describe(df).collect()}
+    assert (got["a"]["count"], got["a"].q50) == (2, 2.0)
+    assert got["b"]["count"] == 0 and got["b"].q50 is None and got["b"].mean is None
+
+
 @pytest.mark.parametrize("accuracy", [20, 100, 10000])
 @pytest.mark.parametrize("kind", ["normal", "ties", "huge"])
 def test_exact_quantiles_equal_numpy(spark, accuracy, kind):
