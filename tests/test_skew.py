@@ -36,6 +36,23 @@ def test_two_column_keys(tables):
 
 
 def test_hot_keys(tables):
+    left, one, many = tables
+    assert rows(hot_keys([left, one], ["k"], 50)) == [(0, 315, 1)]
+    assert hot_keys([left, one], ["k"]) is None
+
+
+def test_hot_key_of_a_lookup_and_map_columns(spark, tables):
     left, *_ = tables
-    assert rows(hot_keys(left, ["k"], 50)) == [(None,), (0,)]
-    assert hot_keys(left, ["k"]) is None
+    crowded = spark.range(400).select((F.col("id") % 2 * 7).alias("k"), F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    for how in ("left", "inner"):
+        plain = left.join(crowded, "k", how).withColumn("m", F.col("m")["a"])
+        split = join_lookups(left, [crowded], ["k"], how, rows=50).withColumn("m", F.col("m")["a"])
+        assert rows(split) == rows(plain)
+
+
+def test_equal_rows_are_dealt_to_different_pieces(spark):
+    same = spark.range(300).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    other = spark.createDataFrame([(1, "y")], "k int, w string")
+    split = join_lookups(same, [other], ["k"], rows=50)
+    assert split.count() == 300
+    assert split.distinct().count() == 1
