@@ -33,13 +33,13 @@ SALE_NAMES = tuple(b for _, b in SALE_COLUMNS)
 APPRAISAL_COLUMNS = (("UpdateDate", "appr_date"), ("LandVal", "appr_land_val"), ("ImpsVal", "appr_imprv_val"))
 
 
-def _pairs(columns) -> list[tuple[str, str]]:
+def pairs_of(columns) -> list[tuple[str, str]]:
     return [c if isinstance(c, tuple) else (c, c) for c in columns]
 
 
 def pick(df: DataFrame, keys: Sequence[str], columns) -> DataFrame:
     """Select ``keys`` and ``columns``, applying the renames."""
-    return df.select(*keys, *[F.col(a).alias(b) for a, b in _pairs(columns)])
+    return df.select(*keys, *[F.col(a).alias(b) for a, b in pairs_of(columns)])
 
 
 def residential_base(parcel: DataFrame, building: DataFrame, sale: DataFrame, appraisal: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def complete(
     """
     lookups = [addresses.select("pin", "lat", "lon"), counts]
     wide = left_lookup_chain(located.drop("lat", "lon"), lookups)
-    parcel = [b for _, b in _pairs(PARCEL_COLUMNS)]
-    building = [b for _, b in _pairs(BUILDING_COLUMNS)]
+    parcel = [b for _, b in pairs_of(PARCEL_COLUMNS)]
+    building = [b for _, b in pairs_of(BUILDING_COLUMNS)]
     named = [count_name(layer, r) for layer in layers for r in radii]
     return wide.select(*KEYS, *parcel, *building, *COMPLETE_HEAD, *COMPLETE_TAIL, *named)

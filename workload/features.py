@@ -1,14 +1,15 @@
 """Bins, dummies, proximity features, scaling and components."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hedonic.operators.encode import (
-    BEDROOM_EDGES, BEDROOM_LABELS, YEAR_EDGES, YEAR_LABELS, bin_column, dummies, proximity_features,
+    BEDROOM_EDGES, BEDROOM_LABELS, YEAR_EDGES, YEAR_LABELS, bin_column, dummies, dummy_vectors, proximity_features,
 )
 from hedonic.operators.proximity import proximity_counts
 from hedonic.operators.scale import pca_features, standardize, target_stats, transform_target
 from workload.common import VIEWS, cte, load, query, r6, view
-from workload.spatial import CIRCLE, OFFSETS, count_columns
+from workload.spatial import CIRCLE, LAYERS, OFFSETS, RADII, count_columns
 
 VIEWS["rooms"] = (
     "part",
@@ -59,20 +60,30 @@ def segment_dummies(spark, sf):
     "proximity_features",
     cte("props", "pois")
     + f"""
-SELECT pin, parks_counts5000 AS park_prox_1, parks_counts20000 AS park_prox_2,
-  landmarks_counts5000 AS landmark_prox_1, landmarks_counts20000 AS landmark_prox_2
-FROM (SELECT pin, {count_columns(CIRCLE, ('parks', 'landmarks'))}
+SELECT pin, {", ".join(f"{layer}_counts{r} AS {layer}_prox_{i}" for layer in LAYERS for i, r in ((1, 5000), (2, 20000)))}
+FROM (SELECT pin, {count_columns(CIRCLE)}
       FROM (SELECT a.pin, b.layer, {OFFSETS} FROM props AS a LEFT JOIN pois AS b ON true) GROUP BY pin)
 """,
 )
 def prox(spark, sf):
-    counts = proximity_counts(view(spark, sf, "props"), view(spark, sf, "pois"), ["parks", "landmarks"])
-    groups = {
-        "park_prox": [f"parks_counts{r}" for r in (1000, 5000, 20000)],
-        "landmark_prox": [f"landmarks_counts{r}" for r in (1000, 5000, 20000)],
-    }
-    out = proximity_features(counts, groups)
-    return out.select("pin", "park_prox_1", "park_prox_2", "landmark_prox_1", "landmark_prox_2")
+    counts = proximity_counts(view(spark, sf, "props"), view(spark, sf, "pois"), LAYERS)
+    out = proximity_features(counts, {f"{layer}_prox": [f"{layer}_counts{r}" for r in RADII] for layer in LAYERS})
+    return out.select("pin", *[f"{layer}_prox_{i}" for layer in LAYERS for i in (1, 2)])
+
+
+@query(
+    "dummies_many",
+    """
+SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INT) AS place, count(*) OVER () AS width FROM customer
+""",
+)
+def dummies_many(spark, sf):
+    """A category per customer: sparse vectors, the place of whose single one is shown."""
+    names = load(spark, sf, "customer").select("c_custkey", "c_name")
+    dense = vector_to_array(F.col("v"))
+    place = (F.array_position(dense, 1.0) - 1).cast("int")
+    out = dummy_vectors(names, "c_name", "v")
+    return out.select("c_custkey", place.alias("place"), F.size(dense).cast("long").alias("width"))
 
 
 @query(

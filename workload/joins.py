@@ -6,16 +6,21 @@ from hedonic.functions.keys import add_pin
 from hedonic.operators.latest import latest_per_key
 from hedonic.operators.lookups import aligned_divide, attach_location, left_lookup_chain
 from hedonic.operators.proximity import proximity_counts
-from hedonic.plans.base import residential_base
+from hedonic.operators.skew import join_lookups
+from hedonic.plans.base import (
+    APPRAISAL_COLUMNS, BUILDING_COLUMNS, PARCEL_COLUMNS, RESIDENTIAL, SALE_COLUMNS, pairs_of, residential_base,
+)
 from workload.common import VIEWS, cte, load, query, view
 
-LATEST_SQL = """
-SELECT * FROM {t} AS a WHERE NOT EXISTS (
-  SELECT 1 FROM {t} AS b WHERE b.o_custkey = a.o_custkey AND b.o_orderdate > a.o_orderdate)
-"""
+def latest_sql(t: str, keys: tuple[str, ...], at: str) -> str:
+    """Rows at their key's largest date, and those without a date or a whole key."""
+    names = ", ".join(keys)
+    unknown = " OR ".join(f"{t}.{k} IS NULL" for k in (*keys, at))
+    return f"""SELECT {t}.* FROM {t} LEFT JOIN (SELECT {names}, max({at}) AS top FROM {t} GROUP BY {names}) AS tops
+  USING ({names}) WHERE {at} = top OR {unknown}"""
 
 
-@query("latest_per_key", LATEST_SQL.format(t="orders"))
+@query("latest_per_key", latest_sql("orders", ("o_custkey",), "o_orderdate"))
 def latest(spark, sf):
     return latest_per_key(load(spark, sf, "orders"), ["o_custkey"], "o_orderdate")
 
@@ -30,7 +35,7 @@ VIEWS["gappy_orders"] = (
 )
 
 
-@query("latest_per_key_nulls", cte("gappy_orders") + LATEST_SQL.format(t="gappy_orders"))
+@query("latest_per_key_nulls", cte("gappy_orders") + "\n" + latest_sql("gappy_orders", ("o_custkey",), "o_orderdate"))
 def latest_nulls(spark, sf):
     return latest_per_key(view(spark, sf, "gappy_orders"), ["o_custkey"], "o_orderdate")
 
@@ -117,26 +122,21 @@ VIEWS["addresses"] = (
 )
 
 ASSESSOR = ("parcel", "building", "sale", "appraisal")
-BASE_SQL = """newest AS (
-  SELECT * FROM appraisal AS a WHERE NOT EXISTS (
-    SELECT 1 FROM appraisal AS b
-    WHERE b.Major = a.Major AND b.Minor = a.Minor AND b.UpdateDate > a.UpdateDate)),
-base AS (
-  SELECT p.Major, p.Minor, p.PropType, p.Area, p.DistrictName, p.SqFtLot AS ParcSqFtLot, p.CurrentZoning,
-    p.Topography, p.StreetSurface, p.InadequateParking, p.PcntUnusable, p.MtRainier, p.Olympics, p.Cascades,
-    p.SeattleSkyline, p.PugetSound, p.LakeWashington, p.LakeSammamish, p.LotDepthFactor, p.TrafficNoise,
-    p.AirportNoise, p.PowerLines, p.HistoricSite, p.SteepSlopeHazard, p.WaterProblems,
-    b.SqFtTotLiving, b.Stories AS no_stories, b.BathFullCount AS bath_count, b.Bedrooms AS bedroom_count,
-    b.YrBuilt AS year_built, b.YrRenovated AS year_renovated, b.HeatSystem AS heat_system,
-    b.BrickStone AS brick_stone, b.SqFtUpperFloor AS sq_ft_upper_floor,
-    s.DocumentDate AS sale_date, s.SalePrice AS sale_price, s.SaleReason AS sale_reason,
-    n.UpdateDate AS appr_date, n.LandVal AS appr_land_val, n.ImpsVal AS appr_imprv_val,
-    n.LandVal + n.ImpsVal AS appr_tot_val
-  FROM parcel AS p
-  JOIN building AS b ON b.Major = p.Major AND b.Minor = p.Minor
-  JOIN sale AS s ON s.Major = p.Major AND s.Minor = p.Minor
-  JOIN newest AS n ON n.Major = p.Major AND n.Minor = p.Minor
-  WHERE p.PropType = 'R')"""
+
+
+def picked(table: str, columns) -> list[str]:
+    """The columns of a source table under their names in the base table."""
+    return [f"{table}.{a} AS {b}" for a, b in pairs_of(columns)]
+
+
+BASE_LIST = [
+    "Major", "Minor", *picked("parcel", PARCEL_COLUMNS), *picked("building", BUILDING_COLUMNS),
+    *picked("sale", SALE_COLUMNS), *picked("newest", APPRAISAL_COLUMNS), "newest.LandVal + newest.ImpsVal AS appr_tot_val",
+]
+BASE_SQL = f"""newest AS ({latest_sql('appraisal', ('Major', 'Minor'), 'UpdateDate')}),
+base AS (SELECT {', '.join(BASE_LIST)}
+  FROM newest JOIN sale USING (Major, Minor) JOIN parcel USING (Major, Minor) JOIN building USING (Major, Minor)
+  WHERE parcel.PropType IN ('{RESIDENTIAL}'))"""
 
 
 @query("residential_base", cte(*ASSESSOR) + ",\n" + BASE_SQL + "\nSELECT * FROM base")
@@ -202,6 +202,35 @@ def chain(spark, sf):
     return left_lookup_chain(props, [orders, part, supplier], "key")
 
 
+# A third of the lines under one key, and a lookup with a crowded key; "hot" is set low enough for both to be cut.
+VIEWS["hot_lines"] = ("lineitem", ("CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE l_suppkey END AS key", "l_quantity"))
+VIEWS["hot_parts"] = ("part", ("CASE WHEN p_partkey % 4 = 0 THEN 2 ELSE p_partkey END AS key", "p_name", "p_size"))
+
+
+@query(
+    "lookup_chain_hot",
+    cte("hot_lines") + """
+SELECT key, l_quantity, s_name, upper(s_phone) AS phone FROM hot_lines LEFT JOIN (SELECT s_suppkey AS key, s_name, s_name AS s_phone FROM supplier) USING (key)
+""",
+)
+def chain_hot(spark, sf):
+    lines = view(spark, sf, "hot_lines").withColumn("carried", F.create_map(F.lit("q"), "l_quantity"))
+    names = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), "s_name")
+    out = join_lookups(lines, [names], ["key"], rows=500)
+    return out.select("key", F.col("carried")["q"].alias("l_quantity"), "s_name", F.upper("s_name").alias("phone"))
+
+
+@query(
+    "lookup_chain_crowded",
+    cte("hot_parts") + """
+SELECT s_suppkey AS key, s_name, p_name, p_size FROM supplier LEFT JOIN hot_parts ON hot_parts.key = s_suppkey
+""",
+)
+def chain_crowded(spark, sf):
+    names = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("key"), "s_name")
+    return join_lookups(names, [view(spark, sf, "hot_parts")], ["key"], rows=20)
+
+
 @query(
     "aligned_divide_index",
     cte("sales")
@@ -239,9 +268,7 @@ def divide_rows(spark, sf):
         FROM props AS a LEFT JOIN (SELECT * FROM pois WHERE layer = 'parks') AS b ON true) AS p GROUP BY p.pin)
 SELECT c_custkey, o_orderkey, o_orderdate, parks_counts1000, parks_counts5000, parks_counts20000
 FROM customer
-JOIN (SELECT * FROM orders AS a WHERE NOT EXISTS (
-        SELECT 1 FROM orders AS b WHERE b.o_custkey = a.o_custkey AND b.o_orderdate > a.o_orderdate)) AS l
-  ON l.o_custkey = c_custkey
+JOIN (""" + latest_sql("orders", ("o_custkey",), "o_orderdate") + """) AS l ON l.o_custkey = c_custkey
 LEFT JOIN near ON near.pin = CAST(c_custkey AS STRING)
 WHERE c_mktsegment = 'BUILDING'
 """,
@@ -251,6 +278,7 @@ def slice_(spark, sf):
     newest = latest_per_key(
         load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), ["o_custkey"], "o_orderdate"
     ).withColumnRenamed("o_custkey", "c_custkey")
-    counts = proximity_counts(view(spark, sf, "props"), view(spark, sf, "pois"), ["parks"])
+    wanted = view(spark, sf, "props").join(segment.select(F.col("c_custkey").cast("string").alias("pin")), "pin", "left_semi")
+    counts = proximity_counts(wanted, view(spark, sf, "pois"), ["parks"])
     rows = segment.join(newest, "c_custkey").withColumn("pin", F.col("c_custkey").cast("string"))
     return left_lookup_chain(rows, [counts]).drop("pin")

@@ -139,8 +139,8 @@ def best(spark, sf):
 
 
 def embedded(spark, sf):
-    """Embedding coordinates as features of the label."""
-    dims = 16
+    """All embedding coordinates as features of the label."""
+    dims = 64
     return load(spark, sf, "embeddings").select(
         "vec_id", *[F.get("embedding", i).cast("double").alias(f"e{i}") for i in range(dims)],
         F.col("label").cast("double").alias("sale_price"),
@@ -154,6 +154,24 @@ def coefficients(spark, sf):
     return ends.select("feature", r6("coefficient"))
 
 
+@query("coefficient_counts")
+def coefficient_counts(spark, sf):
+    table, cols = embedded(spark, sf)
+    return coefficient_report(table, cols)[0]
+
+
+@query(
+    "coefficient_counts_one",
+    """
+SELECT CAST(abs(c) > 100.0 AS BIGINT) AS picked, CAST(abs(c) <= 100.0 AS BIGINT) AS eliminated
+FROM (SELECT covar_pop(l_quantity, l_extendedprice) AS c FROM lineitem)
+""",
+)
+def one_count(spark, sf):
+    counts, _ = coefficient_report(load(spark, sf, "lineitem"), ["l_quantity"], "l_extendedprice", alpha=100.0, transform=False)
+    return counts
+
+
 @query(
     "coefficient_report_one",
     """
@@ -185,4 +203,4 @@ def lasso_wide(spark, sf):
 @query("forest_sweep")
 def forest(spark, sf):
     table, cols = embedded(spark, sf)
-    return forest_sweep(table, cols[:4], "vec_id", sizes=(5, 10), max_depth=4, max_bins=32)
+    return forest_sweep(table, cols, "vec_id", sizes=(10, 20), max_depth=6)

@@ -101,11 +101,11 @@ def write_modes(spark, sf):
     return read_table(spark, f"{db}.supplier")
 
 
-@query("materialize", "SELECT n_nationkey, n_name FROM nation WHERE n_regionkey > 1")
+@query("materialize", "SELECT n_nationkey, n_name FROM nation")
 def rebuilt(spark, sf):
     db, nation = fresh_db(spark), load(spark, sf, "nation")
     materialize(nation.select("n_nationkey"), f"{db}.nation")
-    return materialize(nation.where("n_regionkey > 1").select("n_nationkey", "n_name"), f"{db}.nation")
+    return materialize(nation.select("n_nationkey", "n_name"), f"{db}.nation")
 
 
 LAYER_SQL = cte("props") + "\nSELECT pin, x, y, CAST(2926 AS INT) AS srid FROM props"

@@ -78,13 +78,41 @@ BOX = (
     "outline_counts",
     cte("props", "pois")
     + f"""
-SELECT pin, {count_columns('sqrt(d2) <= {r}', ('parks', 'landmarks'), (1000, 5000))}
+SELECT pin, {count_columns('sqrt(d2) <= {r}')}
 FROM (SELECT a.pin, b.layer, {BOX} AS d2 FROM props AS a LEFT JOIN pois AS b ON true) GROUP BY pin
 """,
 )
 def outlines(spark, sf):
     props = view(spark, sf, "props").select("pin", rectangle(F.col("x"), F.col("y")).alias("ring"))
-    return outline_counts(props, view(spark, sf, "pois"), ("parks", "landmarks"), (1000, 5000))
+    return outline_counts(props, view(spark, sf, "pois"), LAYERS)
+
+
+# Places far from the origin next to a small radius, one of them at no finite place.
+FAR = 1_000_000_000_000
+VIEWS["far_props"] = (
+    "customer",
+    (
+        "CAST(c_custkey AS STRING) AS pin",
+        f"CASE WHEN c_custkey = 7 THEN CAST('Infinity' AS DOUBLE) ELSE CAST({FAR} + c_custkey % 37 AS DOUBLE) END AS x",
+        f"CAST(c_custkey % 41 - {FAR} AS DOUBLE) AS y",
+    ),
+)
+VIEWS["far_pois"] = (
+    "part",
+    ("'parks' AS layer", f"CAST({FAR} + p_partkey % 43 AS DOUBLE) AS x", f"CAST(p_partkey % 47 - {FAR} AS DOUBLE) AS y"),
+)
+
+
+@query(
+    "proximity_far_coordinates",
+    cte("far_props", "far_pois")
+    + """
+SELECT pin, count(CASE WHEN dx * dx + dy * dy <= 1 THEN 1 END) AS parks_counts1
+FROM (SELECT a.pin, b.x - a.x AS dx, b.y - a.y AS dy FROM far_props AS a LEFT JOIN far_pois AS b ON true) GROUP BY pin
+""",
+)
+def far_away(spark, sf):
+    return proximity_counts(view(spark, sf, "far_props"), view(spark, sf, "far_pois"), ["parks"], [1])
 
 
 @query(
