@@ -8,8 +8,8 @@ import numpy as np
 
 #: Characters that end a run of letters without changing its ids.
 PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
-#: Words kept per worker process; a full cache is emptied, results never change.
-CACHED_WORDS = 600_000
+#: Words, and parts of words, kept per worker process.  Full caches are emptied; results never change.
+CACHED_WORDS, CACHED_PARTS = 300_000, 700_000
 
 
 class WordEncoder:
@@ -21,14 +21,15 @@ class WordEncoder:
     ``dtype``.
     """
 
-    def __init__(self, path: str, cached: int = CACHED_WORDS):
+    def __init__(self, path: str, words: int = CACHED_WORDS, parts: int = CACHED_PARTS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.cached, self.known = cached, {"": b""}
+        self.words, self.known = words, {"": b""}
+        self.most, self.parts = parts, {"": b""}
 
     def __call__(self, text: str | None) -> bytes:
         words = (text or "").replace("\n", " ").split(" ")
@@ -38,14 +39,18 @@ class WordEncoder:
         except KeyError:
             pass
         new = {w: _parts(w) for w in words if w not in known}
-        if len(known) + 3 * len(new) > self.cached:
+        if len(known) + len(new) > self.words:
             known = self.known = {"": b""}
             new = {w: _parts(w) for w in words if w}
-        apart = list({p for parts in new.values() for p in parts if p not in known})
-        for part, ids in zip(apart, self._encode(apart), strict=True):
-            known[part] = ids
+        parts = self.parts
+        apart = {p for pair in new.values() for p in pair if p not in parts}
+        if len(parts) + len(apart) > self.most:
+            parts = self.parts = {"": b""}
+            apart = {p for pair in new.values() for p in pair if p}
+        if apart:
+            parts.update(zip(apart, self._encode(list(apart)), strict=True))
         for word, (core, tail) in new.items():
-            known[word] = known[core] + known[tail]
+            known[word] = parts[core] + parts[tail]
         return b"".join(map(known.__getitem__, words))
 
     def _encode(self, parts: list[str]) -> list[bytes]:
