@@ -1,115 +1,114 @@
 """Fuzzy line deduplication by MinHash over character shingles.
 
-Lines are compared after folding case and white space.  A line is the set of its character
-shingles of ``SHINGLE`` characters (a shorter line is one shingle).  Signatures are
-``BANDS * ROWS`` minimum hashes, a band is ``ROWS`` of them: lines of Jaccard similarity
-0.8 share a band with a chance of ``1 - (1 - 0.8 ** ROWS) ** BANDS``, 99.7 per cent.  Lines that
-share a band are verified on their exact shingles (similarity ``LIKE`` or more), links are
-joined by distributed union-find, and of each component one line stays: the first of the
-document with the smallest id.
-
-Equal lines are one line from the start, through a partial aggregate by their hash: a line
-found in a third of all documents is one row per task.  A family of near lines shares its
-bands; its pairs are never listed.  Each band first links its lines to its smallest line;
-then pairs are formed only between components that still differ inside a band.
+Lines are compared after folding case and white space.  A line is a set of character
+shingles: the ``SHINGLE`` characters (or what is left of the line) from the start of every
+word, and from every ``PIECE``-th character of a longer word, so that scripts without
+blanks are covered as well.  Signatures are ``BANDS * ROWS`` minimum hashes (of one hash of
+a shingle, its bits turned by a mask for each), a band is ``ROWS`` of them: lines of Jaccard
+similarity 0.8 share a band with a chance of ``1 - (1 - 0.8 ** ROWS) ** BANDS``, 99.1 per cent.
+Lines that share a band are verified on their exact shingles (similarity ``LIKE`` per cent or more),
+links are joined by distributed union-find, and of each component one line stays: the
+first of the document with the smallest id.
+
+Equal lines are one line from the start, through a partial aggregate by their 64-bit hash:
+a line found in a third of all documents is one row per task.  A family of near lines shares
+its bands; its pairs are never listed.  Each band first links its lines to its smallest
+line; then pairs are formed only between components that still differ inside a band.
 
 Lines with fewer than ``MIN_WORDS`` words are left alone: short phrases recur without being
-copies.  Everything runs as column expressions: shingles are hashed in stretches of
-``STRETCH`` characters, so that each is an expression of its own over a short text.
+copies.  Everything runs as column expressions.
 
 Missing texts have no lines and stay missing.  A document all of whose lines go is dropped
-by :func:`dedup_lines`; repeated rows and rows without an id count like others, the row
-that comes first by id and content keeping its lines.  An empty table gives no rows.
+by :func:`dedup_lines`; rows that repeat an id and a text keep the same lines, rows without an
+id count like others.  An empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import random
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import let, query, rows_near, table
+from hedonic.llm.common import let, query, rows_near, rows_outside, table
 from hedonic.llm.components import components
 from hedonic.session import release, settle
 
-SHINGLE = 8
-ROWS, BANDS = 3, 8
-LIKE = 0.8
+SHINGLE, PIECE = 12, 6
+ROWS, BANDS = 5, 12
+LIKE = 80
 MIN_WORDS = 5
-#: Characters whose shingles are hashed in one row, and cut off a long line at a time.
-STRETCH, SEGMENT = 8, 512
+#: Buckets (as a power of two) of the sieve before lines are joined.
+SIEVE = 21
+
+#: Every start of a shingle, with the characters from there on.
+SHINGLES = r"(?s)(?=(.{1,%d}))\S{1,%d}" % (SHINGLE, PIECE)
+#: A folded line of enough words.
+ENOUGH = r"^(\S+ ){%d}\S" % (MIN_WORDS - 1)
+#: White space that is not a single blank, and its likely signs.
+GAPS = r"[\s&&[^ ]]\s*| \s+"
+SIGNS = ("  ", "\t", "\r", "\v", "\f")
+
 
-#: Fixed for the signatures: what the hashes of each minimum are turned by.
-SEEDS = range(ROWS * BANDS)
+def _masks() -> list[int]:
+    draw = random.Random(ROWS * BANDS)
+    return [draw.getrandbits(16) for _ in range(ROWS * BANDS)]
 
 
 def folded(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(line), r"\s+", " "))
+    def fold(low: Column) -> Column:
+        # Few lines need the pattern, and to see which is cheap.
+        odd = reduce(lambda a, b: a | b, [F.contains(low, F.lit(s)) for s in SIGNS])
+        return F.trim(F.when(odd, F.regexp_replace(low, GAPS, " ")).otherwise(low))
+
+    return let(F.lower(line), fold)
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, at, line, folded, long, key``: every line with its place; ``key`` is the folded line's 64-bit hash."""
+    """``doc_id, at, line, folded, long, key``: every line with its place; ``key`` is the folded line's hash."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("at", "line"))
-    words = F.size(F.split(F.trim(F.col("folded")), " "))
-    rows = rows.withColumn("folded", folded(F.col("line"))).withColumn("long", (words >= MIN_WORDS) & (F.col("folded") != ""))
-    return rows.withColumn("key", F.xxhash64("folded"))
+    rows = rows.withColumn("folded", folded(F.col("line")))
+    return rows.withColumn("long", F.col("folded").rlike(ENOUGH)).withColumn("key", F.xxhash64("folded"))
 
 
-def _stretches(lines: DataFrame) -> DataFrame:
-    """``key, part``: short texts that hold every shingle of a line; ``lines`` has ``key, folded``."""
-    n = F.length("folded")
-    last = F.greatest(n - SHINGLE, F.lit(0))
-    segments = F.transform(F.sequence(F.lit(0), F.floor(last / SEGMENT).cast("int")), lambda i: F.substring("folded", i * SEGMENT + 1, F.lit(SEGMENT + SHINGLE - 1)))
-    cut = lines.select("key", F.explode(segments).alias("segment"))
-    last = F.greatest(F.length("segment") - SHINGLE, F.lit(0))
-    parts = F.transform(F.sequence(F.lit(0), F.floor(last / STRETCH).cast("int")), lambda i: F.substring("segment", i * STRETCH + 1, F.lit(STRETCH + SHINGLE - 1)))
-    return cut.select("key", F.explode(parts).alias("part"))
+def shingles(line: Column) -> Column:
+    """The shingles of a folded line, repeated ones too."""
+    return F.regexp_extract_all(line, F.lit(SHINGLES), F.lit(1))
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """``key, b0, ...``: the bands of every distinct line of ``lines`` (``key, folded``)."""
-    parts = _stretches(lines)
-    first = F.hash(F.substring("part", 1, SHINGLE))
-    # A stretch at a line's end holds fewer shingles; its first stands in for the others.
-    hashes = [first] + [
-        F.when(F.length("part") >= i + SHINGLE, F.hash(F.substring("part", i + 1, SHINGLE))).otherwise(first) for i in range(1, STRETCH)
-    ]
-    hashed = parts.select("key", *[h.alias(f"h{i}") for i, h in enumerate(hashes)])
-    least = [F.min(F.least(*[F.hash(F.col(f"h{i}"), F.lit(s)) for i in range(STRETCH)])).alias(f"m{s}") for s in SEEDS]
-    signed = hashed.groupBy("key").agg(*least)
-    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]).alias(f"b{b}") for b in range(BANDS)]
-    return signed.select("key", *bands)
-
-
-def _shingles(line: Column) -> Column:
-    """The distinct shingles of a folded line."""
-    n = F.greatest(F.length(line) - (SHINGLE - 1), F.lit(1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), n), lambda i: F.substring(line, i, F.lit(SHINGLE))))
-
-
-def _verify(pairs: DataFrame, texts: DataFrame, like: float) -> DataFrame:
+    """``key, bands`` of every distinct line of ``lines`` (``key, folded``)."""
+    # Sixteen bits tell a line's shingles apart, and minima of them are short.
+    hashed = lines.select("key", F.explode(shingles(F.col("folded"))).alias("s")).select("key", F.hash("s").bitwiseAND(0xFFFF).alias("h"))
+    signed = hashed.groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks())])
+    bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
+    return signed.select("key", F.array(*bands).alias("bands"))
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, like: int) -> DataFrame:
     """Pairs ``u, v`` of lines that are alike."""
     left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"))
     right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"))
     both = pairs.join(left, "u").join(right, "v")
 
     def alike(s: Column) -> Column:
-        return let(F.size(F.array_intersect(s["a"], s["b"])), lambda c: c >= F.lit(like) * (F.size(s["a"]) + F.size(s["b"]) - c))
+        return let(F.size(F.array_intersect(s["a"], s["b"])), lambda c: 100 * c >= like * (F.size(s["a"]) + F.size(s["b"]) - c))
 
-    sets = F.struct(_shingles(F.col("a")).alias("a"), _shingles(F.col("b")).alias("b"))
+    sets = F.struct(F.array_distinct(shingles(F.col("a"))).alias("a"), F.array_distinct(shingles(F.col("b"))).alias("b"))
     return both.where(let(sets, alike)).select("u", "v")
 
 
-def line_components(lines: DataFrame, like: float = LIKE) -> DataFrame:
+def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
     """``key, component`` of every line (``key, folded``) that is like another; long lines only are to be passed."""
-    signed = signatures(lines)
-    each = F.explode(F.array(*[F.col(f"b{b}") for b in range(BANDS)]))
-    banded = settle(signed.select("key", each.alias("band")))
+    signed = settle(signatures(lines))
+    banded = signed.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("other")).where("head != other")
     members = settle(banded.join(shared.select("band", "head"), "band"))
-    release(banded)
+    release(signed)
 
     wanted = settle(members.select("key").distinct())
-    near = rows_near(lines.select("key", "folded"), wanted, "key")
+    near = rows_near(lines.select("key", "folded"), wanted, "key", SIEVE)
     texts = settle(near.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
     star = members.where("key != head").select(F.col("key").alias("u"), F.col("head").alias("v")).distinct()
     links = settle(_verify(star, texts, like))
@@ -125,32 +124,35 @@ def line_components(lines: DataFrame, like: float = LIKE) -> DataFrame:
     return components(links.union(more)).withColumnRenamed("node", "key")
 
 
-def kept_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: float = LIKE) -> DataFrame:
-    """``doc_id, at, line, kept``: every line, and whether it stays."""
+def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: int = LIKE) -> DataFrame:
+    """``doc_id, at``: the places of all lines that go."""
     lines = lines_of(docs, id_col, text_col)
     alike = settle(line_components(lines.where("long").select("key", "folded"), like))
+    places = settle(lines.where("long").select("doc_id", "at", "key"))
     # Where each distinct long line first stands; combined before the shuffle.
-    first = lines.where("long").groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = places.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.join(alike, "key", "left").withColumn("component", F.coalesce("component", "key"))
     best = first.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
     # Only lines of components with more than one occurrence can go.
     repeated = settle(first.select("key", "component").join(best.where("n > 1"), "component").select("key", F.col("first.doc_id").alias("_doc"), F.col("first.at").alias("_at")))
-    judged = lines.join(repeated, "key", "left")
+    judged = places.join(repeated, "key")
     here = F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_at") == F.col("at"))
-    kept = ~F.col("long") | F.col("_at").isNull() | here
-    return judged.select("doc_id", "at", "line", kept.alias("kept"))
+    return judged.where(~here).select("doc_id", "at").distinct()
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: float = LIKE) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: int = LIKE) -> DataFrame:
     """``docs`` with repeated lines taken out of the text; a document left without any line is dropped."""
-    lines = kept_lines(docs, id_col=id_col, text_col=text_col, like=like)
-    gone = lines.where(~F.col("kept")).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("at").alias("_gone"))
-    joined = docs.join(settle(gone), F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    places = repeated_lines(docs, id_col=id_col, text_col=text_col, like=like)
+    gone = settle(places.groupBy(F.col("doc_id").alias(id_col)).agg(F.collect_list("at").alias("_gone")))
+    # Most documents lose nothing and stay where they are.
+    near = rows_near(docs, gone, id_col)
+    joined = near.join(gone.withColumnRenamed(id_col, "_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
     parts = F.split(F.col(text_col), "\n", -1)
     rest = F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(F.col("_gone"), i), x)), lambda x: x.isNotNull())
     text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
-    empty = F.col("_gone").isNotNull() & (F.trim(F.regexp_replace(text, r"\s+", " ")) == "")
-    return joined.where(~empty).select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    empty = F.col("_gone").isNotNull() & (folded(text) == "")
+    edited = joined.where(~empty).select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    return rows_outside(docs, gone, id_col).union(edited)
 
 
 @query("op5_line_dedup")
