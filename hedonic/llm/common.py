@@ -52,15 +52,20 @@ def rows_near(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> Da
     """
     bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
     marks = keys.select(bucket.alias("_bucket")).distinct()
-    return df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_semi").drop("_bucket")
+    return df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_semi").select(df.columns)
 
 
-def rows_without(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
-    """The rows of ``df`` whose ``column`` is in no row of ``keys``; only rows behind the same sieve are shuffled."""
+def rows_outside(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
+    """The other rows: what :func:`rows_near` leaves out."""
     bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
     marks = keys.select(bucket.alias("_bucket")).distinct()
-    far = df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_anti").select(df.columns)
-    return far.union(rows_near(df, keys, column, bits).join(keys, column, "left_anti").select(df.columns))
+    return df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_anti").select(df.columns)
+
+
+def rows_without(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
+    """The rows of ``df`` whose ``column`` is in no row of ``keys``; only rows behind the same sieve are shuffled."""
+    near = rows_near(df, keys, column, bits).join(keys, column, "left_anti")
+    return rows_outside(df, keys, column, bits).union(near.select(df.columns))
 
 
 def running_before(df: DataFrame, order: str, value: str, name: str, each: int = 4096) -> DataFrame:

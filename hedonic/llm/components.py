@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hedonic.llm.common import tasks_for
 from hedonic.session import release, settle
 
+#: Links that one task writes.
+LINKS_EACH = 100_000
+
 
 def _both(links: DataFrame) -> DataFrame:
     return links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -43,8 +47,10 @@ def components(links: DataFrame) -> DataFrame:
         if state == last:
             break
         last, old = state, known
-        wide = settle(_star(_both(old), large=True))
-        known = settle(_star(_both(wide), large=False))
+        # Links are short and soon few; a task takes many of them.
+        tasks = tasks_for(state[0], LINKS_EACH)
+        wide = settle(_star(_both(old), large=True).coalesce(tasks))
+        known = settle(_star(_both(wide), large=False).coalesce(tasks))
         release(old, wide)
     ends = known.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return ends.union(known.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
