@@ -31,31 +31,36 @@ from hedonic.llm.line_dedup import dedup_lines
 from hedonic.llm.ngram_join import ngram_components
 from hedonic.llm.packing import pack
 from hedonic.llm.tokens import word_bpe_path
-from hedonic.session import settle
+from hedonic.session import settle, tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     judged = identify(docs, train(docs.where(~held_out())), prefix="_language_")
     return judged.where(~F.col("_language_rejected")).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     return dedup_lines(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     found = ngram_components(docs.select("doc_id", "text"))
     return rows_without(docs, settle(found.where("component_id != doc_id").select("doc_id").distinct()), "doc_id")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     found = contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return rows_without(docs, settle(found.select("doc_id").distinct()), "doc_id")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    tune(spark)
     return pack(docs.select("doc_id", "text"), word_bpe_path())
 
 

@@ -10,8 +10,8 @@ Training reads a bounded sample of labelled rows: by a hash of the id, ``SAMPLE`
 each language are expected, whatever the size of the table.  Executors turn whole texts
 into subword counts; only these (at most ``BUCKETS`` numbers a text) come to the driver.
 A fifth of the sample is kept from training to calibrate: a temperature makes the
-probabilities of a few subwords drawn from each of these texts honest, and a text is rejected if its calibrated score is below what
-all but ``REJECTED`` of the held-back texts reach, or if it has no letters.
+probabilities of a few subwords drawn from each of these texts honest, and a text is
+rejected if its calibrated score is below half of what all but ``REJECTED`` of the held-back texts reach, or if it has no letters.
 
 Prediction is a sum of one table row per subword (embedding times layer is folded into
 one matrix of buckets by languages), over whole texts and in bounded memory: very long
@@ -109,7 +109,7 @@ def _hash(codes: np.ndarray, before: int, starts: int) -> np.ndarray:
         if order > 2:
             inner = inner[:k] & word[order - 2 : order - 2 + k]
         # A gram holds a letter, and blanks only at its ends.
-        good = inner[:k] & (word[:k] if order == 1 else word[:k] | word[order - 1 :])
+        good = inner[:k] if order > 2 else word[:k] if order == 1 else word[:k] | word[1:]
         if order in ORDERS:
             mixed = value ^ (value >> np.uint32(15))
             mixed = (mixed * np.uint32(0x85EBCA6B)) >> np.uint32(18)
@@ -160,17 +160,15 @@ def fit(
     labels: list[str],
     *,
     epochs: int = 12,
+    steps: int = 500,
     rate: float = 30.0,
     batch: int = 64,
     rejected: float = REJECTED,
     seed: int = 0,
 ) -> Model:
-    """Train on subword counts and calibrate on every fifth row."""
+    """Train on subword counts, for some epochs and at least some steps, and calibrate on every fifth row."""
     languages = tuple(sorted(set(labels)))
     rng = np.random.default_rng(seed)
-    x = np.zeros((len(features), BUCKETS), dtype=np.float32)
-    for row, (at, n) in zip(x, features, strict=True):
-        row[at] = n / n.sum()
     y = np.array([languages.index(v) for v in labels], dtype=np.int64)
     held = np.zeros(len(y), dtype=bool)
     held[rng.permutation(len(y))[::5]] = len(y) >= 50
@@ -178,16 +176,22 @@ def fit(
     layer = np.zeros((DIM, len(languages)), dtype=np.float32)
     bias = np.zeros(len(languages), dtype=np.float32)
     rows, onehot = np.flatnonzero(~held), np.eye(len(languages), dtype=np.float32)[y]
-    for epoch in range(epochs):
-        step = rate * (1 - epoch / epochs)
-        for i in range(0, len(rows), batch):
-            part = rows[i : i + batch] if epoch == 0 else rng.choice(rows, batch)
-            mean = x[part] @ embed
-            off = (_softmax(mean @ layer + bias) - onehot[part]) / len(part)
-            back = off @ layer.T
-            bias -= 0.02 * step * off.sum(axis=0)
-            layer -= 0.05 * step * (mean.T @ off)
-            embed -= step * (x[part].T @ back)
+    # Few rows are gone over more often.
+    steps = max(steps, epochs * -(-len(rows) // batch))
+    order = np.concatenate([rng.permutation(rows) for _ in range(-(-steps * batch // len(rows)))])
+    for epoch in range(steps):
+        step = rate * (1 - epoch / steps)
+        part = order[epoch * batch : (epoch + 1) * batch]
+        x = np.zeros((len(part), BUCKETS), dtype=np.float32)
+        for row, i in zip(x, part.tolist(), strict=True):
+            at, n = features[i]
+            row[at] = n / n.sum()
+        mean = x @ embed
+        off = (_softmax(mean @ layer + bias) - onehot[part]) / len(part)
+        back = off @ layer.T
+        bias -= 0.02 * step * off.sum(axis=0)
+        layer -= 0.05 * step * (mean.T @ off)
+        embed -= step * (x.T @ back)
     weights = (embed @ layer).astype(np.float32)
     truth, few = [], []
     for i in np.flatnonzero(held if held.any() else ~held).tolist():

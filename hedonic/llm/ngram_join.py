@@ -38,7 +38,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic.llm.common import query, rows_near, table
@@ -51,10 +51,10 @@ PERCENT = 80
 SMALL = 16
 #: N-grams of a set per extra list entry that a candidate must hit.
 PER_HIT = 40
-#: The sketch has at most 2**SKETCH_BITS counters.
-SKETCH_BITS = 22
+#: The sketch has 2**SKETCH_BITS counters.
+SKETCH_BITS = 20
 LANES = 64
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -203,7 +203,7 @@ def _keys(nodes: DataFrame, boundary: int) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose whole texts link."""
+    """The pairs with the sizes of their intersection and union: ``u, v, common, every``, from whole texts."""
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
 
@@ -215,16 +215,21 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             return held[node]
 
         for batch in batches:
-            good = []
+            common, every = [], []
             for u, v, a, b in zip(*[batch.column(c).to_pylist() for c in ("u", "v", "a", "b")], strict=True):
                 x, y = of(u, a), of(v, b)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(100 * common >= PERCENT * (len(x) + len(y) - common))
-            yield batch.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+                common.append(len(np.intersect1d(x, y, assume_unique=True)))
+                every.append(len(x) + len(y) - common[-1])
+            sizes = [pa.array(common, pa.int64()), pa.array(every, pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("u"), batch.column("v"), *sizes], names=["u", "v", "common", "every"])
 
     left = texts.select(F.col("node").alias("u"), F.col("text").alias("a"))
     right = texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long, common long, every long")
+
+
+def _linked(verified: DataFrame) -> DataFrame:
+    return verified.where(100 * F.col("common") >= PERCENT * F.col("every")).select("u", "v")
 
 
 def _fits(a: str, b: str):
@@ -235,8 +240,7 @@ def _fits(a: str, b: str):
 def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    bits = min(SKETCH_BITS, max(10, rows.count().bit_length() + 3))
-    sets = settle(_sets(rows, count_sketch(rows, bits), bits))
+    sets = settle(_sets(rows, count_sketch(rows, SKETCH_BITS), SKETCH_BITS))
 
     whole = ["f1", "f2", "n"]
     reps = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy(*whole).agg(F.min("doc_id").alias("node"))
@@ -261,28 +265,42 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     star = star.agg(F.count(F.lit(1)).alias("hits"), F.min(wanted).alias("least"), F.min("at").alias("at"))
     star = settle(star.where((F.col("at") < 0) | (2 * F.col("hits") >= 1 + F.floor(F.col("least") / PER_HIT))).select("u", "v"))
     texts = _texts(rows, star)
-    links = settle(_verify(star, texts))
+    verified = settle(_verify(star, texts))
+    links = _linked(verified)
     label = settle(components(links))
 
-    # What is left: pairs of different components that share a key.
-    known = shared.join(label, "node", "left").select("key", "node", "n", "at", F.coalesce("component", "node").alias("label"))
+    # What is left: pairs of different components that share a key.  Entries of a set that
+    # no other set lists cannot be common to a pair whose shared key comes later in both.
+    earlier = F.row_number().over(Window.partitionBy("node", F.col("at") < 0).orderBy("at")) - 1
+    known = shared.select("key", "node", "n", "at", "head", earlier.alias("before")).join(label, "node", "left")
+    known = known.withColumn("label", F.coalesce("component", "node")).drop("component")
+    # Jaccard distances obey the triangle inequality: two sets whose distances to their
+    # key's leader differ by more than a link allows cannot link.
+    far = verified.select(F.col("u").alias("node"), F.col("v").alias("head"), (1 - F.col("common") / F.col("every")).alias("far"))
+    known = known.join(far, ["node", "head"], "left").withColumn("far", F.when(F.col("node") == F.col("head"), 0.0).otherwise(F.col("far")))
     mixed = known.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key")
     open_ = settle(known.join(mixed, "key"))
     a, b = open_.alias("a"), open_.alias("b")
-    met = a.join(b, F.expr("a.key = b.key AND a.label < b.label"))
+    most = "least(a.before, b.before) + 1 + least(a.n - a.at, b.n - b.at) - 1"
+    common = f"ceil({PERCENT} * (a.n + b.n) / {100 + PERCENT})"
+    fits = f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)"
+    close = f"coalesce(abs(a.far - b.far) <= {1 - PERCENT / 100 + 1e-9}, true)"
+    met = a.join(b, F.expr(f"a.key = b.key AND a.label < b.label AND {fits} AND {close} AND (a.at < 0 OR {most} >= {common})"))
     met = met.select(
         F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n"), F.col("b.n").alias("m"),
         F.col("a.at").alias("i"), F.col("b.at").alias("j"),
-    ).where(_fits("n", "m"))
+    )
     need = F.ceil(PERCENT * (F.col("n") + F.col("m")) / (100 + PERCENT))
-    # Subset keys (at < 0) say everything; of list entries the pair must share enough.
+    # Subset keys (at < 0) say everything.  Of list entries a pair must share enough, and
+    # what follows its last shared entry must be enough for the rest.
     met = met.groupBy("u", "v").agg(
         F.count(F.lit(1)).alias("hits"), F.min("i").alias("i"), F.min(1 + F.floor(F.least("n", "m") / PER_HIT)).alias("hits_needed"),
-        F.max(1 + F.least(F.col("n") - F.col("i") - 1, F.col("m") - F.col("j") - 1) - need).alias("room"),
+        F.min(F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) - 1).alias("after"), F.first(need).alias("need"),
     )
-    rest = met.where((F.col("i") < 0) | ((F.col("hits") >= F.col("hits_needed")) & (F.col("room") >= 0))).select("u", "v")
+    enough = (F.col("hits") >= F.col("hits_needed")) & (F.col("hits") + F.col("after") >= F.col("need"))
+    rest = met.where((F.col("i") < 0) | enough).select("u", "v")
     rest = settle(rest)
-    more = settle(_verify(rest, _texts(rows, rest)))
+    more = settle(_linked(_verify(rest, _texts(rows, rest))))
     both = settle(components(links.union(more)))
 
     named = member.join(both, "node", "left")
