@@ -35,7 +35,7 @@ class Raw:
 
 def property_table(
     raw: Raw,
-    database: str = "default",
+    database: str,
     specs: Iterable[LayerSpec] = DEFAULT_LAYERS,
     radii: Sequence[float] = RADII,
     mode: str = "rows",
@@ -73,7 +73,7 @@ class Study:
 def study(
     spark: SparkSession,
     raw: Raw,
-    database: str = "default",
+    database: str,
     key: str = "pin",
     forest_sizes: Sequence[int] = FOREST_SIZES,
     forest_depth: int = 30,

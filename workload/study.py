@@ -1,7 +1,5 @@
 """The complete property table and the feature table, end to end."""
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from hedonic.operators.regress import feature_columns
 from hedonic.plans.base import complete, residential_base
 from hedonic.plans.features import PROXIMITY_GROUPS, build_features
 from hedonic.session import cut
-from workload.common import cte, load, query, view
+from workload.common import VIEWS, cte, query, view
 from workload.features import case
 from workload.joins import ASSESSOR, BASE_SQL
 from workload.spatial import CIRCLE, LAYERS, OFFSETS, count_columns
@@ -87,3 +85,18 @@ def features(spark, sf):
 @query("build_features")
 def full_features(spark, sf):
     return build_features(cut(complete_table(spark, sf)))
+
+
+VIEWS["leaky"] = (
+    "orders",
+    (
+        "o_orderkey", "o_totalprice AS sale_price", "o_custkey", "o_orderdate AS sale_date", "o_custkey AS appr_tot_val",
+        "o_orderpriority", "o_orderdate AS appr_date",
+    ),
+)
+
+
+@query("feature_columns", "SELECT o_orderkey, o_custkey, o_orderpriority FROM orders")
+def without_leaks(spark, sf) -> DataFrame:
+    orders = view(spark, sf, "leaky")
+    return orders.select(*feature_columns(orders))
