@@ -1,9 +1,8 @@
 """Fuzzy line deduplication by MinHash over character shingles.
 
-Lines are compared after folding case and white space.  A line is a set of character
-shingles: the ``SHINGLE`` characters (or what is left of the line) from the start of every
-word, and from every ``PIECE``-th character of a longer word, so that scripts without
-blanks are covered as well.  Signatures are ``BANDS * ROWS`` minimum hashes (of one hash of
+Lines are compared after folding case and white space.  A line is the set of its character
+shingles: ``SHINGLE`` characters from every character on, blanks too (a shorter line is one
+shingle).  Signatures are ``BANDS * ROWS`` minimum hashes (of one hash of
 a shingle, its bits turned by a mask for each), a band is ``ROWS`` of them: lines of Jaccard
 similarity 0.8 share a band with a chance of ``1 - (1 - 0.8 ** ROWS) ** BANDS``, 99.1 per cent.
 Lines that share a band are verified on their exact shingles (similarity ``LIKE`` per cent or more),
@@ -16,7 +15,8 @@ its bands; its pairs are never listed.  Each band first links its lines to its s
 line; then pairs are formed only between components that still differ inside a band.
 
 Lines with fewer than ``MIN_WORDS`` words are left alone: short phrases recur without being
-copies.  Everything runs as column expressions.
+copies.  Everything runs as column expressions: for signatures, lines are cut into stretches
+that hold ``STRETCH`` shingles each, so that a text is cut out per stretch and not per character.
 
 Missing texts have no lines and stay missing.  A document all of whose lines go is dropped
 by :func:`dedup_lines`; rows that repeat an id and a text keep the same lines, rows without an
@@ -35,15 +35,21 @@ from hedonic.llm.common import let, query, rows_near, rows_outside, table
 from hedonic.llm.components import components
 from hedonic.session import release, settle
 
-SHINGLE, PIECE = 12, 6
+#: A shingle's characters, and how many characters later the next one starts.
+SHINGLE, PIECE = 8, 1
 ROWS, BANDS = 5, 12
 LIKE = 80
 MIN_WORDS = 5
 #: Buckets (as a power of two) of the sieve before lines are joined.
 SIEVE = 21
 
-#: Every start of a shingle, with the characters from there on.
-SHINGLES = r"(?s)(?=(.{1,%d}))\S{1,%d}" % (SHINGLE, PIECE)
+#: Shingles that start in one stretch of a line, and the bits of their hashes.
+STRETCH, BITS = 8, 20
+
+#: Every shingle of a line.
+SHINGLES = r"(?s)(?=(.{%d}|\A.{1,%d}\z)).{%d}" % (SHINGLE, SHINGLE - 1, PIECE)
+#: Every stretch, with the characters of its last shingle.
+STRETCHES = r"(?s)(?=(.{%d,%d}|\A.{1,%d}\z)).{1,%d}" % (SHINGLE, STRETCH + SHINGLE - 1, SHINGLE - 1, STRETCH)
 #: A folded line of enough words.
 ENOUGH = r"^(\S+ ){%d}\S" % (MIN_WORDS - 1)
 #: White space that is not a single blank, and its likely signs.
@@ -53,7 +59,7 @@ SIGNS = ("  ", "\t", "\r", "\v", "\f")
 
 def _masks() -> list[int]:
     draw = random.Random(ROWS * BANDS)
-    return [draw.getrandbits(16) for _ in range(ROWS * BANDS)]
+    return [draw.getrandbits(BITS) for _ in range(ROWS * BANDS)]
 
 
 def folded(line: Column) -> Column:
@@ -79,8 +85,12 @@ def shingles(line: Column) -> Column:
 
 def signatures(lines: DataFrame) -> DataFrame:
     """``key, bands`` of every distinct line of ``lines`` (``key, folded``)."""
-    # Sixteen bits tell a line's shingles apart, and minima of them are short.
-    hashed = lines.select("key", F.explode(shingles(F.col("folded"))).alias("s")).select("key", F.hash("s").bitwiseAND(0xFFFF).alias("h"))
+    parts = lines.select("key", F.explode(F.regexp_extract_all(F.col("folded"), F.lit(STRETCHES), F.lit(1))).alias("part"))
+    # So many bits tell a line's shingles apart, and minima of them are short.
+    hashes = [F.hash(F.substring("part", i + 1, SHINGLE)).bitwiseAND((1 << BITS) - 1) for i in range(STRETCH)]
+    # The stretch at a line's end holds fewer shingles; its first stands in for the others.
+    hashes[1:] = [F.when(F.length("part") >= i + SHINGLE, h).otherwise(hashes[0]) for i, h in enumerate(hashes[1:], 1)]
+    hashed = parts.select("key", F.explode(F.array(*hashes)).alias("h"))
     signed = hashed.groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks())])
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
     return signed.select("key", F.array(*bands).alias("bands"))
