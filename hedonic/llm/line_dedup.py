@@ -14,8 +14,8 @@ a line found in a third of all documents is one row per task.  A family of near
 its bands; its pairs are never listed.  Each band first links its lines to its smallest
 line; then pairs are formed only between components that still differ inside a band.
 
-Lines with fewer than ``MIN_WORDS`` words are left alone: short phrases recur without being
-copies.  Everything runs as column expressions: for signatures, lines are cut into stretches
+Every line that is not empty takes part, in scripts with blanks or without: one of fewer than
+``SHINGLE`` characters is a single shingle, and so like its equals only.  Empty lines stay.  Everything runs as column expressions: for signatures, lines are cut into stretches
 that hold ``STRETCH`` shingles each, so that a text is cut out per stretch and not per character.
 
 Missing texts have no lines and stay missing.  A document all of whose lines go is dropped
@@ -39,7 +39,8 @@ from hedonic.session import release, settle
 SHINGLE, PIECE = 8, 1
 ROWS, BANDS = 5, 12
 LIKE = 80
-MIN_WORDS = 5
+#: Stretches without blanks that a line must have: one, so that only empty lines are left alone.
+MIN_WORDS = 1
 #: Buckets (as a power of two) of the sieve before lines are joined.
 SIEVE = 21
 
@@ -50,8 +51,6 @@ STRETCH, BITS = 8, 20
 SHINGLES = r"(?s)(?=(.{%d}|\A.{1,%d}\z)).{%d}" % (SHINGLE, SHINGLE - 1, PIECE)
 #: Every stretch, with the characters of its last shingle.
 STRETCHES = r"(?s)(?=(.{%d,%d}|\A.{1,%d}\z)).{1,%d}" % (SHINGLE, STRETCH + SHINGLE - 1, SHINGLE - 1, STRETCH)
-#: A folded line of enough words.
-ENOUGH = r"^(\S+ ){%d}\S" % (MIN_WORDS - 1)
 #: White space that is not a single blank, and its likely signs.
 GAPS = r"[\s&&[^ ]]\s*| \s+"
 SIGNS = ("  ", "\t", "\r", "\v", "\f")
@@ -72,10 +71,10 @@ def folded(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, at, line, folded, long, key``: every line with its place; ``key`` is the folded line's hash."""
+    """``doc_id, at, line, folded, filled, key``: every line with its place; ``key`` is the folded line's hash."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("at", "line"))
     rows = rows.withColumn("folded", folded(F.col("line")))
-    return rows.withColumn("long", F.col("folded").rlike(ENOUGH)).withColumn("key", F.xxhash64("folded"))
+    return rows.withColumn("filled", F.col("folded") != "").withColumn("key", F.xxhash64("folded"))
 
 
 def shingles(line: Column) -> Column:
@@ -110,7 +109,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, like: int) -> DataFrame:
 
 
 def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
-    """``key, component`` of every line (``key, folded``) that is like another; long lines only are to be passed."""
+    """``key, component`` of every line (``key, folded``) that is like another; no empty lines are to be passed."""
     signed = settle(signatures(lines))
     banded = signed.select("key", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("other")).where("head != other")
@@ -137,9 +136,9 @@ def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: int = LIKE) -> DataFrame:
     """``doc_id, at``: the places of all lines that go."""
     lines = lines_of(docs, id_col, text_col)
-    alike = settle(line_components(lines.where("long").select("key", "folded"), like))
-    places = settle(lines.where("long").select("doc_id", "at", "key"))
-    # Where each distinct long line first stands; combined before the shuffle.
+    alike = settle(line_components(lines.where("filled").select("key", "folded"), like))
+    places = settle(lines.where("filled").select("doc_id", "at", "key"))
+    # Where each distinct line first stands; combined before the shuffle.
     first = places.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.join(alike, "key", "left").withColumn("component", F.coalesce("component", "key"))
     best = first.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("n"))

@@ -206,6 +206,14 @@ def test_family_of_lines(spark):
     assert len(set(got) ^ set(brute_lines(rows))) <= 1
 
 
+def test_short_lines_and_scripts_without_blanks(spark):
+    han = "".join(chr(0x4E00 + 7 * i) for i in range(120))
+    docs = {1: f"Home\n\n{han}\n\nAbout us", 2: f"{han}终\nabout  US\nonly here", 3: f"home\n{han}", 4: "Hone\n\n", 5: "a\nb\na"}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in ld.dedup_lines(df).collect()}
+    assert got == {1: docs[1], 2: "only here", 4: docs[4], 5: "a\nb"}
+
+
 def full(line):
     """The shingles of eight characters at every character of a folded line."""
     return frozenset(line[i : i + 8] for i in range(max(len(line) - 7, 1)))
