@@ -13,12 +13,15 @@ of the template, and even a notice of a single shingle has a Jaccard similarity
 share of the template's shingles (as text) inside the spot's surroundings must be at least
 ``CONTAINED``.  Surroundings reach a template's length to both sides.
 
+A template of fewer than five words is one shingle of all its words.  Every stretch of so
+many words inside a document window is compared with it by hash, so none is missed.
+
 Template windows are few and known beforehand: their minimum hashes stand as literals in
 the plan, and a document window that agrees in no band goes no further.  Only retrieved
 spots are joined to their documents again.  A document with thousands of notices yields a
 row per spot before the spots are merged by a partial aggregate.
 
-Missing and short texts have no shingles and match nothing.  Repeated rows count once per
+Missing and empty texts match nothing, texts under five words only templates as short.  Repeated rows count once per
 id; rows without an id are reported under a null id.  An empty table gives no rows.
 """
 
@@ -37,6 +40,12 @@ TEMPLATES = {
     "MIT-notice": "Released under the MIT License.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "Apache-2.0-notice": "Licensed under the Apache License, Version 2.0.",
+    "all-rights-reserved": "All rights reserved.",
+    "CC0-1.0-notice": "CC0 1.0 Universal",
+    "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "LGPL-notice": "GNU Lesser General Public License",
+    "AGPL-notice": "GNU Affero General Public License",
     "GPL-3.0-notice": "This work is licensed under the GNU General Public License, version 3.",
     "CC-BY-4.0-notice": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the "
@@ -56,6 +65,14 @@ TEMPLATES = {
     "rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
     "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice "
     "and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "MIT-warranty": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED '
+    "TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS "
+    "OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met:",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that the above copyright notice and this permission notice appear in all copies.",
 }
 
 SHINGLE = 5
@@ -71,11 +88,11 @@ def words_of(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
-def shingles_of(words: Column) -> Column:
-    """All stretches of ``SHINGLE`` words, joined by blanks, in order."""
-    n = F.greatest(F.size(words) - (SHINGLE - 1), F.lit(0))
+def shingles_of(words: Column, size: Column) -> Column:
+    """All stretches of ``size`` words, joined by blanks, in order."""
+    n = F.greatest(F.size(words) - (size - 1), F.lit(0))
     starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i <= n)
-    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, SHINGLE), " "))
+    return F.transform(starts, lambda i: F.array_join(F.slice(words, i, size), " "))
 
 
 def signature(window: Column) -> list[Column]:
@@ -91,14 +108,20 @@ def bands_of(shingles: list[Column]) -> list[Column]:
     return [F.least(*[F.xxhash64(h, F.lit(band)) for h in shingles]) for band in range(BANDS)]
 
 
-def _windows(rows: DataFrame, key: str, stride: int) -> DataFrame:
-    """``key, at, h0, ...``: the windows of ``words`` by their first word (from 0), with their shingles' hashes."""
-    n = F.greatest(F.size("words") - (SHINGLE - 1), F.lit(0))
+def _windows(rows: DataFrame, key: str, stride: int, short: list[int] | None = None) -> DataFrame:
+    """``key, at, h0, ...``: the windows of ``words`` by their first word (from 0), with their shingles' hashes.
+
+    With ``short`` also ``grams``, the hashes of all stretches of so many words, and a window for texts under five words.
+    """
+    n = F.greatest(F.size("words") - (SHINGLE - 1), F.least(F.size("words"), F.lit(1)) if short else F.lit(0))
     starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(stride)), lambda i: i < n)
     size = WINDOW + SHINGLE - 1
     cut = let(F.col("words"), lambda all_: F.transform(starts, lambda i: F.struct(i.alias("at"), F.slice(all_, i + 1, size).alias("words"))))
     spread = rows.select(key, F.explode(cut).alias("w"))
-    return spread.select(key, "w.at", *[h.alias(f"h{k}") for k, h in enumerate(signature(F.col("w.words")))])
+    hashes = [h.alias(f"h{k}") for k, h in enumerate(signature(F.col("w.words")))]
+    words = [F.get(F.col("w.words"), F.lit(i)) for i in range(size)]
+    grams = [F.xxhash64(*words[k : k + n]) for n in short or [] for k in range(size - n + 1)]
+    return spread.select(key, "w.at", *hashes, *([F.array(*grams).alias("grams")] if grams else []))
 
 
 def license_matches(
@@ -118,26 +141,34 @@ def license_matches(
     # As many rows as the templates have words.
     lines = _windows(listed.select("template", "words"), "template", 1).select("template", *banded).collect()
     values = [sorted({r[f"b{i}"] for r in lines}) for i in range(BANDS)]
+    # Templates without a shingle of full length, by the hash of all their words; words that are not there add nothing to it.
+    whole = F.xxhash64(*[F.get(F.col("words"), F.lit(i)) for i in range(SHINGLE - 1)]).alias("value")
+    brief = listed.where(F.size("words").between(1, SHINGLE - 1)).select("template", F.size("words").alias("n"), whole).collect()
+    short = sorted({r.n for r in brief})
 
     rows = docs.select(F.col(id_col).alias("doc_id"), words_of(F.col(text_col)).alias("words"))
-    found = _windows(rows, "doc_id", STRIDE).select("doc_id", "at", *banded)
+    found = _windows(rows, "doc_id", STRIDE, short).select("doc_id", "at", *banded, *(["grams"] if short else []))
     hits = [F.when(F.col(f"b{i}").isin(values[i]), F.struct(F.lit(i).alias("band"), F.col(f"b{i}").alias("value"))) for i in range(BANDS)]
-    found = found.select("doc_id", "at", F.explode(F.array_compact(F.array(*hits))).alias("hit"))
+    hits = F.array_compact(F.array(*hits))
+    if short:
+        equal = F.array_intersect("grams", F.array(*[F.lit(v) for v in sorted({r.value for r in brief})]))
+        hits = F.concat(hits, F.transform(equal, lambda v: F.struct(F.lit(BANDS).alias("band"), v.alias("value"))))
+    found = found.select("doc_id", "at", F.explode(hits).alias("hit"))
 
     # The templates' bands: a literal table, as small as the caller's templates are.
-    keys = sorted({(i, r[f"b{i}"], r["template"]) for r in lines for i in range(BANDS)})
+    keys = sorted({(i, r[f"b{i}"], r["template"]) for r in lines for i in range(BANDS)} | {(BANDS, r.value, r.template) for r in brief})
     bands = F.broadcast(spark.createDataFrame(keys, "band int, value long, template string"))
     retrieved = found.select("doc_id", "at", "hit.*").join(bands, ["band", "value"])
     retrieved = settle(retrieved.select("doc_id", "template", "at").distinct())
 
-    wanted = F.array_distinct(shingles_of(F.col("words"))).alias("wanted")
+    wanted = F.array_distinct(shingles_of(F.col("words"), F.least(F.size("words"), F.lit(SHINGLE)))).alias("wanted")
     texts = listed.select("template", wanted, F.size("words").alias("long"))
     spots = retrieved.join(F.broadcast(texts), "template")
     near = rows_near(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), retrieved, "doc_id")
     spots = spots.withColumnRenamed("doc_id", "_id").join(near, F.col("_id").eqNullSafe(F.col("doc_id"))).drop("_id")
     first = F.greatest(F.col("at") - F.col("long"), F.lit(0))
     around = F.slice(words_of(F.col("text")), first + 1, 2 * F.col("long") + WINDOW + SHINGLE)
-    held = let(around, lambda words: let(shingles_of(words), lambda have: F.size(F.array_intersect(F.col("wanted"), have))))
+    held = let(around, lambda words: let(shingles_of(words, F.least("long", F.lit(SHINGLE))), lambda have: F.size(F.array_intersect(F.col("wanted"), have))))
     share = held / F.size("wanted")
     spots = spots.select("doc_id", "template", "at", share.alias("share")).distinct()
     good = spots.where(F.col("share") >= contained)

@@ -164,6 +164,27 @@ def test_license_containment_and_odd_rows(spark, odd, none):
     assert {r.doc_id for r in license_matches(own).collect()} == {r.doc_id for r in odd.collect()}
 
 
+#: The license and rights lines that stand in the documents of the driver's tables, as they stand there.
+LINES = [
+    "All rights reserved.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0.",
+    "Licensed under the Apache License, Version 2.0.", "This work is licensed under the GNU General Public License, version 3.",
+]
+
+
+def test_lines_of_the_data_and_short_templates(spark, tables):
+    texts = {r.doc_id: r.text for r in tables("documents").collect()}
+    holding = {d for d, t in texts.items() if any(norm(line) in norm(t) for line in LINES)}
+    assert {r.doc_id for r in license_matches(tables("documents")).collect()} == holding
+    filler = [f"w{i}" for i in range(20)]
+    placed = [" ".join([*filler[:k], line, *filler[k:n]]) for line in LINES for n in (0, 9, 20) for k in range(n + 1)]
+    df = spark.createDataFrame(list(enumerate([*placed, "all rights", "rights reserved all"])), "doc_id long, text string")
+    assert {r.doc_id for r in license_matches(df).collect()} == set(range(len(placed)))
+    got = license_matches(df, {"one": "w3", "two": "w4 w5", "none": ""}).collect()
+    assert {(r.doc_id, r.template) for r in got} == {
+        (i, k) for i, t in enumerate(placed) for k, w in (("one", "w3"), ("two", "w4 w5")) if norm(w) in norm(t)
+    }
+
+
 # --- decontamination
 
 
