@@ -44,28 +44,45 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+def unused(stem: str, *frames: DataFrame) -> str:
+    """``stem``, with underscores added until no frame has such a column."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def _own(df: DataFrame) -> list[str]:
+    return [f"`{c}`" for c in df.columns]
+
+
+def _marked(df: DataFrame, keys: DataFrame, column: str, bits: int) -> tuple[DataFrame, DataFrame, str]:
+    """``df`` with the hash bucket of ``column``, the distinct buckets of ``keys``, and that column's name."""
+    name = unused("_bucket", df)
+    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
+    return df.withColumn(name, bucket), keys.select(bucket.alias(name)).distinct(), name
+
+
 def rows_near(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
     """The rows of ``df`` whose ``column`` falls into a hash bucket of some row of ``keys``.
 
     A cheap sieve before a join on ``column``: it loses no partner, and what it broadcasts
     has at most ``2 ** bits`` whole numbers, however many keys there are.
     """
-    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
-    marks = keys.select(bucket.alias("_bucket")).distinct()
-    return df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_semi").select(df.columns)
+    rows, marks, name = _marked(df, keys, column, bits)
+    return rows.join(F.broadcast(marks), name, "left_semi").select(*_own(df))
 
 
 def rows_outside(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
     """The other rows: what :func:`rows_near` leaves out."""
-    bucket = F.pmod(F.xxhash64(F.col(column)), F.lit(1 << bits)).cast("int")
-    marks = keys.select(bucket.alias("_bucket")).distinct()
-    return df.withColumn("_bucket", bucket).join(F.broadcast(marks), "_bucket", "left_anti").select(df.columns)
+    rows, marks, name = _marked(df, keys, column, bits)
+    return rows.join(F.broadcast(marks), name, "left_anti").select(*_own(df))
 
 
 def rows_without(df: DataFrame, keys: DataFrame, column: str, bits: int = 18) -> DataFrame:
     """The rows of ``df`` whose ``column`` is in no row of ``keys``; only rows behind the same sieve are shuffled."""
     near = rows_near(df, keys, column, bits).join(keys, column, "left_anti")
-    return rows_outside(df, keys, column, bits).union(near.select(df.columns))
+    return rows_outside(df, keys, column, bits).union(near.select(*_own(df)))
 
 
 def running_before(df: DataFrame, order: str, value: str, name: str, each: int = 4096) -> DataFrame:

@@ -7,7 +7,8 @@ first, then by id, so the lengths alone describe them.
 A block is self-contained apart from the lengths: 4 bytes mark, then as little-endian
 unsigned 32-bit numbers the ids held, the ids between checkpoints and the checkpoints'
 number, then the checkpoints (the bit at which every ``step``-th id starts), then the
-bits, most significant first, padded to a byte.  Decoding looks ``limit`` bits up in one
+bits, most significant first, padded to a byte.  Only a block that one document fills with
+2**32 bits or more has 64-bit checkpoints, under a mark of its own.  Decoding looks ``limit`` bits up in one
 table that gives the id and its code's length; it runs from all checkpoints at once.
 """
 
@@ -15,7 +16,9 @@ from __future__ import annotations
 
 import numpy as np
 
-MARK = b"HFB1"
+#: Blocks of fewer than NARROW bits have checkpoints of 32 bits; others, marked WIDE, of 64.
+MARK, WIDE = b"HFB1", b"HFB8"
+NARROW = 1 << 32
 LIMIT = 16
 STEP = 128
 
@@ -93,10 +96,9 @@ class Coder:
         end = np.cumsum(width)
         start = end - width
         bits = int(end[-1]) if len(ids) else 0
-        marks = start[::step].astype("<u4")
-        if bits >> 32:
-            raise ValueError("a block holds at most 2**32 bits")
-        head = MARK + np.array([len(ids), step, len(marks)], dtype="<u4").tobytes() + marks.tobytes()
+        wide_marks = bits >= NARROW
+        marks = start[::step].astype("<u8" if wide_marks else "<u4")
+        head = (WIDE if wide_marks else MARK) + np.array([len(ids), step, len(marks)], dtype="<u4").tobytes() + marks.tobytes()
         words = np.zeros((bits >> 5) + 2, dtype=np.uint64)
         if len(ids):
             # A code touches one 32-bit word or two; the parts of a word do not overlap, so a sum joins them.
@@ -109,11 +111,12 @@ class Coder:
 
     def decode(self, block: bytes) -> np.ndarray:
         """All ids of a block."""
-        if block[:4] != MARK:
+        if block[:4] not in (MARK, WIDE):
             raise ValueError("not a block of ids")
+        kind = np.dtype("<u4" if block[:4] == MARK else "<u8")
         n, step, k = np.frombuffer(block, dtype="<u4", count=3, offset=4).tolist()
-        at = np.frombuffer(block, dtype="<u4", count=k, offset=16).astype(np.int64)
-        raw = np.frombuffer(block + b"\0" * 8, dtype=np.uint8, offset=16 + 4 * k).astype(np.uint32)
+        at = np.frombuffer(block, dtype=kind, count=k, offset=16).astype(np.int64)
+        raw = np.frombuffer(block + b"\0" * 8, dtype=np.uint8, offset=16 + kind.itemsize * k).astype(np.uint32)
         # The 32 bits from every byte on, so that one look gives the next code wherever it starts.
         ahead = (raw[:-3] << 24) | (raw[1:-2] << 16) | (raw[2:-1] << 8) | raw[3:]
         out = np.zeros((step, k), dtype=np.uint32)

@@ -6,12 +6,15 @@ word, the word's two ends counting as characters.  Each subword is hashed to one
 gives the languages' probabilities.  Embeddings and layer are trained together by
 stochastic gradient descent in numpy.
 
-Training reads a bounded sample of labelled rows: by a hash of the id, ``SAMPLE`` rows of
-each language are expected, whatever the size of the table.  Executors turn whole texts
+Training reads a bounded sample of labelled rows: by a hash of id and text, ``SAMPLE`` rows of
+each language at most are expected, whatever the size of the table; equal rows count once.  Executors turn whole texts
 into subword counts; only these (at most ``BUCKETS`` numbers a text) come to the driver.
 A fifth of the sample is kept from training to calibrate: a temperature makes the
 probabilities of a few subwords drawn from each of these texts honest, and a text is
-rejected if its calibrated score is below half of what all but ``REJECTED`` of the held-back texts reach, or if it has no letters.
+rejected if its calibrated score is below what all but ``REJECTED`` of these draws reach (with too
+few of them: below an even chance), or if it has no letters.  Texts of other languages,
+scripts and noise score about as low as ``languages`` allows; one close to a learned
+language may pass as that one.
 
 Prediction is a sum of one table row per subword (embedding times layer is folded into
 one matrix of buckets by languages), over whole texts and in bounded memory: very long
@@ -33,17 +36,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import query, table
+from hedonic.llm.common import query, table, unused
 
 BUCKETS = 1 << 14
 DIM = 16
 ORDERS = (1, 2, 3, 4)
 #: Expected rows of each language to train and calibrate on.
 SAMPLE = 700
-#: Share of good held-back texts that the rejection may cost.
-REJECTED = 0.0005
+#: Share of the held-back texts' short draws, rightly told, that may fall below the threshold.  Whole texts score higher.
+REJECTED = 0.001
 #: Subwords drawn from each held-back text to calibrate on; whole texts are hardly ever in doubt.
 THIN = 24
+#: Such draws from each of these texts.
+DRAWS = 10
 #: Characters hashed at a time.
 PIECE = 1 << 16
 UNKNOWN = "und"
@@ -196,8 +201,9 @@ def fit(
     truth, few = [], []
     for i in np.flatnonzero(held if held.any() else ~held).tolist():
         at, n = features[i]
-        few.append(weights[rng.choice(at, THIN, p=n / n.sum())].mean(axis=0))
-        truth.append(y[i])
+        draws = rng.choice(at, (DRAWS, THIN), p=n / n.sum())
+        few += list(weights[draws].mean(axis=1))
+        truth += [y[i]] * DRAWS
     logits, truth = np.array(few) + bias, np.array(truth)
     best, temperature = np.inf, 1.0
     for t in np.geomspace(0.02, 20, 60):
@@ -206,8 +212,9 @@ def fit(
             best, temperature = loss, float(t)
     p = _softmax(logits / temperature)
     right = np.sort(p.max(axis=1)[p.argmax(axis=1) == truth])
-    # Half the score that all but the allowed share of good texts reach: unseen good texts vary more.
-    threshold = float(right[int(len(right) * rejected)]) / 2 if len(right) else 0.0
+    # With few rows the quantile would be the weakest of them all, which says nothing.
+    at = int(len(right) * rejected)
+    threshold = float(right[at]) if at else 1 / max(len(languages), 1)
     return Model(languages, weights, bias.astype(np.float64), temperature, threshold)
 
 
@@ -222,7 +229,8 @@ def train(
         return Model((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0), 1.0, 0.0)
     shares = {k: min(1.0, sample / n) for k, n in sizes.items()}
     share = F.coalesce(*[F.when(F.col("label") == k, F.lit(v)) for k, v in sorted(shares.items())])
-    drawn = rows.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30))
+    # Drawn by id and text, copies once, so that no row without an id and no family of copies comes as a whole.
+    drawn = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) < share * (1 << 30)).dropDuplicates(["id", "text", "label"])
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,14 +260,15 @@ def identify(docs: DataFrame, model: Model, *, text_col: str = "text", prefix: s
             yield pd.DataFrame([shipped.value.predict(t) for t in batch], columns=["lang_pred", "score", "rejected"])
 
     judge = F.pandas_udf(predict, "lang_pred string, score double, rejected boolean")
-    judged = docs.withColumn("_judged", judge(F.col(text_col).cast("string")))
-    names = [(f"{prefix}{c}", F.col(f"_judged.{c}")) for c in ("lang_pred", "score", "rejected")]
-    return judged.withColumns(dict(names)).drop("_judged")
+    found = unused("_judged", docs)
+    judged = docs.withColumn(found, judge(F.col(text_col).cast("string")))
+    names = [(f"{prefix}{c}", F.col(f"{found}.{c}")) for c in ("lang_pred", "score", "rejected")]
+    return judged.withColumns(dict(names)).drop(found)
 
 
 def held_out(id_col: str = "doc_id"):
-    """The third of all documents that nothing is learned from."""
-    return F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1
+    """The third of all documents that nothing is learned from; a row without an id is not held out."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 @query("op3_language")

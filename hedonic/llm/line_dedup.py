@@ -19,8 +19,8 @@ Every line that is not empty takes part, in scripts with blanks or without: one
 that hold ``STRETCH`` shingles each, so that a text is cut out per stretch and not per character.
 
 Missing texts have no lines and stay missing.  A document all of whose lines go is dropped
-by :func:`dedup_lines`; rows that repeat an id and a text keep the same lines, rows without an
-id count like others.  An empty table gives no rows.
+by :func:`dedup_lines`; rows that repeat an id and a text keep the same lines, an id's different
+texts are documents of their own, rows without an id count like others.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -31,16 +31,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import let, query, rows_near, rows_outside, table
+from hedonic.llm.common import let, query, rows_near, rows_outside, table, unused
 from hedonic.llm.components import components
 from hedonic.session import release, settle
 
-#: A shingle's characters, and how many characters later the next one starts.
-SHINGLE, PIECE = 8, 1
+#: A shingle's characters.
+SHINGLE = 8
 ROWS, BANDS = 5, 12
 LIKE = 80
-#: Stretches without blanks that a line must have: one, so that only empty lines are left alone.
-MIN_WORDS = 1
 #: Buckets (as a power of two) of the sieve before lines are joined.
 SIEVE = 21
 
@@ -48,7 +46,7 @@ SIEVE = 21
 STRETCH, BITS = 8, 20
 
 #: Every shingle of a line.
-SHINGLES = r"(?s)(?=(.{%d}|\A.{1,%d}\z)).{%d}" % (SHINGLE, SHINGLE - 1, PIECE)
+SHINGLES = r"(?s)(?=(.{%d}|\A.{1,%d}\z))." % (SHINGLE, SHINGLE - 1)
 #: Every stretch, with the characters of its last shingle.
 STRETCHES = r"(?s)(?=(.{%d,%d}|\A.{1,%d}\z)).{1,%d}" % (SHINGLE, STRETCH + SHINGLE - 1, SHINGLE - 1, STRETCH)
 #: White space that is not a single blank, and its likely signs.
@@ -71,8 +69,12 @@ def folded(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, at, line, folded, filled, key``: every line with its place; ``key`` is the folded line's hash."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("at", "line"))
+    """``doc_id, mark, at, line, folded, filled, key``: every line with its place.
+
+    ``key`` is the folded line's hash, ``mark`` the whole text's: an id may come with several texts.
+    """
+    mark = F.xxhash64(text_col).alias("mark")
+    rows = docs.select(F.col(id_col).alias("doc_id"), mark, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("at", "line"))
     rows = rows.withColumn("folded", folded(F.col("line")))
     return rows.withColumn("filled", F.col("folded") != "").withColumn("key", F.xxhash64("folded"))
 
@@ -134,32 +136,34 @@ def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: int = LIKE) -> DataFrame:
-    """``doc_id, at``: the places of all lines that go."""
+    """``doc_id, mark, at``: the places of all lines that go."""
     lines = lines_of(docs, id_col, text_col)
     alike = settle(line_components(lines.where("filled").select("key", "folded"), like))
-    places = settle(lines.where("filled").select("doc_id", "at", "key"))
+    places = settle(lines.where("filled").select("doc_id", "mark", "at", "key"))
     # Where each distinct line first stands; combined before the shuffle.
-    first = places.groupBy("key").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
+    first = places.groupBy("key").agg(F.min(F.struct("doc_id", "mark", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
     first = first.join(alike, "key", "left").withColumn("component", F.coalesce("component", "key"))
     best = first.groupBy("component").agg(F.min("first").alias("first"), F.sum("n").alias("n"))
     # Only lines of components with more than one occurrence can go.
-    repeated = settle(first.select("key", "component").join(best.where("n > 1"), "component").select("key", F.col("first.doc_id").alias("_doc"), F.col("first.at").alias("_at")))
+    repeated = settle(first.select("key", "component").join(best.where("n > 1"), "component").select("key", "first"))
     judged = places.join(repeated, "key")
-    here = F.col("_doc").eqNullSafe(F.col("doc_id")) & (F.col("_at") == F.col("at"))
-    return judged.where(~here).select("doc_id", "at").distinct()
+    here = F.struct("doc_id", "mark", "at").eqNullSafe(F.col("first"))
+    return judged.where(~here).select("doc_id", "mark", "at").distinct()
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", like: int = LIKE) -> DataFrame:
     """``docs`` with repeated lines taken out of the text; a document left without any line is dropped."""
     places = repeated_lines(docs, id_col=id_col, text_col=text_col, like=like)
-    gone = settle(places.groupBy(F.col("doc_id").alias(id_col)).agg(F.collect_list("at").alias("_gone")))
+    gone = settle(places.groupBy(F.col("doc_id").alias(id_col), "mark").agg(F.collect_list("at").alias("gone")))
     # Most documents lose nothing and stay where they are.
     near = rows_near(docs, gone, id_col)
-    joined = near.join(gone.withColumnRenamed(id_col, "_id"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    doc, mark, lost = unused("_doc", docs), unused("_mark", docs), unused("_gone", docs)
+    same = F.col(id_col).eqNullSafe(F.col(doc)) & (F.xxhash64(text_col) == F.col(mark))
+    joined = near.join(gone.select(F.col(id_col).alias(doc), F.col("mark").alias(mark), F.col("gone").alias(lost)), same, "left")
     parts = F.split(F.col(text_col), "\n", -1)
-    rest = F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(F.col("_gone"), i), x)), lambda x: x.isNotNull())
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
-    empty = F.col("_gone").isNotNull() & (folded(text) == "")
+    rest = F.filter(F.transform(parts, lambda x, i: F.when(~F.array_contains(F.col(lost), i), x)), lambda x: x.isNotNull())
+    text = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
+    empty = F.col(lost).isNotNull() & (folded(text) == "")
     edited = joined.where(~empty).select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
     return rows_outside(docs, gone, id_col).union(edited)
 

@@ -3,7 +3,7 @@
 A document is the set of its distinct word five-grams.  Two documents link when
 ``100 * intersection >= 80 * union``; the result is each document's connected component.
 
-* Documents with equal sets are one node, represented by the smallest id.
+* Documents with equal sets are one numbered node, named after the smallest id.
 * Small sets (fewer than a boundary of n-grams) enumerate subsets of fixed size: sizes s
   and t can only link by ``o(s, t)`` common n-grams, so linked sets share a subset of that
   size, whose hash is a key.
@@ -26,7 +26,8 @@ does not grow.  Sets are rebuilt from texts where needed, not stored.
 
 Missing texts and texts without words have no n-grams and link with nothing; texts with
 fewer than five words are one n-gram.  Rows without an id stay alone, repeated rows give
-the same result twice, an empty table none.
+the same result twice, an id's different texts are documents of their own (with the id as
+name), an empty table none.
 """
 
 from __future__ import annotations
@@ -138,7 +139,7 @@ def count_sketch(docs: DataFrame, bits: int) -> np.ndarray:
     return np.minimum(out.reshape(-1), np.iinfo(np.int32).max).astype(np.int32)
 
 
-SETS = "doc_id long, n long, f1 long, f2 long, rank long, cost long, tokens array<long>"
+SETS = "doc_id long, mark long, n long, f1 long, f2 long, rank long, cost long, tokens array<long>"
 
 
 def _sets(docs: DataFrame, sketch: np.ndarray, bits: int) -> DataFrame:
@@ -151,21 +152,21 @@ def _sets(docs: DataFrame, sketch: np.ndarray, bits: int) -> DataFrame:
         often = mean + 4 * mean**0.5 + 1
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc, mark, text in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "mark", "text")], strict=True):
                 found = ngram_set(text)
                 n = len(found)
                 if n == 0:
-                    rows.append((doc, 0, 0, 0, 0, 0, []))
+                    rows.append((doc, mark, 0, 0, 0, 0, 0, []))
                     continue
                 seen = counts[(found >> np.uint64(64 - bits)).astype(np.int64)]
                 first = _signed(found[np.argsort(seen, kind="stable")[: max(listed(n), min(n, SMALL))]])
                 f1 = int(_signed(np.bitwise_xor.reduce(found * _MIX)[None])[0])
                 f2 = int(_signed(np.add.reduce(found ^ (found >> np.uint64(31)))[None])[0])
                 visits = float(np.maximum(np.sort(seen)[: listed(n)] - mean, 1.0).sum())
-                rows.append((doc, n, f1, f2, -int(1000 * (seen > often).mean()), int(visits), first))
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())]
-            fields = ["doc_id", "n", "f1", "f2", "rank", "cost", "tokens"]
+                rows.append((doc, mark, n, f1, f2, -int(1000 * (seen > often).mean()), int(visits), first))
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
+            kinds = [pa.int64()] * 7 + [pa.list_(pa.int64())]
+            fields = ["doc_id", "mark", "n", "f1", "f2", "rank", "cost", "tokens"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=fields)
 
     return docs.mapInArrow(make, SETS)
@@ -240,13 +241,19 @@ def _fits(a: str, b: str):
 def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = rows.withColumn("mark", F.xxhash64("text"))
     sets = settle(_sets(rows, count_sketch(rows, SKETCH_BITS), SKETCH_BITS))
 
     whole = ["f1", "f2", "n"]
-    reps = sets.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy(*whole).agg(F.min("doc_id").alias("node"))
-    member = settle(sets.select("doc_id", *whole).join(reps, whole, "left").select("doc_id", "n", "node"))
-    heads = settle(member.where(F.col("doc_id") == F.col("node")).select("node").distinct())
-    nodes = settle(sets.where("n > 0").withColumnRenamed("doc_id", "node").join(heads, "node").dropDuplicates(["node"]))
+    named = (F.col("n") > 0) & F.col("doc_id").isNotNull()
+    # An id may come with several texts, so sets have numbers of their own; the table is written, which fixes them.
+    reps = sets.where(named).groupBy(*whole).agg(F.min(F.struct("doc_id", "mark")).alias("head"))
+    reps = settle(reps.select(*whole, "head.doc_id", "head.mark").withColumn("node", F.monotonically_increasing_id()))
+    numbers = F.when(F.col("doc_id").isNotNull(), F.col("node"))
+    member = sets.select("doc_id", *whole).join(reps.select(*whole, "node"), whole, "left").select("doc_id", "n", numbers.alias("node"))
+    member = settle(member)
+    heads = reps.select("doc_id", "mark", "node")
+    nodes = settle(sets.where(named).join(heads, ["doc_id", "mark"]).drop("doc_id", "mark").dropDuplicates(["node"]))
     release(sets)
 
     costs = nodes.where(F.col("n") <= SMALL).groupBy("n").agg(F.count(F.lit(1)).alias("nodes"), F.sum("cost").alias("visits"))
@@ -264,7 +271,7 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Leaders only have to be plausible: half the hits, as some of the pair's keys have other leaders.
     star = star.agg(F.count(F.lit(1)).alias("hits"), F.min(wanted).alias("least"), F.min("at").alias("at"))
     star = settle(star.where((F.col("at") < 0) | (2 * F.col("hits") >= 1 + F.floor(F.col("least") / PER_HIT))).select("u", "v"))
-    texts = _texts(rows, star)
+    texts = _texts(rows, star, heads)
     verified = settle(_verify(star, texts))
     links = _linked(verified)
     label = settle(components(links))
@@ -300,20 +307,24 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     enough = (F.col("hits") >= F.col("hits_needed")) & (F.col("hits") + F.col("after") >= F.col("need"))
     rest = met.where((F.col("i") < 0) | enough).select("u", "v")
     rest = settle(rest)
-    more = settle(_linked(_verify(rest, _texts(rows, rest))))
+    more = settle(_linked(_verify(rest, _texts(rows, rest, heads))))
     both = settle(components(links.union(more)))
 
-    named = member.join(both, "node", "left")
-    component = F.coalesce("component", "node", "doc_id")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
-
-
-def _texts(rows: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Whole texts of the nodes in ``pairs``."""
-    ids = pairs.select(F.col("u").alias("doc_id")).union(pairs.select(F.col("v").alias("doc_id"))).distinct()
-    ids = settle(ids)
-    found = rows_near(rows, ids, "doc_id").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return settle(found.select(F.col("doc_id").alias("node"), "text"))
+    # A linked set's name is the smallest id in its component, another's the smallest id that has it.
+    ids = heads.select("node", F.col("doc_id").alias("own"))
+    linked = settle(both.join(ids, "node"))
+    least = linked.groupBy("component").agg(F.min("own").alias("least"))
+    names = linked.join(least, "component").select("node", "least")
+    found = member.join(ids, "node", "left").join(names, "node", "left")
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "own", "doc_id").alias("component_id"))
+
+
+def _texts(rows: DataFrame, pairs: DataFrame, heads: DataFrame) -> DataFrame:
+    """Whole texts of the nodes in ``pairs``, taken from their first rows (``heads``)."""
+    ids = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    ids = settle(heads.join(ids, "node", "left_semi"))
+    found = rows_near(rows, ids, "doc_id").join(ids, ["doc_id", "mark"]).dropDuplicates(["node"])
+    return settle(found.select("node", "text"))
 
 
 @query("op4_ngram_join")

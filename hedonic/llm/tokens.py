@@ -66,9 +66,12 @@ class WordEncoder:
 def _parts(word: str) -> tuple[str, str]:
     """A word as letters and the ASCII punctuation after them, which are encoded apart anyway."""
     core = word.rstrip(PUNCTUATION)
-    if not core or "<|" in word or not core[-1].isalpha():  # "<|": perhaps a special token
+    if not core or "<|" in word:  # perhaps a special token
         return word, ""
-    return core.lower() if core.isascii() else core, word[len(core) :]
+    if core.isascii():
+        return (core.lower(), word[len(core) :]) if core[-1].isalpha() else (word, "")
+    # Lower case of some letters ends in a mark, which would join what follows.
+    return (core, word[len(core) :]) if core[-1].isalpha() and core.lower()[-1].isalpha() else (word, "")
 
 
 _ENCODERS: dict[str, WordEncoder] = {}

@@ -10,7 +10,8 @@ ODD = [
     (7, "Repeated row with enough words in it.", "en"), (7, "Repeated row with enough words in it.", "en"),
     (8, "Repeated row with enough words in it.", "en"), (9, "\n\n  \n", "en"),
 ]
-CLASHING = ("key", "at", "line", "shard", "slot", "node", "label", "_range", "next", "words", "ids", "n", "part", "start")
+CLASHING = ("key", "at", "line", "shard", "slot", "node", "label", "_range", "next", "words", "ids", "n", "part", "start",
+            "_bucket", "_gone", "_id", "_doc", "_mark", "_judged", "mark", "head", "first", "gone", "row", "folded")
 
 
 @pytest.fixture(scope="session")

@@ -55,6 +55,7 @@ def test_scores_are_calibrated_and_rejection_spares_good_texts():
     model = fit([counts_of(t) for t, _ in texts], [k for _, k in texts])
     judged = [model.predict(t) for t, _ in texts]
     assert all(g[0] == k and not g[2] for g, (_, k) in zip(judged, texts))
+    assert all(model.predict(t)[2] for t in ("日本語の文章", "Все люди рождаются свободными", "kpz xqwy vjlk zzz qqq"))
     assert model.predict("1 2 3") == ("und", 0.0, True) and model.predict(None)[2]
     assert model.predict("zzz qqq")[1] < min(g[1] for g in judged)
 
