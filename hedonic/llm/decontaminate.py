@@ -12,8 +12,9 @@ are skipped.  In the others the items' exact scores are added up term by term.
 Items that pass are verified on word five-grams of the whole text: the last sentence of an
 item is its answer, the rest its question (an item of one sentence has only a question).
 A text is contaminated by an item if it holds at least ``OVERLAP`` of the question's
-five-grams and of the answer's, or of the whole item's; parts with fewer than five words
-count as one n-gram of all their words.
+five-grams and of the answer's, or of the whole item's and something of either; parts with
+fewer than five words count as one n-gram of all their words.  Scripts without blanks have
+a word for each letter.
 
 Items come as a table of any size.  They are read in slices of at most ``SLICE_WORDS``
 words, so that what is broadcast has a proven bound; each slice is one pass over the
@@ -28,7 +29,8 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
+from functools import cached_property, reduce
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +47,16 @@ K1, B = 1.2, 0.75
 #: Items bounded together.
 BLOCK = 16
 #: Words of items in one broadcast index.
-SLICE_WORDS = 2_000_000
+SLICE_WORDS = 1_000_000
+#: Blocks whose bounds are added up together.
+BAND = 64
 NGRAM = 5
 
 #: What ends a sentence.
-SENTENCE_END = re.compile(r"(?<=[.!?])\s+")
-WORD = re.compile(r"[^\W_]+")
+SENTENCE_END = re.compile(r"(?<=[.!?])\s+|(?<=[。！？])\s*")
+#: Scripts written without blanks, each letter of which is a word (Thai to Khmer, kana, Han).
+UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORD = re.compile(rf"(?=[{UNSPACED}])[^\W_]|[^\W_{UNSPACED}]+")
 
 MATCHES = (
     "doc_id long, item_id long, score double, passage long, question_overlap double, answer_overlap double, overlap double"
@@ -105,7 +111,14 @@ class Index:
             goal = share * sum(best)
             for t, v in own.items():
                 lists[t][at] = v / goal
-        self.maxima = np.zeros((size + 1, self.blocks), dtype=np.float32)
+        # Block maxima of a band of blocks, with a row for each term that occurs there and one for all others:
+        # no more rows than the band's items have words, whatever the vocabulary.
+        rows: list[dict[int, int]] = [{} for _ in range(0, self.blocks, BAND)]
+        for t, found in enumerate(lists):
+            for at in found:
+                held = rows[at // (BLOCK * BAND)]
+                held.setdefault(t, len(held) + 1)
+        self.bands = [(held, np.zeros((len(held) + 1, BAND), dtype=np.float32)) for held in rows]
         # Postings by (term, block): where the block's items start.
         self.postings: list[dict[int, tuple[np.ndarray, np.ndarray]]] = []
         for t, found in enumerate(lists):
@@ -114,7 +127,8 @@ class Index:
                 by.setdefault(at // BLOCK, []).append((at % BLOCK, v))
             self.postings.append({b: (np.array([a for a, _ in x]), np.array([v for _, v in x])) for b, x in by.items()})
             for b, x in by.items():
-                self.maxima[t, b] = max(v for _, v in x)
+                held, maxima = self.bands[b // BAND]
+                maxima[held[t], b % BAND] = max(v for _, v in x)
 
     def retrieve(self, words: list[str]) -> dict[int, tuple[float, int]]:
         """Best score and first word of that passage, for every item some passage retrieves."""
@@ -124,14 +138,16 @@ class Index:
         ends = np.minimum(starts + PASSAGE, len(words))
         out: dict[int, tuple[float, int]] = {}
         # Passages with too few known words cannot reach any goal; the bounds say so.
-        for lo in range(0, self.blocks, 64):
+        for band, (held, maxima) in enumerate(self.bands if len(ids) else []):
+            lo = band * BAND
+            at = np.fromiter(map(held.get, ids.tolist(), repeat(0)), dtype=np.int64, count=len(ids))
             # A repeated word counts once in a score and more often in the bound, which only grows.
-            half = np.add.reduceat(self.maxima[ids, lo : lo + 64], starts, axis=0) if len(ids) else np.zeros((0, 0))
+            half = np.add.reduceat(maxima[at], starts, axis=0)
             bound = half.copy()
             bound[:-1] += half[1:]
             for p, b in np.argwhere(bound >= 1 - 1e-4).tolist():
-                at, score = self._scores(ids[starts[p] : ends[p]], lo + b)
-                for i, s in zip(at, score, strict=True):
+                found, score = self._scores(ids[starts[p] : ends[p]], lo + b)
+                for i, s in zip(found, score, strict=True):
                     item = self.item_ids[i]
                     if s >= 1 and s > out.get(item, (0.0, 0))[0]:
                         out[item] = (s, int(starts[p]))
@@ -202,16 +218,23 @@ def contamination(
     return reduce(DataFrame.unionByName, found[1:] or found).distinct()
 
 
+class _Items:
+    """Items as they are broadcast; a worker process makes their index once."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        # An id may come with several texts; positions tell them apart until the rows are made.
+        self.numbered, self.names = list(enumerate(t for _, t in items)), [i for i, _ in items]
+
+    @cached_property
+    def made(self) -> tuple[Index, Verifier]:
+        return Index(self.numbered), Verifier(dict(self.numbered))
+
+
 def _matches(texts: DataFrame, items: list[tuple[int, str]], overlap: float) -> DataFrame:
-    # An id may come with several texts; positions tell them apart until the rows are made.
-    shipped = texts.sparkSession.sparkContext.broadcast((list(enumerate(t for _, t in items)), [i for i, _ in items]))
-    cache: dict[str, tuple[Index, Verifier]] = {}
+    shipped = texts.sparkSession.sparkContext.broadcast(_Items(items))
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbered, names = shipped.value
-        if "made" not in cache:
-            cache["made"] = (Index(numbered), Verifier(dict(numbered)))
-        index, verifier = cache["made"]
+        names, (index, verifier) = shipped.value.names, shipped.value.made
         for batch in batches:
             out: list[tuple] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -221,7 +244,7 @@ def _matches(texts: DataFrame, items: list[tuple[int, str]], overlap: float) ->
                 for item, (score, at) in index.retrieve(words).items():
                     question, answer, whole = verifier.shares(item, words)
                     parts = [s for s in (question, answer) if s is not None]
-                    if whole >= overlap or min(parts) >= overlap:
+                    if min(parts) >= overlap or (whole >= overlap and min(parts) > 0):
                         out.append((doc, names[item], score, at, question, answer, whole))
             columns = list(zip(*out, strict=True)) or [[]] * 7
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]

@@ -8,7 +8,9 @@ an article and how often outside.  A tag's penalty is the log-odds of being outs
 container (by its name, class, id or role) whose words were nearly always outside is
 clutter: its words score nothing and are left out, also in the middle of an article.
 Usual names of menus, adverts, forms, notices and reader comments are clutter from the
-start, for pages unlike the labelled ones.
+start, for pages unlike the labelled ones; a form, or a name like ``has-sidebar``, around more
+than half of a page's words is a wrapper instead.  Articles in a container of comments or
+of teasers are part of it.
 
 Weights are sums over a bounded sample of labelled pages (``SAMPLE`` expected rows, by a
 hash of the id) made on the executors; one row per distinct tag or container comes to the
@@ -46,7 +48,7 @@ CLUTTER = 3.0
 MOST = 2.0
 
 #: Elements whose content is never shown as text.
-HIDDEN = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "head", "title", "select", "textarea", "button")
+HIDDEN = ("script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "title", "select", "textarea", "button")
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not end a block.
@@ -66,94 +68,175 @@ CLUTTER_NAMES = frozenset(
     "pager toolbar widget widgets complementary contentinfo".split()
 )
 ARTICLE = ("article", "main")
+#: First name parts of containers whose articles are not the page's own.
+FOREIGN = frozenset("comment comments disqus reply replies respond discussion related recommended".split())
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
+START = re.compile(r"<!--|<[!?]|<(/?)([a-zA-Z][^\s/>]*)")
+#: The rest of a tag.  A value may hold ``>`` between quotes; nothing is tried twice.
+REST = re.compile(r"((?>=\s*(?:\"[^\"]*\"|'[^']*')|[^>])*+)>")
 NAMED = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 PART = re.compile(r"[a-z0-9]+")
 
 
 def _end_of(name: str, page: str, start: int) -> int:
-    found = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, start)
-    return found.end() if found else len(page)
+    found = re.compile(rf"</{name}\b", re.I).search(page, start)
+    return page.find(">", found.end()) + 1 or len(page) if found else len(page)
+
+
+def tags_of(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``start, end, name, whether an end tag, attributes`` of every tag; comments and the like have no name.
+
+    Time is linear: a tag whose quotes never end closes at the next ``>``, and what no ``>`` follows is text.
+    The caller may send the place to go on from, to pass over what a tag hides.
+    """
+    at, last = 0, page.rfind(">")
+    while (m := START.search(page, at)) is not None:
+        start, name = m.start(), (m[2] or "").lower()
+        rest = ""
+        if m[0] == "<!--":
+            found = page.find("-->", m.end())
+            end = found + 3 if found >= 0 else len(page)
+        elif m.end() > last:
+            at = m.end()
+            continue
+        elif not name:
+            end = page.index(">", m.end()) + 1
+        else:
+            found = REST.match(page, m.end())
+            end = found.end() if found else page.index(">", m.end()) + 1
+            rest = page[m.end() : end - 1]
+        at = (yield start, end, name, bool(m[1]), rest) or end
+
+
+def containers_of(name: str, attributes: str) -> tuple[str, ...]:
+    """Names under which an element can be known as clutter: itself, and its class, id and role."""
+    found = [name]
+    for m in NAMED.finditer(attributes):
+        value = (m[2] or m[3] or m[4] or "").lower()
+        found += [f"{name}.{part}" for part in value.split()]
+    return tuple(found)
+
+
+def foreign(names: tuple[str, ...]) -> bool:
+    """Is this a container of comments or of other articles' teasers?"""
+    return any(label and not FOREIGN.isdisjoint(PART.findall(label)[:1]) for label in (n.partition(".")[2] for n in names))
+
+
+@dataclass
+class Container:
+    """An element: its names, those that no element around it has, and the container around it (-1: none)."""
+
+    tag: str
+    names: tuple[str, ...]
+    new: tuple[str, ...]
+    around: int
 
 
 @dataclass
 class Units:
-    """A page: for each unit its kind (tag name, ``""`` for text), text, containers around it and whether it lies in an article."""
+    """A page: for each unit its kind (tag name, ``""`` for text), text, innermost container (-1: none) and whether it lies in an article."""
 
     tags: list[str] = field(default_factory=list)
     texts: list[str] = field(default_factory=list)
-    inside: list[tuple[str, ...]] = field(default_factory=list)
+    inside: list[int] = field(default_factory=list)
     article: list[bool] = field(default_factory=list)
+    containers: list[Container] = field(default_factory=list)
     articles: int = 0
 
-    def add(self, tag: str, text: str, names: tuple[str, ...], article: bool) -> None:
+    def add(self, tag: str, text: str, inside: int, article: bool) -> None:
         self.tags.append(tag)
         self.texts.append(text)
-        self.inside.append(names)
+        self.inside.append(inside)
         self.article.append(article)
 
-
-def containers_of(name: str, attributes: str) -> tuple[str, ...]:
-    """Names under which an element can be known as clutter: itself, and its class, id and role."""
-    found = [name]
-    for m in NAMED.finditer(attributes):
-        value = (m[2] or m[3] or m[4] or "").lower()
-        found += [f"{name}.{part}" for part in value.split()]
-    return tuple(found)
+    def whole(self, counts: list[int]) -> list[int]:
+        """Counts of containers with those of the containers inside them added."""
+        counts = list(counts)
+        for i in range(len(counts) - 1, -1, -1):  # a container comes after the one around it
+            if self.containers[i].around >= 0:
+                counts[self.containers[i].around] += counts[i]
+        return counts
 
 
 def units_of(page: str | None) -> Units:
     """Tags and texts of a page in order; parts never shown are gone."""
     out = Units()
     page = page or ""
-    # Open containers: (tag, names); articles: how deep in them we are.
-    open_: list[tuple[str, tuple[str, ...]]] = []
-    around: tuple[str, ...] = ()
-    depth = at = 0
+    open_: list[int] = []  # containers, outermost first
+    held: Counter = Counter()  # names and, as "<tag>", tags of open containers
+    apart = depth = at = 0  # open containers whose articles are foreign; how deep in articles we are
 
     def text(upto: int) -> None:
         if upto > at:
-            out.add("", page[at:upto], around, depth > 0)
-
-    place = 0
-    while (m := TAG.search(page, place)) is not None:
-        text(m.start())
-        at = place = m.end()
-        name = (m[2] or "").lower()
-        if not name:
-            continue
-        if name in HIDDEN and not m[1]:
-            at = place = _end_of(name, page, at) if not m[3].endswith("/") else at
-            continue
-        if name in ARTICLE:
-            # An article ends whatever clutter was left open before it.
-            if m[1]:
-                depth = max(0, depth - 1)
-            elif depth == 0:
-                open_, around, depth, out.articles = [], (), 1, out.articles + 1
-            else:
-                depth += 1
-        elif name in CONTAINERS:
-            if not m[1]:
-                open_.append((name, containers_of(name, m[3])))
-            elif name in [n for n, _ in open_]:
-                while open_.pop()[0] != name:
-                    pass
-            around = tuple(x for _, names in open_ for x in names)
-        out.add(f"/{name}" if m[1] else name, "", around, depth > 0)
+            out.add("", page[at:upto], open_[-1] if open_ else -1, depth > 0)
+
+    def enter(name: str, names: tuple[str, ...]) -> None:
+        nonlocal apart
+        new = tuple(dict.fromkeys(n for n in names if not held[n]))
+        out.containers.append(Container(name, names, new, open_[-1] if open_ else -1))
+        open_.append(len(out.containers) - 1)
+        held.update([f"<{name}>", *new])
+        apart += foreign(names)
+
+    def leave() -> str:
+        nonlocal apart
+        done = out.containers[open_.pop()]
+        held.subtract([f"<{done.tag}>", *done.new])
+        apart -= foreign(done.names)
+        return done.tag
+
+    found = tags_of(page)
+    tag = next(found, None)
+    while tag is not None:
+        start, end, name, closing, rest = tag
+        text(start)
+        at, skip = end, None
+        if name in HIDDEN and not closing:
+            if not rest.endswith("/"):
+                at = skip = _end_of(name, page, end)
+        elif name:
+            if name in ARTICLE:
+                names = containers_of(name, rest)
+                if closing and held[f"<{name}>"]:
+                    while leave() != name:
+                        pass
+                elif closing:
+                    depth = max(0, depth - 1)
+                elif apart or foreign(names):
+                    enter(name, names)
+                elif depth == 0:
+                    # An article ends whatever clutter was left open before it.
+                    while open_:
+                        leave()
+                    depth, out.articles = 1, out.articles + 1
+                else:
+                    depth += 1
+            elif name in CONTAINERS:
+                if not closing:
+                    enter(name, containers_of(name, rest))
+                elif held[f"<{name}>"]:
+                    while leave() != name:
+                        pass
+            out.add(f"/{name}" if closing else name, "", open_[-1] if open_ else -1, depth > 0)
+        try:
+            tag = found.send(skip)
+        except StopIteration:
+            tag = None
     text(len(page))
     return out
 
 
-def known_clutter(names: tuple[str, ...]) -> bool:
+def known_clutter(names: tuple[str, ...]) -> int:
+    """2 for clutter, 1 for what may as well wrap a whole page, 0 for other containers."""
+    most = 0
     for name in names:
         tag, _, label = name.partition(".")
         if not label and tag in CLUTTER_TAGS:
-            return True
-        if label and not CLUTTER_NAMES.isdisjoint(PART.findall(label)):
-            return True
-    return False
+            most = max(most, 1 if tag == "form" else 2)
+        parts = PART.findall(label)
+        if not CLUTTER_NAMES.isdisjoint(parts):
+            most = max(most, 2 if parts[0] in CLUTTER_NAMES else 1)
+    return most
 
 
 @dataclass(frozen=True)
@@ -165,8 +248,23 @@ class Weights:
     word: float = 1.0
     unseen: float = 1.0
 
-    def is_clutter(self, names: tuple[str, ...]) -> bool:
-        return not self.clutter.isdisjoint(names) or known_clutter(names)
+    def clutter_of(self, units: Units, words: list[int]) -> list[bool]:
+        """Whether each container of a page is clutter, or inside of some.
+
+        A form, or a name such as ``has-sidebar``, does not make clutter of what holds most of the page.
+        """
+        own = [0] * len(units.containers)
+        for at, n in zip(units.inside, words, strict=True):
+            if at >= 0:
+                own[at] += n
+        sizes, total, out = units.whole(own), sum(words), []
+        known: dict[tuple[str, ...], int] = {}
+        for c, n in zip(units.containers, sizes, strict=True):
+            if c.names not in known:
+                known[c.names] = 2 if not self.clutter.isdisjoint(c.names) else known_clutter(c.names)
+            sure = known[c.names]
+            out.append(sure == 2 or (sure == 1 and 2 * n <= total) or (c.around >= 0 and out[c.around]))
+        return out
 
     def penalty(self, tag: str) -> float:
         found = self.tags.get(tag)
@@ -175,16 +273,14 @@ class Weights:
     def text(self, page: str | None) -> str:
         """The main text of a page."""
         units = units_of(page)
-        cache: dict[tuple[str, ...], bool] = {}
+        sizes = [len(t.split()) for t in units.texts]
+        clutter = [*self.clutter_of(units, sizes), False]  # the last stands for no container
         kept, best, sum_, start, span = [], 0.0, 0.0, 0, (0, 0)
-        for i, (tag, words, names) in enumerate(zip(units.tags, units.texts, units.inside, strict=True)):
-            clutter = cache.get(names)
-            if clutter is None:
-                clutter = cache[names] = self.is_clutter(names)
-            kept.append(not clutter)
-            if clutter:
+        for i, (tag, words, at) in enumerate(zip(units.tags, sizes, units.inside, strict=True)):
+            kept.append(not clutter[at])
+            if clutter[at]:
                 continue
-            score = -self.penalty(tag) if tag else self.word * len(words.split())
+            score = -self.penalty(tag) if tag else self.word * words
             if sum_ <= 0:
                 sum_, start = 0.0, i
             sum_ += score
@@ -206,13 +302,16 @@ def counts_of(page: str | None) -> Counter:
     units, found = units_of(page), Counter()
     if units.articles != 1:
         return found
-    for tag, words, names, inside in zip(units.tags, units.texts, units.inside, units.article, strict=True):
+    own = {True: [0] * len(units.containers), False: [0] * len(units.containers)}
+    for tag, words, at, inside in zip(units.tags, units.texts, units.inside, units.article, strict=True):
         if tag:
             # The mark itself is no evidence for what else stands in an article.
             found["t", tag, inside and tag not in ARTICLE] += 1
-        else:
-            n = len(words.split())
-            for name in set(names):
+        elif at >= 0:
+            own[inside][at] += len(words.split())
+    for inside, counts in own.items():
+        for c, n in zip(units.containers, units.whole(counts), strict=True):
+            for name in c.new if n else ():
                 found["c", name, inside] += n
     return found
 

@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from hedonic.llm import extract as ex
 from hedonic.llm.decontaminate import Index, contamination, ngrams, op9_decontamination, question_and_answer, words_of
 from hedonic.llm.fingerprints import as_hex, delete, insert, lanes, likeness, op7_fingerprints
-from hedonic.llm.language import PIECE, Model, counts_of, fit, identify, op3_language, subwords, train
+from hedonic.llm.language import PIECE, Model, counts_of, fit, held_out, identify, op3_language, subwords, train
 from hedonic.llm.licenses import TEMPLATES, license_matches, op8_licenses
 from tests.llm.conftest import SF_DIR
 
@@ -55,11 +56,22 @@ def test_scores_are_calibrated_and_rejection_spares_good_texts():
     model = fit([counts_of(t) for t, _ in texts], [k for _, k in texts])
     judged = [model.predict(t) for t, _ in texts]
     assert all(g[0] == k and not g[2] for g, (_, k) in zip(judged, texts))
-    assert all(model.predict(t)[2] for t in ("日本語の文章", "Все люди рождаются свободными", "kpz xqwy vjlk zzz qqq"))
     assert model.predict("1 2 3") == ("und", 0.0, True) and model.predict(None)[2]
     assert model.predict("zzz qqq")[1] < min(g[1] for g in judged)
 
 
+def test_unlearned_languages_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = train(docs.where(~held_out()))
+    others = [
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    ]
+    assert [model.predict(t)[2] for t in others] == [True] * 2
+    judged = identify(docs.where(held_out() & F.col("lang").isNotNull()), model)
+    assert judged.where("rejected AND lang_pred != 'und'").count() <= 0.005 * judged.count()
+
+
 def test_language_of_odd_rows(odd, none):
     model = train(odd)
     got = identify(odd, model, prefix="_")
@@ -190,18 +202,22 @@ def test_lines_of_the_data_and_short_templates(spark, tables):
 
 
 def test_decontamination_query(spark, tables):
-    items = {r.item_id: r.text for r in tables("benchmark").collect()}
+    items = {r.item_id: (*question_and_answer(r.text), words_of(r.text)) for r in tables("benchmark").collect()}
     want = set()
     for r in tables("documents").collect():
         words = words_of(r.text)
-        have = ngrams(words)
-        for item, text in items.items():
-            whole = ngrams(words_of(text))
-            if len(whole & have) >= 0.8 * len(whole):
+        for item, parts in items.items():
+            shares = []
+            for part in parts:
+                grams = ngrams(part)
+                size = min(5, len(part))
+                have = {tuple(words[i : i + size]) for i in range(len(words) - size + 1)}
+                shares.append(len(grams & have) / len(grams) if grams else None)
+            of = [s for s in shares[:2] if s is not None]
+            if min(of) >= 0.8 or (shares[2] >= 0.8 and min(of) > 0):
                 want.add((r.doc_id, item))
     got = {(r.doc_id, r.item_id) for r in op9_decontamination(spark, SF_DIR).collect()}
-    assert want and got >= want
-    assert all(words_of(items[i]) for _, i in got) and len(got) <= len(want) + 2
+    assert want and got == want
 
 
 def test_block_bounds_lose_nothing():
@@ -234,6 +250,14 @@ def test_decontamination_of_edits_and_odd_rows(spark, odd, none):
     assert sorted((r.doc_id, r.item_id) for r in contamination(docs, items, slice_words=10).collect()) == got
     assert contamination(odd, items).count() == 0
     assert contamination(none, items).count() == 0 and contamination(docs, items.where("false")).count() == 0
+    only = spark.createDataFrame([(1, item.split("?")[0] + "? Something else follows here, of no use to anyone who asks.")], "doc_id long, text string")
+    long = spark.createDataFrame([(9, item.split("? ")[0] + " " + " ".join(f"word{i}" for i in range(40)) + "? Jupiter, the great.")], "item_id long, text string")
+    unanswered = spark.createDataFrame([(1, long.first().text.split("?")[0] + "? Nobody knows.")], "doc_id long, text string")
+    assert contamination(only, items).count() == 0 and contamination(unanswered, long).count() == 0
+    han = "中国最长的河流是哪一条河？它是从西藏流到上海的长江，全长六千多公里。"
+    texts = [(1, "前面还有很多别的内容，" + han + "后面也还有一些。"), (2, "前面还有很多别的内容，后面也还有一些。")]
+    found = contamination(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(5, han)], "item_id long, text string"))
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1, 5)]
     assert question_and_answer("A b? C d. E f.") == (["a", "b", "c", "d"], ["e", "f"])
 
 
@@ -272,12 +296,25 @@ def test_clutter_goes_and_lists_stay():
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("<p></p>", ""), ("plain words", "plain words"), ("<nav>only a menu</nav>", ""), ("a<br>b<i>c</i>d", "a bcd"),
     ("<article><p>open", "open"), ("<div><div class=ad>x y z</div><p>q", "q"), ("<!-- never closed <p>x", ""), ("<script>a b c", ""),
+    ("<head><meta x><title>t</title><body><p>words", "words"), ("<form id=f><p>words of a page</p><nav>menu</nav></form>", "words of a page"),
+    ("<div class='content has-sidebar'><p>many words of a page</p><div class=sidebar>few</div></div>", "many words of a page"),
+    ("<p>own words</p><section class='comments'><article><p>not mine</p></article><article>nor mine, however long it may be</article></section>", "own words"),
+    ("<article><p>own words of it</p></article><div class=related><article>another</article></div>", "own words of it"),
+    ("<article>a b c d</article><article class=comment>not mine</article>", "a b c d"), ("<p title='a > b' x='>'>q", "q"), ("<p a=' >q", "q"), ("q <b", "q <b"),
     ("<p>&lt;p&gt; &#233;&eacute; &bogus;</p>", "<p> éé &bogus;"), ("<nav><article>in an open menu</article>", "in an open menu"),
 ])
 def test_odd_pages(page, text):
     assert ex.Weights().text(page) == text
 
 
+@pytest.mark.parametrize("part", ["<a '", "<a ='", "<a =\"'>", "<div>", "</script <", "<!--", "<p title=\"", "</div>", "<!", "<section class=x>"])
+def test_broken_pages_take_linear_time(part):
+    start = time.process_time()
+    ex.Weights().text(part * 40_000 + "x > '")
+    ex.counts_of("<article>" + part * 40_000)
+    assert time.process_time() - start < 8
+
+
 def test_extract_of_odd_rows(spark, odd, none):
     pages = odd.select(F.col("doc_id").alias("page_id"), F.col("text").alias("html"), "key", "at")
     weights = ex.fit(pages)
