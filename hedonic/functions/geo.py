@@ -103,7 +103,10 @@ def side_distance(x: Column, y: Column, side: Column) -> Column:
 
 
 def sides_distance(x: Column, y: Column, sides: Column) -> Column:
-    """Distance from a point to an outline, 0 inside it.  A single outer ring only."""
+    """Distance from a point to an outline of one ring, 0 inside it, as an expression of one row.
+
+    :func:`hedonic.operators.proximity.outline_counts` measures many points and any number of rings.
+    """
     nearest = F.array_min(F.transform(sides, lambda s: side_distance(x, y, s)))
 
     def crosses(s: Column) -> Column:

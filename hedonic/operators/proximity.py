@@ -1,14 +1,14 @@
 """Points of interest within radii of every property, counted in one job.
 
-Cost follows distinct places, not rows.  Properties and points are first reduced
-to distinct locations with multiplicities.  Locations are then grouped in square
-cells, and *cells* are compared with cells: from the bounding boxes of the
-locations they hold, a pair of cells is wholly inside a radius (its counts are
-added as totals), wholly outside (dropped) or undecided.  Undecided pairs holding
-few enough location pairs are tested exactly; larger ones are cut into sub-cells
-and compared again.  A crowded cell is thus refined instead of having
-all its location pairs listed, and every table joined on cells has one row per
-cell or cell pair.
+Cost follows distinct places, not rows.  Properties and points are first reduced to
+distinct locations with multiplicities.  While the distinct points are few enough to be
+sent to every executor, which is counted, places walk down their pyramid
+(:mod:`hedonic.operators.pyramid`).  Beyond that, cells meet cells: both sides are grouped
+in square cells, and from the bounding boxes of the locations they hold, a pair of cells is
+wholly inside a radius (its counts are added as totals), wholly outside (dropped) or
+undecided.  Undecided pairs holding few enough location pairs are tested exactly; larger
+ones are cut into sub-cells and compared again, so a crowded cell is refined instead of
+having all its location pairs listed.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.functions.geo import buffer_metric, ring_sides, sector, sides_distance
-from hedonic.operators.skew import join_lookups
+from hedonic.functions.geo import buffer_metric, sector
+from hedonic.operators.pyramid import CELL_RANGE, HELD_SPOTS, LEVEL_BITS, SLACK, cell_number, counts_around_outlines, counts_around_points, extent
+from hedonic.operators.skew import is_small, join_lookups
 from hedonic.session import settle
 
 # Buffer radii in feet.
@@ -33,33 +34,24 @@ PAIR_BUDGET = 20_000
 # Location pairs per task in the exact test.  Its input is small in bytes and
 # large in work, so its tasks are sized by work.
 TASK_PAIRS = 2_000_000
-# A cell is cut into 4 x 4.
-LEVEL_BITS = 2
-# Cell numbers stay below this, so that sums and shifts of them are exact.
-CELL_RANGE = 1 << 61
-# Relative slack between box arithmetic and a test that rounds differently.
-SLACK = 1e-9
 
 
 @dataclass(frozen=True)
 class _Shape:
     """How a property is located.
 
-    ``keys`` name the place of a property: its coordinates, or two hashes of its
-    outline.  ``site`` lists what else is stored per place; ``box`` names the columns
-    holding its low and high x and its low and high y.  A point is near when ``metric`` is at most ``bound(r)``;
-    it surely is when all of the box lies within ``sure(r)`` and surely is not
-    when none lies within ``reach(r)``.
+    ``keys`` name the place of a property and ``box`` the columns holding its low and high
+    x and its low and high y.  A point is near when ``metric`` is at most ``bound(r)``; it
+    surely is when all of the box lies within ``sure(r)`` and surely is not when none lies
+    within ``reach(r)``.
     """
 
     keys: list[str]
-    site: dict[str, Column]
     box: tuple[str, str, str, str]
     metric: Column
     bound: Callable[[float], float]
     sure: Callable[[float], float]
     reach: Callable[[float], float]
-    widest: Callable[[DataFrame], float]
 
 
 def _point_shape(quad_segs: int | None) -> _Shape:
@@ -71,33 +63,11 @@ def _point_shape(quad_segs: int | None) -> _Shape:
     outer = 1.0 if quad_segs is None else 1 + SLACK
     return _Shape(
         keys=["x", "y"],
-        site={},
         box=("x", "x", "y", "y"),
         metric=metric,
         bound=bound,
         sure=lambda r: r * inner,
         reach=lambda r: r * outer,
-        widest=lambda sites: 0.0,
-    )
-
-
-def _ring_shape() -> _Shape:
-    ring = F.col("ring")
-    xs = F.transform(ring, lambda p: p["x"])
-    ys = F.transform(ring, lambda p: p["y"])
-    side = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-    return _Shape(
-        keys=["site", "site2"],
-        site={
-            "sides": ring_sides(ring),
-            "x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys),
-        },
-        box=("x0", "x1", "y0", "y1"),
-        metric=sides_distance(F.col("px"), F.col("py"), F.col("sides")),
-        bound=float,
-        sure=lambda r: r * (1 - SLACK),
-        reach=lambda r: r * (1 + SLACK),
-        widest=lambda sites: sites.agg(F.max(side)).head()[0] or 0.0,
     )
 
 
@@ -114,6 +84,7 @@ def proximity_counts(
     mode: str = "rows",
     quad_segs: int | None = None,
     pair_budget: int = PAIR_BUDGET,
+    held: int = HELD_SPOTS,
 ) -> DataFrame:
     """One row per key with columns ``{layer}_counts{radius}``, 0 where nothing is near.
 
@@ -121,11 +92,20 @@ def proximity_counts(
     ``radii``; boundaries count as near.  ``mode="rows"`` counts once per
     property row, so a key with several rows has its counts multiplied;
     ``mode="distinct"`` counts once per location of the key.  ``quad_segs``
-    replaces circles by inscribed polygons.
+    replaces circles by inscribed polygons.  Up to ``held`` distinct points are sent to
+    every executor.
     """
-    shape = _point_shape(quad_segs)
-    usable = _usable(["x", "y"])
-    return _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget)
+    names = _names(layers, radii, mode)
+    tallies = [f"n{j}" for j in range(len(layers))]
+    visits = _visits(props, key, ["x", "y"], _usable(["x", "y"]))
+    spots = settle(_spots(pois, layers))
+    sites = visits.where("usable").select("x", "y")
+    n, far = extent(spots)
+    if n <= held:
+        found = counts_around_points(sites, spots, tallies, radii, names, quad_segs, far)
+    else:
+        found = _descend(settle(sites.distinct()), spots, layers, radii, _point_shape(quad_segs), names, pair_budget)
+    return _per_key(visits, found, key, ["x", "y"], names, mode)
 
 
 def outline_counts(
@@ -135,51 +115,63 @@ def outline_counts(
     radii: Sequence[float] = RADII,
     key: str = "pin",
     mode: str = "rows",
-    pair_budget: int = PAIR_BUDGET,
+    held: int = HELD_SPOTS,
 ) -> DataFrame:
-    """Like :func:`proximity_counts` for properties given by a ``ring`` outline.
+    """Like :func:`proximity_counts` for properties given by outlines.
 
-    ``ring`` is an ``array<struct<x,y>>``; a point inside it has distance 0.
+    ``rings`` is an ``array<array<struct<x,y>>>``: outer rings and holes of all parts, in any
+    order and direction (a point in an odd number of them is inside).  ``ring`` may stand
+    for a single one, an ``array<struct<x,y>>``.  A point inside has distance 0.  An outline
+    without a corner, or with one at no finite place, has no place.
     """
-    shape = _ring_shape()
-    ends = F.transform("ring", lambda p: p["x"] + p["y"])
-    usable = F.col("ring").isNotNull() & (F.size("ring") > 0) & F.forall(ends, lambda v: F.abs(v) < float("inf"))
+    names = _names(layers, radii, mode)
+    tallies = [f"n{j}" for j in range(len(layers))]
+    rings = F.col("rings") if "rings" in props.columns else F.when(F.col("ring").isNotNull(), F.array("ring"))
+    props = props.select(key, F.filter(rings, lambda r: F.size(r) > 0).alias("rings"))
+    corners = F.flatten("rings")
+    ends = F.transform(corners, lambda p: p["x"] + p["y"])
+    usable = F.col("rings").isNotNull() & (F.size(corners) > 0) & F.forall(ends, lambda v: F.abs(v) < float("inf"))
     # Outlines travel as values; two hashes stand for them in groups and joins.
-    props = props.withColumns({"site": F.xxhash64("ring"), "site2": F.xxhash64("ring", F.lit(1))})
-    return _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget)
+    keys = ["site", "site2"]
+    props = props.withColumns({"site": F.xxhash64("rings"), "site2": F.xxhash64("rings", F.lit(1))})
+    visits = _visits(props, key, keys, usable)
+    xs, ys = F.transform(corners, lambda p: p["x"]), F.transform(corners, lambda p: p["y"])
+    box = {"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)}
+    places = settle(props.where(usable).dropDuplicates(keys).select(*keys, "rings", *[c.alias(n) for n, c in box.items()]))
+    found = counts_around_outlines(places, settle(_spots(pois, layers)), tallies, radii, names, keys, held)
+    return _per_key(visits, found, key, keys, names, mode)
+
+
+def _names(layers: Sequence[str], radii: Sequence[float], mode: str) -> dict[tuple[int, int], str]:
+    """Output column of each radius and layer."""
+    if mode not in ("rows", "distinct"):
+        raise ValueError(f"mode must be 'rows' or 'distinct', not {mode!r}")
+    return {(i, j): count_name(layer, r) for j, layer in enumerate(layers) for i, r in enumerate(radii)}
 
 
-def _usable(cols: Sequence[str]) -> Column:
-    """Every coordinate is there and finite."""
-    return reduce(lambda a, b: a & b, [F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False)) for c in cols])
-
+def _visits(props: DataFrame, key: str, keys: list[str], usable: Column) -> DataFrame:
+    """Rows ``m`` of every key and place."""
+    rows = props.select(key, *keys, F.coalesce(usable, F.lit(False)).alias("usable"))
+    return settle(rows.groupBy(key, *keys, "usable").agg(F.count(F.lit(1)).alias("m")))
 
-def _counts(props, pois, layers, radii, key, mode, shape, usable, pair_budget) -> DataFrame:
-    if mode not in ("rows", "distinct"):
-        raise ValueError(f"mode must be 'rows' or 'distinct', not {mode!r}")
-    names = {(i, j): count_name(layer, r) for j, layer in enumerate(layers) for i, r in enumerate(radii)}
-
-    usable = F.coalesce(usable, F.lit(False)).alias("usable")
-    visits = settle(props.select(key, *shape.keys, usable).groupBy(key, *shape.keys, "usable").agg(F.count(F.lit(1)).alias("m")))
-    located = visits.where("usable")
-    if shape.site:
-        whole = props.where(usable).select(*shape.keys, *[c.alias(n) for n, c in shape.site.items()])
-        sites = settle(whole.dropDuplicates(shape.keys))
-    else:
-        sites = settle(located.select(*shape.keys).distinct())
-    spots = settle(_spots(pois, layers))
 
-    found = _descend(sites, spots, layers, radii, shape, names, pair_budget)
+def _per_key(visits: DataFrame, found: DataFrame, key: str, keys: list[str], names, mode: str) -> DataFrame:
+    """Counts of places, ``found``, added up by key; keys without a place have zeros."""
     times = F.col("m") if mode == "rows" else F.lit(1)
-    near = join_lookups(located, [found], shape.keys, "left").select(
+    located, found = visits.where("usable"), settle(found)
+    joined = located.join(F.broadcast(found), keys, "left") if is_small(found) else join_lookups(located, [found], keys, "left")
+    near = joined.select(
         key, *[(F.coalesce(F.col(n), F.lit(0)) * times).alias(n) for n in names.values()]
     )
-    far = visits.where("NOT usable").select(
-        key, *[F.lit(0).cast("long").alias(n) for n in names.values()]
-    )
+    far = visits.where("NOT usable").select(key, *[F.lit(0).cast("long").alias(n) for n in names.values()])
     return near.unionByName(far).groupBy(key).agg(*[F.sum(n).alias(n) for n in names.values()])
 
 
+def _usable(cols: Sequence[str]) -> Column:
+    """Every coordinate is there and finite."""
+    return reduce(lambda a, b: a & b, [F.coalesce(F.abs(F.col(c)) < float("inf"), F.lit(False)) for c in cols])
+
+
 def _spots(pois: DataFrame, layers: Sequence[str]) -> DataFrame:
     """Distinct points with their number per layer, ``n0, n1, ...``."""
     wanted = pois.where(_usable(["x", "y"]) & F.col("layer").isin(list(layers)))
@@ -189,9 +181,8 @@ def _spots(pois: DataFrame, layers: Sequence[str]) -> DataFrame:
 
 def _descend(sites, spots, layers, radii, shape, names, pair_budget) -> DataFrame:
     """Counts per site, from whole-cell totals and exact tests over all levels."""
-    # A site is filed under the middle of its box, so neighbours within the
-    # largest radius lie at most one base cell away.
-    base = (max(radii) + shape.widest(sites)) * (1 + 1e-6)
+    # Neighbours within the largest radius lie at most one base cell away.
+    base = max(radii) * (1 + 1e-6)
 
     x0, x1, y0, y1 = shape.box
     opens = [f"open{i}" for i in range(len(radii))]
@@ -209,8 +200,7 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget) -> DataFram
         size = base / 2 ** (LEVEL_BITS * level)
 
         def cell(at: Column, size: float = size) -> Column:
-            # Beyond the range all places share a cell and are tested one by one.
-            return F.floor(F.greatest(F.least(at / size, F.lit(float(CELL_RANGE))), F.lit(-float(CELL_RANGE)))).cast("long")
+            return cell_number(at, size)
 
         placed = sites.withColumns({"ax": cell((F.col(x0) + F.col(x1)) / 2), "ay": cell((F.col(y0) + F.col(y1)) / 2)})
         pinned = spots.withColumns({"bx": cell(F.col("px")), "by": cell(F.col("py"))})
@@ -246,8 +236,7 @@ def _descend(sites, spots, layers, radii, shape, names, pair_budget) -> DataFram
         ).head()
         if load["tests"]:
             leaf = pairs.where(exact).select("ax", "ay", "bx", "by", "na", "nb", *opens)
-            # The points, four numbers each, go to the cell pairs first; sites, perhaps
-            # with outlines, move once.
+            # The points go to the cell pairs first; sites move once.
             by_spot = _meet(leaf, pinned, ["bx", "by"], ["ax", "ay"], F.col("nb").cast("double"))
             tasks = math.ceil(load["tests"] / TASK_PAIRS)
             by_site = _meet(by_spot.drop("nb"), placed, ["ax", "ay"], ["px", "py"], F.col("na").cast("double"), tasks)

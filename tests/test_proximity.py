@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from hedonic.operators import proximity
+from hedonic.operators import proximity, pyramid
 from hedonic.operators.layers import DEFAULT_LAYERS, LayerSpec, poi_layer, stack_layers
 from hedonic.operators.proximity import count_name, outline_counts, proximity_counts
 from tests.conftest import rows
@@ -74,16 +74,20 @@ def cloud(seed, n, centre, spread, grid=None):
     return np.round(xy / grid) * grid if grid else xy
 
 
-@pytest.mark.parametrize("budget", [10**9, 200, 1])
+@pytest.mark.parametrize("budget, leaf", [(10**9, None), (200, None), (1, None), (None, 1), (None, 5), (None, 1000)])
 @pytest.mark.parametrize("mode", ["rows", "distinct"])
-def test_equals_brute_force_at_every_depth(spark, budget, mode):
+def test_equals_brute_force_at_every_depth(spark, monkeypatch, budget, leaf, mode):
     # A third of both sides sits in one spot-sized cluster, some places repeat,
     # coordinates go negative and many distances fall exactly on a radius.
     place = np.vstack([cloud(1, 60, 0, 15000, 500), cloud(2, 30, -7000, 40, 20)])
     point = np.vstack([cloud(3, 80, 0, 15000, 500), cloud(4, 40, -7600, 40, 20)])
     props = [(f"k{i % 70}", float(x), float(y)) for i, (x, y) in enumerate(place)] + [("lost", None, 3.0)]
     pois = [("abc"[i % 3], float(x), float(y)) for i, (x, y) in enumerate(point)]
-    got = run(spark, props, pois, ["a", "b"], mode=mode, pair_budget=budget)
+    if leaf is None:
+        got = run(spark, props, pois, ["a", "b"], mode=mode, pair_budget=budget, held=0)
+    else:
+        monkeypatch.setattr(pyramid, "LEAF_SPOTS", leaf)
+        got = run(spark, props, pois, ["a", "b"], mode=mode)
     assert got == brute(props, pois, ["a", "b"], RADII, mode)
 
 
@@ -92,13 +96,14 @@ def test_work_of_one_cell_is_dealt_over_salts(spark, monkeypatch):
     props = [(str(i), float(x), float(y)) for i, (x, y) in enumerate(place)]
     pois = [("p", float(x), float(y)) for x, y in point]
     monkeypatch.setattr(proximity, "TASK_PAIRS", 50)
-    assert run(spark, props, pois, ["p"]) == brute(props, pois, ["p"], RADII, "rows")
+    assert run(spark, props, pois, ["p"], held=0) == brute(props, pois, ["p"], RADII, "rows")
 
 
-def test_far_and_infinite_coordinates(spark):
+@pytest.mark.parametrize("held", [0, 1000])
+def test_far_and_infinite_coordinates(spark, held):
     props = [("A", 1e15, -1e15), ("B", float("inf"), 0.0), ("C", 3e300, 0.0)]
     pois = [("p", 1e15, -1e15), ("p", 1e15 + 1, -1e15), ("p", 3e300, 0.0), ("p", float("-inf"), 0.0)]
-    assert run(spark, props, pois, ["p"], (1,)) == [("A", 2), ("B", 0), ("C", 1)]
+    assert run(spark, props, pois, ["p"], (1,), held=held) == [("A", 2), ("B", 0), ("C", 1)]
 
 
 def test_copies_of_one_point_cost_one(spark):
@@ -116,7 +121,8 @@ def test_hot_cell_is_refined_not_listed(spark, monkeypatch):
     monkeypatch.setattr(proximity.math, "ceil", lambda v: tested.append(v * proximity.TASK_PAIRS) or real(v))
     props = [(str(i), float(x), float(y)) for i, (x, y) in enumerate(place)]
     pois = [("p", float(x), float(y)) for x, y in point]
-    got = run(spark, props, pois, ["p"], pair_budget=400)
+    got = run(spark, props, pois, ["p"], pair_budget=400, held=0)
+    assert run(spark, props, pois, ["p"]) == got
     d2 = ((place[:, None, :] - point[None, :, :]) ** 2).sum(axis=2)
     expected = sorted((str(i), *[int((row <= r * r).sum()) for r in RADII]) for i, row in enumerate(d2))
     assert got == expected
@@ -133,12 +139,12 @@ def test_counts_grow_with_radius_and_ignore_partitioning(spark):
     assert all(a <= b <= c for _, a, b, c in once)
 
 
-@pytest.mark.parametrize("budget", [10**9, 100])
-def test_polygon_lies_between_apothem_and_circle(spark, budget):
+@pytest.mark.parametrize("held", [0, 1000])
+def test_polygon_lies_between_apothem_and_circle(spark, held):
     place, point = cloud(9, 150, 0, 9000, 10), cloud(10, 250, 0, 9000, 10)
     props = [(str(i), *map(float, p)) for i, p in enumerate(place)]
     pois = [("p", *map(float, p)) for p in point]
-    got = run(spark, props, pois, ["p"], (5000,), quad_segs=8, pair_budget=budget)
+    got = run(spark, props, pois, ["p"], (5000,), quad_segs=8, pair_budget=100, held=held)
     step = np.pi / 16
     expected = []
     for pin, x, y in props:
@@ -148,8 +154,8 @@ def test_polygon_lies_between_apothem_and_circle(spark, budget):
     assert got == sorted(expected)
 
 
-@pytest.mark.parametrize("budget", [10**9, 50])
-def test_outlines(spark, budget):
+@pytest.mark.parametrize("held", [10**6, 50])
+def test_outlines(spark, held):
     rng = np.random.default_rng(11)
     homes = [(str(i), float(x), float(y), float(w)) for i, (x, y, w) in enumerate(rng.uniform(0, 30000, (60, 3)) / (1, 1, 20))]
     spots = [("p", float(x), float(y)) for x, y in rng.uniform(0, 30000, (120, 2))]
@@ -158,7 +164,7 @@ def test_outlines(spark, budget):
         "pin", F.array(corner(-1, -1), corner(1, -1), corner(1, 1), corner(-1, 1)).alias("ring")
     )
     pois = frame(spark, spots, "layer string, x double, y double")
-    got = rows(outline_counts(props, pois, ["p"], (1000, 5000), pair_budget=budget))
+    got = rows(outline_counts(props, pois, ["p"], (1000, 5000), held=held))
 
     def near(h, r):
         _, x, y, w = h
@@ -167,6 +173,50 @@ def test_outlines(spark, budget):
     assert got == sorted((h[0], near(h, 1000), near(h, 5000)) for h in homes)
 
 
+def outline_distance(rings, x, y):
+    """Distance to the area of some rings, even-odd."""
+    best, inside = np.inf, False
+    for ring in rings:
+        for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+            ux, uy = bx - ax, by - ay
+            length2 = ux * ux + uy * uy
+            t = min(1, max(0, ((x - ax) * ux + (y - ay) * uy) / length2)) if length2 else 0
+            best = min(best, np.hypot(x - ax - t * ux, y - ay - t * uy))
+            if (ay > y) != (by > y) and x < ax + (y - ay) * ux / uy:
+                inside = not inside
+    return 0.0 if inside else best
+
+
+@pytest.mark.parametrize("leaf", [4, 48])
+def test_parts_holes_and_giants(spark, monkeypatch, leaf):
+    """Rings with holes and several parts, one outline far wider than any radius, one of a single corner, odd ones."""
+    monkeypatch.setattr(pyramid, "LEAF_SPOTS", leaf)
+    rng = np.random.default_rng(14)
+
+    def square(x, y, w):
+        return [(x - w, y - w), (x + w, y - w), (x + w, y + w), (x - w, y + w)]
+
+    homes = {}
+    for i, (x, y, w) in enumerate(rng.uniform(-20000, 20000, (40, 3)).tolist()):
+        w = abs(w) / 20
+        homes[f"h{i}"] = [square(x, y, w), square(x, y, w / 2)[::-1], square(x + 3 * w, y, w / 3)]
+        star = rng.uniform(-w, w, (7, 2)) + (x, y)
+        homes[f"s{i}"] = [[tuple(p) for p in star.tolist()]]
+    homes["giant"] = [square(0, 0, 60000), square(0, 0, 15000), square(0, 0, 4000)]
+    homes["dot"] = [[(100.0, 100.0)]]
+    spots = [tuple(p) for p in rng.uniform(-80000, 80000, (150, 2)).tolist()] + [tuple(p) for p in rng.normal(0, 9000, (250, 2)).tolist()]
+    rows_ = [(k, [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]) for k, rings in homes.items()]
+    rows_ += [("none", None), ("bare", []), ("void", [[]]), ("lost", [[{"x": float("inf"), "y": 0.0}]]), ("half", [[{"x": 1.0, "y": None}]])]
+    props = spark.createDataFrame(rows_, "pin string, rings array<array<struct<x: double, y: double>>>")
+    pois = frame(spark, [("ab"[i % 2], *p) for i, p in enumerate(spots)], "layer string, x double, y double")
+    got = {r[0]: tuple(r[1:]) for r in outline_counts(props, pois, ["a", "b"], (500, 3000)).collect()}
+    want = {k: (0,) * 4 for k in ("none", "bare", "void", "lost", "half")}
+    for k, rings in homes.items():
+        far = [outline_distance(rings, *p) for p in spots]
+        want[k] = tuple(sum(d <= r for d in far[j::2]) for j in (0, 1) for r in (500, 3000))
+    assert got == want
+
+
 def test_layers(spark):
     df = spark.createDataFrame([(-122.3321, 47.6062), (None, 47.0)], "Longitude double, Latitude double")
     spec = LayerSpec("Parks_Map", "parks", "Longitude", "Latitude")
