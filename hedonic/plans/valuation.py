@@ -6,13 +6,14 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hedonic.functions.keys import add_pin, clean_keys
 from hedonic.functions.scalars import clean_dates
 from hedonic.operators.forest import FOREST_SIZES, forest_sweep
 from hedonic.operators.layers import DEFAULT_LAYERS, LayerSpec, stack_layers
 from hedonic.operators.lookups import attach_location
-from hedonic.operators.proximity import RADII, proximity_counts
+from hedonic.operators.proximity import RADII, outline_counts, proximity_counts
 from hedonic.operators.regress import best_of, coefficient_report, feature_columns, lasso_sweep, null_rmse, ridge_sweep
 from hedonic.operators.scale import transform_target
 from hedonic.operators.split import split
@@ -23,7 +24,7 @@ from hedonic.sources.tables import materialize
 
 @dataclass(frozen=True)
 class Raw:
-    """The input tables; ``layers`` by source name, ``addresses`` in planar feet."""
+    """The input tables; ``layers`` by source name, ``addresses`` in planar feet, with ``rings`` where outlines are used."""
 
     parcel: DataFrame
     building: DataFrame
@@ -39,9 +40,13 @@ def property_table(
     specs: Iterable[LayerSpec] = DEFAULT_LAYERS,
     radii: Sequence[float] = RADII,
     mode: str = "rows",
+    geometry: str = "point",
 ) -> DataFrame:
     """Base table, locations and proximity counts, with dates cut to days.
 
+    Distances are taken from ``point_x, point_y``, or with ``geometry="outline"`` from the
+    parcel outlines ``rings`` of the addresses.
+
     The base table and the located base table are each read several times, so
     they are saved in ``database`` and read back.
     """
@@ -49,14 +54,25 @@ def property_table(
     base = residential_base(raw.parcel, raw.building, clean_keys(raw.sale, KEYS), raw.appraisal)
     base = materialize(add_pin(base), f"{database}.residential")
     located = materialize(attach_location(base, raw.addresses), f"{database}.located_residential")
-    props = located.withColumnsRenamed({"point_x": "x", "point_y": "y"}).select("pin", "x", "y")
     pois = stack_layers(raw.layers.__getitem__, specs)
     names = [spec.name for spec in specs]
-    counts = proximity_counts(props, pois, names, radii, mode=mode)
-    table = complete(located, raw.addresses, counts, names, radii)
+    counts = located_counts(located, pois, names, radii, mode, geometry)
+    table = complete(located.drop("rings"), raw.addresses, counts, names, radii)
     return clean_dates(table, ["sale_date", "appr_date"])
 
 
+def located_counts(
+    located: DataFrame, pois: DataFrame, names: Sequence[str], radii: Sequence[float] = RADII, mode: str = "rows", geometry: str = "point"
+) -> DataFrame:
+    """Counts per pin of located rows, around their points or their outlines."""
+    if geometry == "outline":
+        return outline_counts(located.select("pin", "rings"), pois, names, radii, mode=mode)
+    if geometry != "point":
+        raise ValueError(f"geometry must be 'point' or 'outline', not {geometry!r}")
+    props = located.select("pin", F.col("point_x").alias("x"), F.col("point_y").alias("y"))
+    return proximity_counts(props, pois, names, radii, mode=mode)
+
+
 @dataclass(frozen=True)
 class Study:
     features: DataFrame

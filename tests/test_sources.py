@@ -65,3 +65,25 @@ def test_layer_formats(spark, tmp_path):
     (tmp_path / "l.geojson").write_text(feature)
     got = load_layer(spark, str(tmp_path / "l.geojson"), fmt="geojson", srid=4326).head()
     assert (got.properties["pin"], got.x, got.y, got.srid) == ("7", 1.0, 2.0, 4326)
+
+
+def test_polygons_and_unknown_geometry(spark, tmp_path):
+    square = "[[0, 0], [2, 0], [2, 2.5], [0, 0]]"
+    shapes = {
+        "a": f'{{"type": "Polygon", "coordinates": [{square}, [[1, 1], [1.5, 1], [1, 1]]]}}', "b": "null",
+        "c": f'{{"type": "MultiPolygon", "coordinates": [[{square}], [{square}, {square}]]}}', "d": '{"type": "Point", "coordinates": [3, 4]}',
+    }
+    lines = [f'{{"type": "Feature", "properties": {{"pin": "{k}"}}, "geometry": {v}}}' for k, v in shapes.items()]
+    (tmp_path / "p.geojson").write_text("\n".join(lines))
+    got = {r.properties["pin"]: r for r in load_layer(spark, str(tmp_path / "p.geojson"), fmt="geojson").collect()}
+    assert [len(r) for r in got["a"].rings] == [4, 3] and tuple(got["a"].rings[0][2]) == (2.0, 2.5) and got["a"].x is None
+    assert len(got["c"].rings) == 3 and got["b"].rings is None and got["b"].x is None and (got["d"].x, got["d"].y, got["d"].rings) == (3.0, 4.0, None)
+    (tmp_path / "w.csv").write_text('pin;shape\na;"POLYGON ((0 0, 2 0, 2 2.5, 0 0),(1 1, 1.5 1, 1 1))"\nc;"MULTIPOLYGON (((0 0, 1 0, 1 1)), ((5 5, 6 5, 6 6)))"\nd;POINT (3 4)\nn;\n'.replace(";", "|"))
+    text = spark.read.option("header", True).option("sep", "|").csv(str(tmp_path / "w.csv"))
+    text.write.parquet(str(tmp_path / "w"))
+    rows = {r.pin: r for r in load_layer(spark, str(tmp_path / "w"), wkt_col="shape").collect()}
+    assert rows["a"].rings == got["a"].rings and len(rows["c"].rings) == 2 and (rows["d"].x, rows["d"].y) == (3.0, 4.0) and rows["n"].rings is None
+    for kind in ("LineString", "GeometryCollection"):
+        (tmp_path / "u.geojson").write_text(f'{{"properties": {{}}, "geometry": {{"type": "{kind}", "coordinates": [[1, 2], [3, 4]]}}}}')
+        with pytest.raises(Exception, match="unsupported geometry"):
+            load_layer(spark, str(tmp_path / "u.geojson"), fmt="geojson").collect()

@@ -119,6 +119,39 @@ def layer_csv(spark, sf):
     return load_layer(spark, where, fmt="csv", schema=schema).select("pin", "x", "y", "srid")
 
 
+# Frames of two squares around each customer's point, and a part beside them, as GeoJSON multipolygons.
+CORNERS = ((-1, -1), (1, -1), (1, 1), (-1, 1))
+
+
+def frame(x, y):
+    """Rings of a square with a hole and of a smaller part to the right of it."""
+    squares = ((x, 100.0), (x, 60.0), (x + 400.0, 50.0))
+    return F.array(*[F.array(*[F.struct((cx + i * w).alias("x"), (y + j * w).alias("y")) for i, j in CORNERS]) for cx, w in squares])
+
+
+@query(
+    "load_layer_outline",
+    cte("props")
+    + """
+SELECT pin, srid, CAST(ring AS INT) AS ring, CAST(corner AS INT) AS corner,
+  x + CASE WHEN ring = 2 THEN 400 ELSE 0 END + CASE WHEN corner IN (0, 3) THEN -1 ELSE 1 END * [100, 60, 50][ring + 1] AS x,
+  y + CASE WHEN corner < 2 THEN -1 ELSE 1 END * [100, 60, 50][ring + 1] AS y
+FROM (SELECT pin, 2926 AS srid, x, y FROM props), range(3) AS r(ring), range(4) AS c(corner)
+""",
+)
+def layer_outline(spark, sf):
+    where = scratch(spark)
+    rings = F.transform(frame(F.col("x"), F.col("y")), lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
+    # One part with a hole, one without.
+    parts = F.array(F.slice(rings, 1, 2), F.slice(rings, 3, 1))
+    geometry = F.struct(F.lit("MultiPolygon").alias("type"), parts.alias("coordinates")).alias("geometry")
+    feature = F.struct(F.create_map(F.lit("pin"), "pin").alias("properties"), geometry)
+    view(spark, sf, "props").select(F.to_json(feature).alias("value")).write.text(where)
+    rows = load_layer(spark, where, fmt="geojson")
+    rows = rows.select(F.col("properties")["pin"].alias("pin"), "srid", F.posexplode("rings").alias("ring", "corners"))
+    return rows.select("pin", "srid", "ring", F.posexplode("corners").alias("corner", "p")).select("pin", "srid", "ring", "corner", "p.x", "p.y")
+
+
 @query("load_layer_geojson", LAYER_SQL)
 def layer_geojson(spark, sf):
     where = scratch(spark)

@@ -12,10 +12,12 @@ from hedonic.operators.proximity import RADII, proximity_counts
 from hedonic.operators.regress import feature_columns
 from hedonic.plans.base import complete, residential_base
 from hedonic.plans.features import PROXIMITY_GROUPS, build_features
+from hedonic.plans.valuation import located_counts
 from hedonic.session import cut
 from workload.common import VIEWS, cte, query, view
 from workload.features import case
 from workload.joins import ASSESSOR, BASE_SQL
+from workload.roundtrips import frame
 from workload.spatial import CIRCLE, LAYERS, OFFSETS, count_columns
 
 SPECS = tuple(LayerSpec(name, name, "x", "y", PLANAR_SRID) for name in LAYERS)
@@ -32,6 +34,17 @@ def complete_table(spark, sf) -> DataFrame:
     return complete(located, addresses, proximity_counts(props, layered, LAYERS), LAYERS)
 
 
+def outlined_table(spark, sf) -> DataFrame:
+    """The same with parcels as frames: a square with a hole, and a part beside it."""
+    parts = {name: view(spark, sf, name) for name in ASSESSOR}
+    addresses = view(spark, sf, "addresses")
+    base = cut(add_pin(residential_base(*parts.values())))
+    rings = frame(F.col("point_x"), F.col("point_y"))
+    located = cut(attach_location(base, addresses.drop("lat", "lon").withColumn("rings", rings)))
+    counts = located_counts(located, view(spark, sf, "pois"), LAYERS, geometry="outline")
+    return complete(located.drop("rings"), addresses, counts, LAYERS)
+
+
 PIN_SQL = "concat(lpad(CAST(Major AS STRING), 6, '0'), lpad(CAST(Minor AS STRING), 4, '0'))"
 COMPLETE_SQL = (
     cte(*ASSESSOR, "addresses", "pois")
@@ -50,6 +63,21 @@ complete AS (SELECT l.* EXCLUDE (x, y), p.lat, p.lon,
 )
 
 
+def square(cx: str, w: float) -> str:
+    """Squared distance to a filled square."""
+    return f"(pow(greatest(abs(dx - {cx}) - {w}, 0.0), 2) + pow(greatest(abs(dy) - {w}, 0.0), 2))"
+
+
+# Inside the hole the nearest side of the inner square counts.
+HOLE = "CASE WHEN greatest(abs(dx), abs(dy)) < 60.0 THEN pow(60.0 - greatest(abs(dx), abs(dy)), 2) ELSE " + square("0.0", 100.0) + " END"
+FRAME = f"sqrt(least({HOLE}, {square('400.0', 50.0)})) <= {{r}}"
+
+
+@query("complete_table_outline", COMPLETE_SQL.replace(count_columns(CIRCLE), count_columns(FRAME)) + "SELECT * FROM complete")
+def whole_outline(spark, sf):
+    return outlined_table(spark, sf)
+
+
 @query("complete_table", COMPLETE_SQL + "SELECT * FROM complete")
 def whole(spark, sf):
     return complete_table(spark, sf)
