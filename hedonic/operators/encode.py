@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorSlicer
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import OneHotEncoder
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hedonic.operators.skew import join_lookups
+from hedonic.session import settle
+
 # Bin edges and labels.
 BEDROOM_EDGES = (-0.5, 0.5, 1.5, 2.5, 3.5, 4.5, 5.5, 6.5, 100)
 BEDROOM_LABELS = (0, 1, 2, 3, 4, 5, 6, 7)
@@ -35,18 +37,45 @@ def categories(df: DataFrame, col: str) -> list:
     return sorted(row[0] for row in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
 
 
+def numbered(values: DataFrame, col: str, out: str, tasks: int) -> DataFrame:
+    """Distinct non-missing values of ``col`` with their place in order, ``out``, from 0 on.
+
+    Values are cut into ranges, which are counted; a value's place is its range's start and
+    its rank inside.  Only the ranges' counts, one a task, meet in one place.
+    """
+    ranges = values.select(col).where(F.col(col).isNotNull()).distinct().repartitionByRange(tasks, col)
+    ranges = settle(ranges.withColumn("_range", F.spark_partition_id()))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    inside = F.row_number().over(Window.partitionBy("_range").orderBy(col)) - 1
+    placed = ranges.withColumn("_rank", inside).join(starts, "_range")
+    return placed.select(col, (F.col("_start") + F.col("_rank")).alias(out))
+
+
+#: Categories that one task orders.
+CATEGORIES_EACH = 200_000
+
+
 def dummy_vectors(df: DataFrame, col: str, out: str, drop_first: bool = False) -> DataFrame:
     """``df`` with one sparse 0/1 vector per row instead of a column per category, for wide lists.
 
-    Categories are in order of their text; a missing value is 0 everywhere.
+    Categories are in order of their text; a missing value is 0 everywhere.  They are
+    numbered where they are, and rows look their number up, so no list of categories meets
+    in one place; a category with very many rows is cut into pieces.
     """
-    text = df.withColumn("_text", F.col(col).cast("string"))
-    index = StringIndexer(inputCol="_text", outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep")
-    # Missing values get the last index, which is the one the encoder leaves out.
-    spread = Pipeline(stages=[index, OneHotEncoder(inputCol="_index", outputCol="_all", dropLast=True)]).fit(text)
-    shown = range(drop_first, len(spread.stages[0].labels))
-    slicer = VectorSlicer(inputCol="_all", outputCol=out, indices=list(shown))
-    return slicer.transform(spread.transform(text)).drop("_text", "_index", "_all")
+    text, place = "_text", "_place"
+    rows = df.withColumn(text, F.col(col).cast("string"))
+    distinct = rows.agg(F.approx_count_distinct(text)).head()[0]
+    places = settle(numbered(rows, text, place, max(1, -(-distinct // CATEGORIES_EACH))))
+    width = max(places.count() - drop_first, 0)
+    # What has no place of its own gets the last one, which the encoder leaves out.
+    shown = F.col(place) - int(drop_first)
+    index = F.when(shown >= 0, shown).otherwise(F.lit(width)).cast("double")
+    spread = OneHotEncoder(inputCol="_index", outputCol=out, dropLast=True)
+    model = spread.fit(df.sparkSession.createDataFrame([(float(width),)], "_index double"))
+    found = join_lookups(rows, [places], [text], "left").withColumn("_index", F.coalesce(index, F.lit(float(width))))
+    return model.transform(found).drop(text, place, "_index")
 
 
 def dummies(

@@ -1,7 +1,7 @@
 """Price regressions and their reports.
 
 Ridge and lasso need the data only through means and covariances.  Those take one
-or two passes on the executors whatever the number of penalties; a sweep is then
+pass on the executors whatever the number of penalties; a sweep is then
 arithmetic on one small matrix, sized by the number of features.
 """
 
@@ -16,7 +16,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hedonic.operators.moments import Moments, moments
+from hedonic.operators.moments import Moments, moments, moments_of
 from hedonic.operators.profile import extremes
 from hedonic.operators.scale import transform_target
 
@@ -97,7 +97,12 @@ def _sweep(train, test, features, label, alphas, fit, transform) -> DataFrame:
     cols = [*features, label]
     if transform:
         train, test = transform_target(train, label), transform_target(test, label)
-    seen, unseen = moments(train, cols), moments(test, cols)
+    # Both halves in one pass.
+    both = train.select(*cols, F.lit(0).alias("_half")).unionByName(test.select(*cols, F.lit(1).alias("_half")))
+    found = moments_of(both, cols, F.col("_half"))
+    if len(found) < 2:
+        raise ValueError("no rows")
+    seen, unseen = found[0], found[1]
     rows = [(i, float(a), fit(seen, a).mse(unseen)) for i, a in enumerate(alphas)]
     return train.sparkSession.createDataFrame(rows, "position int, alpha double, mse double")
 

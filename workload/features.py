@@ -1,6 +1,5 @@
 """Bins, dummies, proximity features, scaling and components."""
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from hedonic.operators.encode import (
@@ -80,10 +79,9 @@ SELECT c_custkey, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INT) AS place,
 def dummies_many(spark, sf):
     """A category per customer: sparse vectors, the place of whose single one is shown."""
     names = load(spark, sf, "customer").select("c_custkey", "c_name")
-    dense = vector_to_array(F.col("v"))
-    place = (F.array_position(dense, 1.0) - 1).cast("int")
+    sparse = F.unwrap_udt(F.col("v"))
     out = dummy_vectors(names, "c_name", "v")
-    return out.select("c_custkey", place.alias("place"), F.size(dense).cast("long").alias("width"))
+    return out.select("c_custkey", sparse["indices"][0].alias("place"), sparse["size"].cast("long").alias("width"))
 
 
 @query(
@@ -119,22 +117,61 @@ def target_shared(spark, sf):
     return transform_target(orders, "o_totalprice", stats, "target").select("o_orderkey", r6("target"))
 
 
+def axes_sql(table: str, cols, k: int) -> str:
+    """CTEs ``axis0, axis1, ...`` (``v``, a unit vector; ``m``, the means) of the ``k`` leading principal axes of ``table``.
+
+    Repeated squaring of the covariance matrix, kept as one list, leaves its leading
+    direction; taking that out of the matrix gives way to the next.
+    """
+    d = len(cols)
+    at = f"range({d * d})"
+    pairs = ", ".join(f"covar_pop(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))" for a in cols for b in cols)
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE))" for c in cols)
+    out = [f"cov0 AS (SELECT [{pairs}] AS m, [{means}] AS mean FROM {table})"]
+    for n in range(k):
+        squared = (
+            f"list_transform({at}, lambda i: list_sum(list_transform(range({d}), lambda l: m[(i // {d}) * {d} + l + 1] * m[l * {d} + i % {d} + 1])))"
+        )
+        widest = f"list_position(list_transform(range({d}), lambda i: p[i * {d} + i + 1]), list_max(list_transform(range({d}), lambda i: p[i * {d} + i + 1])))"
+        out += [
+            f"power{n} AS (SELECT 0 AS step, m AS p FROM cov{n} UNION ALL SELECT step + 1, {squared.replace('m[', 'q[')} AS p FROM "
+            f"(SELECT step, list_transform(p, lambda x: x / list_max(list_transform(p, lambda y: abs(y)))) AS q FROM power{n} WHERE step < 60))",
+            f"raw{n} AS (SELECT list_transform(range({d}), lambda i: p[i * {d} + ({widest})]) AS u FROM power{n} WHERE step = 60)",
+            f"unit{n} AS (SELECT list_transform(u, lambda x: x / sqrt(list_dot_product(u, u)) * sign(u[list_position("
+            f"list_transform(u, lambda y: abs(y)), list_max(list_transform(u, lambda y: abs(y))))])) AS v FROM raw{n})",
+            f"axis{n} AS (SELECT v, mean FROM unit{n}, cov{n})",
+            f"value{n} AS (SELECT list_sum(list_transform({at}, lambda i: m[i + 1] * v[i // {d} + 1] * v[i % {d} + 1])) AS e FROM cov{n}, unit{n})",
+            f"cov{n + 1} AS (SELECT list_transform({at}, lambda i: m[i + 1] - e * v[i // {d} + 1] * v[i % {d} + 1]) AS m, mean FROM cov{n}, unit{n}, value{n})",
+        ]
+    return ",\n".join(out)
+
+
+def part_sql(n: int, cols) -> str:
+    """A row's place along an axis."""
+    return " + ".join(f"(CAST({c} AS DOUBLE) - axis{n}.mean[{i}]) * axis{n}.v[{i}]" for i, c in enumerate(cols, 1))
+
+
+GRADES = ("q", "p", "d", "t", "r", "s")
+VIEWS["viewed"] = (
+    "lineitem",
+    (
+        "l_orderkey", "l_linenumber", "l_quantity AS q", "l_extendedprice / 1000 AS p", "l_discount * 300 AS d", "l_tax * 100 AS t",
+        "CAST(l_partkey % 11 AS DOUBLE) + l_quantity / 10 AS r", "CAST(l_suppkey % 3 AS DOUBLE) AS s",
+    ),
+)
+
+
 @query(
     "pca_features",
-    """
-WITH s AS (SELECT *, avg(q) OVER () AS mq, avg(p) OVER () AS mp FROM (
-  SELECT l_orderkey, l_linenumber, l_quantity AS q, l_extendedprice / 1000 AS p FROM lineitem)),
-c AS (SELECT var_pop(q) AS vq, var_pop(p) AS vp, covar_pop(q, p) AS cov FROM s),
-a AS (SELECT atan2(2 * cov, vq - vp) / 2 AS t FROM c),
-d AS (SELECT CASE WHEN abs(cos(t)) >= abs(sin(t)) THEN sign(cos(t)) ELSE sign(sin(t)) END AS s1,
-  CASE WHEN abs(sin(t)) > abs(cos(t)) THEN sign(-sin(t)) ELSE sign(cos(t)) END AS s2, t FROM a)
-SELECT l_orderkey, l_linenumber, round(s1 * (cos(t) * (q - mq) + sin(t) * (p - mp)), 4) AS part_1,
-  round(s2 * (-sin(t) * (q - mq) + cos(t) * (p - mp)), 4) AS part_2 FROM s, d
+    cte("viewed").replace("WITH ", "WITH RECURSIVE ", 1)
+    + ",\n"
+    + axes_sql("viewed", GRADES, 3)
+    + f"""
+SELECT l_orderkey, l_linenumber, {', '.join(f'round({part_sql(n, GRADES)}, 4) + 0.0 AS part_{n + 1}' for n in range(3))}
+FROM viewed, axis0, axis1, axis2
 """,
 )
 def components(spark, sf):
-    lines = load(spark, sf, "lineitem").select(
-        "l_orderkey", "l_linenumber", F.col("l_quantity").alias("q"), (F.col("l_extendedprice") / 1000).alias("p")
-    )
-    out = pca_features(lines, ["q", "p"], 2, "part")
-    return out.select("l_orderkey", "l_linenumber", *[F.round(c, 4).alias(c) for c in ("part_1", "part_2")])
+    """Six columns to three components."""
+    out = pca_features(view(spark, sf, "viewed"), list(GRADES), 3, "part")
+    return out.select("l_orderkey", "l_linenumber", *[(F.round(c, 4) + 0.0).alias(c) for c in ("part_1", "part_2", "part_3")])

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hedonic.operators.forest import forest_sweep
 from hedonic.operators.regress import (
-    LASSO_ALPHAS, RIDGE_ALPHAS, best_of, coefficient_report, lasso_sweep, model_pipeline, null_rmse,
+    LASSO_ALPHAS, REPORT_ALPHA, RIDGE_ALPHAS, best_of, coefficient_report, lasso_sweep, model_pipeline, null_rmse,
     regression_metrics, ridge_sweep,
 )
 from hedonic.operators.split import split, with_folds
@@ -147,14 +147,72 @@ def embedded(spark, sf):
     ), [f"e{i}" for i in range(dims)]
 
 
-@query("coefficient_report")
+# The same models by another method: proximal gradient steps on the matrix of covariances, from zero on, to a fixed
+# point.  ``g`` and ``c`` are the features' covariances among themselves and with the label.
+DIMS = 64
+STEPS = 700
+
+
+def wide_sql(scaled: bool, alphas, ridge: bool, halves: bool) -> str:
+    each = f"range(1, {DIMS + 1})"
+    shrink, pull = ("0.0", "alpha / n") if ridge else ("alpha", "0.0")
+    step = f"w[i] + (c[i] - list_dot_product(g[i], w) - {pull} * w[i]) / top"
+    in_test = f"{bucket_sql('vec_id', 1000)} < 200" if halves else "false"
+    return f"""
+WITH RECURSIVE e AS (
+  SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE)) AS x, CAST(label AS DOUBLE) AS p, {in_test} AS in_test FROM embeddings
+), z AS (
+  SELECT *, ln((p - avg(p) OVER (PARTITION BY in_test)) / stddev_pop(p) OVER (PARTITION BY in_test) + 2) AS y FROM e
+), long AS (
+  SELECT vec_id, i, x[i] AS v, y FROM z, unnest({each}) AS r(i) WHERE NOT in_test
+), one AS (
+  SELECT i, avg(v) AS m, {'stddev_pop(v)' if scaled else '1.0'} AS s, covar_pop(v, y) AS cy FROM long GROUP BY i
+), two AS (
+  SELECT a.i AS i, b.i AS j, covar_pop(a.v, b.v) AS g FROM long a JOIN long b ON a.vec_id = b.vec_id GROUP BY a.i, b.i
+), lines AS (
+  SELECT two.i AS i, list(g / a.s / b.s ORDER BY j) AS line, sum(abs(g / a.s / b.s)) AS size
+  FROM two JOIN one a ON a.i = two.i JOIN one b ON b.i = two.j GROUP BY two.i
+), mat AS (
+  SELECT list(line ORDER BY lines.i) AS g, list(cy / s ORDER BY lines.i) AS c, list(m ORDER BY lines.i) AS m, list(s ORDER BY lines.i) AS s,
+    max(size) AS top, (SELECT count(*) FROM z WHERE NOT in_test) AS n, (SELECT avg(y) FROM z WHERE NOT in_test) AS my
+  FROM lines JOIN one ON one.i = lines.i
+), alphas AS (
+  SELECT * FROM (VALUES {', '.join(f'({i}, CAST({a!r} AS DOUBLE))' for i, a in enumerate(alphas))}) AS v(position, alpha)
+), w AS (
+  SELECT 0 AS k, position, alpha, list_transform({each}, lambda i: 0.0::DOUBLE) AS w FROM alphas
+  UNION ALL
+  SELECT k + 1, position, alpha,
+    list_transform({each}, lambda i: sign({step}) * greatest(abs({step}) - {shrink} / top, 0.0)) AS w
+  FROM w, mat WHERE k < {STEPS}
+), fitted AS (
+  SELECT position, alpha, w FROM w WHERE k = {STEPS}
+), sweep AS (
+  SELECT position, alpha, avg(pow(y - my - list_dot_product(w, list_transform({each}, lambda i: (x[i] - m[i]) / s[i])), 2)) AS mse
+  FROM fitted, mat, z WHERE in_test GROUP BY position, alpha
+), report AS (
+  SELECT 'e' || CAST(i - 1 AS STRING) AS feature, w[i] / s[i] AS coefficient FROM fitted, mat, unnest({each}) AS r(i)
+)
+"""
+
+
+REPORT_SQL = wide_sql(False, (REPORT_ALPHA,), ridge=False, halves=False)
+
+
+def end_sql(direction: str) -> str:
+    return f"SELECT feature, round(coefficient, 6) + 0.0 AS coefficient FROM report ORDER BY report.coefficient {direction}, feature {direction} LIMIT 13"
+
+
+@query("coefficient_report", REPORT_SQL + f"(SELECT * FROM ({end_sql('ASC')})) UNION ALL (SELECT * FROM ({end_sql('DESC')}))")
 def coefficients(spark, sf):
     table, cols = embedded(spark, sf)
     counts, ends = coefficient_report(table, cols)
-    return ends.select("feature", r6("coefficient"))
+    return ends.select("feature", (F.round("coefficient", 6) + 0.0).alias("coefficient"))
 
 
-@query("coefficient_counts")
+@query(
+    "coefficient_counts",
+    REPORT_SQL + "SELECT count(*) FILTER (abs(coefficient) > 1e-9) AS picked, count(*) FILTER (abs(coefficient) <= 1e-9) AS eliminated FROM report",
+)
 def coefficient_counts(spark, sf):
     table, cols = embedded(spark, sf)
     return coefficient_report(table, cols)[0]
@@ -186,18 +244,18 @@ def one_coefficient(spark, sf):
     return ends.select("feature", r6("coefficient"))
 
 
-@query("ridge_sweep_wide")
+@query("ridge_sweep_wide", wide_sql(True, RIDGE_ALPHAS, ridge=True, halves=True) + ROUNDED_SWEEP)
 def ridge_wide(spark, sf):
     table, cols = embedded(spark, sf)
     train, test = split(table, "vec_id")
-    return ridge_sweep(train, test, cols)
+    return ridge_sweep(train, test, cols).select("position", "alpha", F.round("mse", 8).alias("mse"))
 
 
-@query("lasso_sweep_wide")
+@query("lasso_sweep_wide", wide_sql(True, LASSO_ALPHAS, ridge=False, halves=True) + ROUNDED_SWEEP)
 def lasso_wide(spark, sf):
     table, cols = embedded(spark, sf)
     train, test = split(table, "vec_id")
-    return lasso_sweep(train, test, cols)
+    return lasso_sweep(train, test, cols).select("position", "alpha", F.round("mse", 8).alias("mse"))
 
 
 @query("forest_sweep")

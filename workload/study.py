@@ -11,11 +11,11 @@ from hedonic.operators.lookups import attach_location
 from hedonic.operators.proximity import RADII, proximity_counts
 from hedonic.operators.regress import feature_columns
 from hedonic.plans.base import complete, residential_base
-from hedonic.plans.features import PROXIMITY_GROUPS, build_features
+from hedonic.plans.features import PROXIMITY_GROUPS, VIEW_GRADES, build_features
 from hedonic.plans.valuation import located_counts
 from hedonic.session import cut
 from workload.common import VIEWS, cte, query, view
-from workload.features import case
+from workload.features import axes_sql, case, part_sql
 from workload.joins import ASSESSOR, BASE_SQL
 from workload.roundtrips import frame
 from workload.spatial import CIRCLE, LAYERS, OFFSETS, count_columns
@@ -110,9 +110,24 @@ def features(spark, sf):
     return build_features(cut(complete_table(spark, sf))).drop("View_1", "View_2", "View_3")
 
 
-@query("build_features")
+def viewed_sql() -> str:
+    """The feature table with three components of the view grades."""
+    plain = feature_sql()
+    head, tail = plain.rsplit("\nSELECT pin,", 1)
+    where = tail[tail.index("\nWHERE"):]
+    parts = ", ".join(f"round({part_sql(n, VIEW_GRADES)}, 6) + 0.0 AS View_{n + 1}" for n in range(3))
+    body = tail[: tail.index("\nFROM complete")]
+    axes = axes_sql("kept", VIEW_GRADES, 3)
+    return (
+        head.replace("WITH ", "WITH RECURSIVE ", 1).rstrip()
+        + f",\nkept AS (SELECT * FROM complete {where}),\n{axes}\nSELECT pin, {parts}, {body}\nFROM kept, axis0, axis1, axis2"
+    )
+
+
+@query("build_features", viewed_sql())
 def full_features(spark, sf):
-    return build_features(cut(complete_table(spark, sf)))
+    out = build_features(cut(complete_table(spark, sf)))
+    return out.withColumns({f"View_{n}": F.round(f"View_{n}", 6) + 0.0 for n in (1, 2, 3)})
 
 
 VIEWS["leaky"] = (
