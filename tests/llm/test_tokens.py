@@ -21,6 +21,7 @@ def whole():
     return lambda text: np.array([*of.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
 
 
+ENCODER = WordEncoder(word_bpe_path(), words=200, parts=300)
 ODD_TEXTS = [
     "", " ", "a\tb\n\nc  d", "it's they'll DON'T x's.", "...a!!b?? (c) \"d\" e--f", "3.14 1,000 a1b2c3", "Éaé naïve STRASSE ß ﬁ",
     "é ́x", "<|endoftext|> a<|endoftext|>b <| |>", "日本語 テキスト", "𝔘𝔫𝔦 😀!!", " x　y z", "İstanbul", "a_b-c/d",
@@ -34,6 +35,16 @@ def test_word_cache_equals_encoding_whole(tables, whole):
         assert np.array_equal(np.frombuffer(of(text), of.dtype), whole(text)[:-1]), text[:80]
 
 
+@settings(max_examples=600, deadline=None)
+@given(st.lists(st.one_of(
+    st.sampled_from(["İ!", "(İ)", "Aİ,b", "ß", "ŉ", "ǰ.", "Größe", "it's", "THEY'LL", "''", "x1", "é", "é", "ﬁ", "\u0345", "Ω", "ϒ", "Ӏ", "ԥ", "日本", "<|", "�", "\x1d", "\t"]),
+    st.text(max_size=6), st.text(st.characters(max_codepoint=0x52F, categories=["L", "P", "M"]), max_size=8),
+), max_size=8), st.sampled_from([" ", "\n", "", " \t"]))
+def test_random_texts_equal_encoding_whole(whole, parts, between):
+    text = between.join(parts)
+    assert np.array_equal(np.frombuffer(ENCODER(text), ENCODER.dtype), whole(text)[:-1])
+
+
 def test_full_cache_is_emptied(whole):
     of = WordEncoder(word_bpe_path(), words=10, parts=10)
     for text in ("one two three four", "five six seven eight nine ten eleven", "one two, five!"):
@@ -47,6 +58,17 @@ def test_blocks_round_trip(ids, step):
     assert coder.decode(coder.encode(np.array(ids, dtype=np.int64), step)).tolist() == ids
 
 
+def test_checkpoints_of_wide_blocks(monkeypatch):
+    from hedonic.llm import huffman
+
+    ids = np.arange(3000) % 50
+    coder = Coder(code_lengths(np.bincount(ids)))
+    narrow = coder.encode(ids, 16)
+    monkeypatch.setattr(huffman, "NARROW", 100)
+    wide = coder.encode(ids, 16)
+    assert len(wide) > len(narrow) and coder.decode(wide).tolist() == coder.decode(narrow).tolist() == ids.tolist()
+
+
 def test_codes_are_canonical_limited_and_optimal():
     counts = np.array([1, 1, 2, 3, 5, 8, 13, 21, 34, 55, 89, 144, 0, 233])
     for limit in (4, 5, 8, 16):
