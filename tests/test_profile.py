@@ -48,6 +48,24 @@ def test_ratio_histogram_by_row_and_key(spark):
     assert sum(r.n for r in ratio_histogram(df, "p", "v", 4, key="k").collect()) == 4
 
 
+@pytest.mark.parametrize("bins", [1, 3, 40])
+def test_ratios_of_crowded_keys_are_counted_as_if_listed(spark, bins):
+    """Keys with more numerators than bins take the ordered runs; edges and ties fall as in the list of pairs."""
+    rng = np.random.default_rng(bins)
+    data = [("hot", float(a), float(b)) for a, b in zip(rng.integers(-30, 90, 400), rng.integers(-2, 12, 400))]
+    data += [(f"k{i % 7}", float(a), float(b)) for i, (a, b) in enumerate(rng.integers(1, 25, (120, 2)))]
+    data += [("tops", 500.0, 0.0), ("gap", None, 2.0), ("gap", float("nan"), 3.0), (None, 9000.0, 1.0), ("one", 7.5, None)]
+    df = spark.createDataFrame(data, "k string, p double, v double")
+    want = [a / b for j, a, _ in data for k, _, b in data if j == k and j and a is not None and a == a and b and b > 0]
+    counts, edges = np.histogram(want, bins)
+    got = ratio_histogram(df, "p", "v", bins, key="k").orderBy("bin").collect()
+    assert sum(r.n for r in got) == len(want)
+    left = [r.left for r in got] + [got[-1].right]
+    assert left == pytest.approx(edges.tolist(), rel=1e-12)
+    placed = np.clip(np.searchsorted(left, want, side="right") - 1, 0, bins - 1)
+    assert [r.n for r in got] == np.bincount(placed, minlength=bins).tolist()
+
+
 def test_brackets_are_narrowed_until_few_values_are_left(spark):
     """Whatever the size, the last ordered pass sees a fixed number of values per bracket."""
     rng = np.random.default_rng(3)
