@@ -23,10 +23,13 @@ expressions; a document's work stays in its row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hedonic.llm.common import let, query, table, tasks_for
+from hedonic.llm.common import let, query, table, unused
+from hedonic.session import settle
 
 #: Ends of paragraphs: a line break, or the white space after the end of a sentence.
 BREAK = r"\n+|(?<=[.!?])\s+"
@@ -116,38 +119,65 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.999999), apart)))
 
 
-def with_next(docs: DataFrame, carried: list[str], group_docs: int = 2048) -> DataFrame:
+def _above(blocks: DataFrame, low: int, high: int, bits: int = 11) -> DataFrame:
+    """``block, above``: the next larger of all different ``block`` values, none for the largest.
+
+    Values that share all but their last ``bits`` bits are ordered in one task, and the last of
+    such a group meets the first of the next group, which is found in the same way.
+    """
+    if high - low < 1 << bits:  # so few that one task orders them
+        return blocks.select("block", F.lead("block").over(Window.orderBy("block")).alias("above"))
+    grouped = blocks.select("block", F.shiftright("block", bits).alias("group"))
+    inside = grouped.withColumn("above", F.lead("block").over(Window.partitionBy("group").orderBy("block")))
+    first = settle(grouped.groupBy("group").agg(F.min("block").alias("first")))
+    climbed = _above(first.select(F.col("group").alias("block")), low >> bits, high >> bits, bits)
+    after = climbed.join(first.withColumnRenamed("group", "above"), "above").select(F.col("block").alias("group"), "first")
+    return inside.join(after, "group", "left").select("block", F.coalesce("above", "first").alias("above"))
+
+
+def with_next(
+    docs: DataFrame, carried: list[str], group_docs: int = 256, derive: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
     """Rows with ``next``: a struct of ``carried`` columns of the row with the next smaller ``doc_id``.
 
-    The smallest id is followed by the largest.  Ids are cut into ranges of about
-    ``group_docs`` rows; a range is ordered in one task, and the row after its last is
-    the first of the next range that has rows.
+    The smallest id is followed by a row without an id, if there is one, and the last row by
+    the largest id; rows that repeat an id follow each other.  A block is ``group_docs`` (a
+    power of two, 2 or more) neighbouring ids, ordered in one task; the row of its largest id goes to the
+    block before it as well.  Blocks come from the ids alone: nothing is sampled, and the
+    driver sees the smallest and largest block only.  ``derive`` adds columns once rows are in their blocks.
     """
-    ids = docs.select("doc_id")
-    ranges = tasks_for(docs.count(), group_docs)
-    shares = [i / ranges for i in range(1, ranges)]
-    cuts = ids.approxQuantile("doc_id", shares, 0.1 / ranges) if ranges > 1 else []
-    bounds = F.array(*[_long(int(c)) for c in sorted(set(cuts))]) if cuts else F.array().cast("array<bigint>")
-    spot = F.size(F.filter(bounds, lambda c: c < F.col("doc_id")))
-    rows = docs.withColumn("_range", F.when(F.col("doc_id").isNull(), -1).otherwise(spot))
-
-    here = F.struct("doc_id", *carried)
-    down = Window.partitionBy("_range").orderBy(F.desc_nulls_last("doc_id"))
-    inside = rows.withColumn("next", F.lead(here).over(down))
-    heads = rows.groupBy("_range").agg(F.max_by(here, F.coalesce("doc_id", _long(0))).alias("_head"))
-    # A cut is an id of the table and the largest of its range, so no range below the last is empty.
-    low, high = rows.agg(F.min("_range"), F.max("_range")).first()
-    upper = F.when(F.col("_range") == F.lit(high), F.lit(low)).otherwise(F.col("_range") + 1)
-    after = heads.select(upper.alias("_range"), "_head")
-    joined = inside.join(after, "_range", "left")
-    return joined.withColumn("next", F.coalesce("next", "_head")).drop("_range", "_head")
+    bits = group_docs.bit_length() - 1
+    if bits < 1 or group_docs != 1 << bits:
+        raise ValueError(f"group_docs must be a power of two and at least 2, not {group_docs}")
+    nameless = -(1 << 63)  # the block of rows without an id, smaller than any other
+    block, head, guest = (unused(f"_{stem}", docs) for stem in ("block", "head", "guest"))
+    number = F.col("doc_id").cast("long")
+    own = F.coalesce(F.shiftright(number, bits), _long(nameless))
+    ids = docs.select("doc_id", own.alias("block"))
+    heads = settle(ids.groupBy("block").agg(F.max("doc_id").alias(head)))
+    named = heads.where(F.col("block") != nameless)
+    low, high, missing = heads.agg(
+        F.min(F.when(F.col("block") != nameless, F.col("block"))), F.max("block"), F.count_if(F.col("block") == nameless)
+    ).first()
+    before = _above(named.select("block"), low, high) if low is not None else named.select("block", F.col("block").alias("above"))
+    last = nameless if missing else low
+    sent = named.join(before, "block").select(head, F.coalesce("above", _long(last)).alias(guest))
+    if missing:
+        sent = sent.union(heads.where(F.col("block") == nameless).select(head, _long(nameless if low is None else low)))
+
+    spots = F.array(F.struct(own.alias(block), F.lit(False).alias(guest)), F.struct(F.col(guest).alias(block), F.lit(True).alias(guest)))
+    rows = docs.join(settle(sent), F.col("doc_id").eqNullSafe(F.col(head)), "left")
+    rows = rows.select(*[F.col(f"`{c}`") for c in docs.columns], F.inline(F.filter(spots, lambda x: x[block].isNotNull())))
+    rows = derive(rows.repartition(block))
+    down = Window.partitionBy(block).orderBy(F.col(guest), F.desc_nulls_last("doc_id"))
+    return rows.withColumn("next", F.lead(F.struct("doc_id", *carried)).over(down)).where(~F.col(guest)).drop(block, guest)
 
 
 @query("op7_fingerprints")
 def op7_fingerprints(spark, sf_dir):
     """Fingerprints of all documents and of their texts with the last third replaced from the next one."""
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    own = with_next(docs.withColumn("lanes", lanes(F.col("text"))), ["text", "lanes"])
+    own = with_next(docs, ["text", "lanes"], derive=lambda rows: rows.withColumn("lanes", lanes(F.col("text"))))
     n = F.length("text")
     cut = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring(F.col("next.text"), F.lit(1), cut))

@@ -2,6 +2,7 @@
 
 import hashlib
 import html
+import random
 import re
 import time
 import zlib
@@ -145,6 +146,23 @@ def test_order_of_rows_with_ties_and_nulls(spark, odd, none):
     assert with_next(none.select("doc_id", "text"), ["text"]).count() == 0
 
 
+def test_next_over_many_blocks_and_wide_gaps(spark):
+    """Blocks of two ids over gaps of all sizes, ids under zero and at the ends of the type."""
+    from hedonic.llm.fingerprints import with_next
+
+    draw = random.Random(7)
+    ids = {draw.getrandbits(draw.randrange(1, 63)) * draw.choice((-1, 1)) for _ in range(300)} | {2**63 - 1, -(2**63), 0}
+    order = sorted(ids, reverse=True)
+    df = spark.createDataFrame([(i, str(i), "kept") for i in ids], "doc_id long, text string, _block string")
+    for size in (2, 256):
+        rows = with_next(df, ["text"], size).collect()
+        assert {r.doc_id: (r.next.doc_id, r.next.text, r._block) for r in rows} == {
+            i: (j, str(j), "kept") for i, j in zip(order, [*order[1:], order[0]])
+        } and len(rows) == len(ids)
+    lost = with_next(spark.createDataFrame([(None, "a")], "doc_id long, text string"), ["text"]).collect()
+    assert [r.next.text for r in lost] == ["a"]
+
+
 def test_native_plans(spark):
     assert no_python(op7_fingerprints(spark, SF_DIR)) and no_python(op8_licenses(spark, SF_DIR))
 
