@@ -97,41 +97,47 @@ def signatures(lines: DataFrame) -> DataFrame:
     return signed.select("key", F.array(*bands).alias("bands"))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, like: int) -> DataFrame:
-    """Pairs ``u, v`` of lines that are alike."""
-    left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"))
-    right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"))
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` of lines with ``shared`` and ``all``: the sizes of their sets' intersection and union."""
+    left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"), F.col("n").alias("na"))
+    right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"), F.col("n").alias("nb"))
     both = pairs.join(left, "u").join(right, "v")
-
-    def alike(s: Column) -> Column:
-        return let(F.size(F.array_intersect(s["a"], s["b"])), lambda c: 100 * c >= like * (F.size(s["a"]) + F.size(s["b"]) - c))
-
-    sets = F.struct(F.array_distinct(shingles(F.col("a"))).alias("a"), F.array_distinct(shingles(F.col("b"))).alias("b"))
-    return both.where(let(sets, alike)).select("u", "v")
+    shared = F.size(F.array_intersect(shingles(F.col("a")), shingles(F.col("b"))))
+    return both.withColumn("shared", shared).select("u", "v", "shared", (F.col("na") + F.col("nb") - F.col("shared")).alias("all"))
 
 
 def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
     """``key, component`` of every line (``key, folded``) that is like another; no empty lines are to be passed."""
-    signed = settle(signatures(lines))
+    # Grouped by key from here on, so that signatures need no exchange of their own.
+    signed = settle(signatures(lines.select("key", "folded").dropDuplicates(["key"])))
     banded = signed.select("key", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("other")).where("head != other")
-    members = settle(banded.join(shared.select("band", "head"), "band"))
-    release(signed)
+    ends = banded.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("other"))
+    shared = settle(ends.where("head != other").select("band", "head"))
+    members = settle(rows_near(banded, shared, "band", SIEVE).join(shared, "band"))
+    release(signed, shared)
 
     wanted = settle(members.select("key").distinct())
     near = rows_near(lines.select("key", "folded"), wanted, "key", SIEVE)
-    texts = settle(near.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+    texts = near.join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    texts = settle(texts.withColumn("n", F.size(F.array_distinct(shingles(F.col("folded"))))))
     star = members.where("key != head").select(F.col("key").alias("u"), F.col("head").alias("v")).distinct()
-    links = settle(_verify(star, texts, like))
+    star = settle(_compared(star, texts))
+    linked = F.expr(f"100 * shared >= {like} * all")
+    links = settle(star.where(linked).select("u", "v"))
     label = settle(components(links))
 
-    known = members.join(label.withColumnRenamed("node", "key"), "key", "left")
-    known = known.select("band", "key", F.coalesce("component", "key").alias("label"))
+    known = members.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("component", "key"))
     mixed = known.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("band")
-    open_ = settle(known.join(mixed, "band"))
+    # One minus similarity is a metric: lines whose distances to the head differ by more are not alike.
+    far = star.select(F.col("u").alias("key"), F.col("v").alias("head"), (1 - F.col("shared") / F.col("all")).alias("far"))
+    open_ = known.join(mixed, "band").join(texts.select("key", "n"), "key").join(far, ["key", "head"], "left")
+    open_ = settle(open_.select("band", "key", "label", "n", F.coalesce("far", F.lit(0.0)).alias("far")))
     a, b = open_.alias("a"), open_.alias("b")
-    rest = a.join(b, F.expr("a.band = b.band AND a.label < b.label")).select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct()
-    more = settle(_verify(rest, texts, like))
+    could = F.expr(f"a.band = b.band AND a.label < b.label AND 100 * least(a.n, b.n) >= {like} * greatest(a.n, b.n)")
+    could &= F.abs(F.col("a.far") - F.col("b.far")) <= 1 - like / 100 + 1e-9
+    rest = a.join(b, could).select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct()
+    more = settle(_compared(rest, texts).where(linked).select("u", "v"))
+    release(members, wanted, texts, star, open_)
     return components(links.union(more)).withColumnRenamed("node", "key")
 
 
