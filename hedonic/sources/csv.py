@@ -32,13 +32,16 @@ def list_csv(spark: SparkSession, directory: str) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, encoding: str = "UTF-8"
+    spark: SparkSession, path: str, schema: StructType | str | None = None, encoding: str = "UTF-8",
+    line_breaks: bool = False,
 ) -> DataFrame:
     """One CSV file with a header line and doubled quotes inside quoted text.
 
     A known table should come with its ``schema``; types are inferred otherwise.
+    With ``line_breaks`` quoted text may hold line breaks; such a file is read by one task.
     """
     reader = spark.read.option("header", True).option("quote", '"').option("escape", '"').option("encoding", encoding)
+    reader = reader.option("multiLine", line_breaks)
     if schema is None:
         return nan_to_null(reader.option("inferSchema", True).csv(path))
     return nan_to_null(reader.schema(schema).csv(path))
@@ -53,13 +56,14 @@ def ingest_csv_dir(
     name_rule: Callable[[str], str] = table_name,
     mode: str = "errorifexists",
     prepare: Callable[[DataFrame], DataFrame] = lambda df: df,
+    line_breaks: bool = False,
 ) -> list[str]:
     """Load every CSV file of ``directory`` as a table of ``db``; returns the table names."""
     schemas = schemas or {}
     names = []
     for path in list_csv(spark, directory):
         name = name_rule(path)
-        write_table(prepare(read_csv(spark, path, schemas.get(name), encoding)), f"{db}.{name}", mode)
+        write_table(prepare(read_csv(spark, path, schemas.get(name), encoding, line_breaks)), f"{db}.{name}", mode)
         names.append(name)
     return names
 

@@ -87,3 +87,11 @@ def test_polygons_and_unknown_geometry(spark, tmp_path):
         (tmp_path / "u.geojson").write_text(f'{{"properties": {{}}, "geometry": {{"type": "{kind}", "coordinates": [[1, 2], [3, 4]]}}}}')
         with pytest.raises(Exception, match="unsupported geometry"):
             load_layer(spark, str(tmp_path / "u.geojson"), fmt="geojson").collect()
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    from hedonic.sources.csv import read_csv
+
+    (tmp_path / "notes.csv").write_text('id,note,n\n1,"two\nlines, ""quoted""",5\n2,plain,6\n')
+    got = read_csv(spark, str(tmp_path / "notes.csv"), "id int, note string, n int", line_breaks=True)
+    assert sorted(map(tuple, got.collect())) == [(1, 'two\nlines, "quoted"', 5), (2, "plain", 6)]
