@@ -51,6 +51,24 @@ def csv_round_trip(spark, sf):
     return together(spark, db, names).withColumn("c_name", F.regexp_extract("c_name", '^Café, "(.*)"$', 1))
 
 
+@query("csv_default_names", CUSTOMER_SQL)
+def csv_default_names(spark, sf):
+    """Files named like the extracts become tables by the default rule."""
+    customer = load(spark, sf, "customer")
+    where, db = scratch(spark), fresh_db(spark)
+    customer.repartition(3).write.option("header", True).option("escape", '"').csv(where)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(where).getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = list_csv(spark, where)
+    for i, part in enumerate(parts):
+        files.rename(path(part), path(f"{where}/EXTR_Customer{i}.csv"))
+    expected = {f"Customer{i}": customer.schema for i in range(len(parts))}
+    names = ingest_csv_dir(spark, where, db, expected)
+    if set(names) != set(expected):
+        raise ValueError(f"tables {names} do not follow the files' names")
+    return together(spark, db, names)
+
+
 VIEWS["landmarks"] = (
     "customer",
     (
