@@ -1,74 +1,34 @@
 """Points of interest within radii of every property, counted in one job.
 
 Cost follows distinct places, not rows.  Properties and points are first reduced to
-distinct locations with multiplicities.  While the distinct points are few enough to be
-sent to every executor, which is counted, places walk down their pyramid
-(:mod:`hedonic.operators.pyramid`).  Beyond that, cells meet cells: both sides are grouped
-in square cells, and from the bounding boxes of the locations they hold, a pair of cells is
-wholly inside a radius (its counts are added as totals), wholly outside (dropped) or
-undecided.  Undecided pairs holding few enough location pairs are tested exactly; larger
-ones are cut into sub-cells and compared again, so a crowded cell is refined instead of
-having all its location pairs listed.
+distinct locations with multiplicities.  While the distinct points are few, which is
+counted, places walk down their pyramid (:mod:`hedonic.operators.pyramid`).  Beyond that,
+places meet slabs of points in tasks and count strip by strip
+(:mod:`hedonic.operators.strips`).  Results equal the plain theta join.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hedonic.functions.geo import buffer_metric, sector
-from hedonic.operators.pyramid import CELL_RANGE, HELD_SPOTS, LEVEL_BITS, SLACK, cell_number, counts_around_outlines, counts_around_points, extent
+from hedonic.functions.geo import buffer_metric
+from hedonic.operators.pyramid import HELD_SPOTS, counts_around_outlines, counts_around_points, extent
 from hedonic.operators.skew import is_small, join_lookups
+from hedonic.operators.strips import counts_in_strips
 from hedonic.session import settle
 
 # Buffer radii in feet.
 RADII = (1000, 5000, 20000)
 
-# Largest number of location pairs of two cells that are tested one by one.
-PAIR_BUDGET = 20_000
-# Location pairs per task in the exact test.  Its input is small in bytes and
-# large in work, so its tasks are sized by work.
-TASK_PAIRS = 2_000_000
-
-
-@dataclass(frozen=True)
-class _Shape:
-    """How a property is located.
-
-    ``keys`` name the place of a property and ``box`` the columns holding its low and high
-    x and its low and high y.  A point is near when ``metric`` is at most ``bound(r)``; it
-    surely is when all of the box lies within ``sure(r)`` and surely is not when none lies
-    within ``reach(r)``.
-    """
-
-    keys: list[str]
-    box: tuple[str, str, str, str]
-    metric: Column
-    bound: Callable[[float], float]
-    sure: Callable[[float], float]
-    reach: Callable[[float], float]
-
-
-def _point_shape(quad_segs: int | None) -> _Shape:
-    x, y = F.col("x"), F.col("y")
-    metric, bound = buffer_metric(F.col("px") - x, F.col("py") - y, quad_segs)
-    # For circles the box corners bound each offset and rounding is monotone, so
-    # no slack is needed.
-    inner = 1.0 if quad_segs is None else math.cos(sector(quad_segs) / 2) * (1 - SLACK)
-    outer = 1.0 if quad_segs is None else 1 + SLACK
-    return _Shape(
-        keys=["x", "y"],
-        box=("x", "x", "y", "y"),
-        metric=metric,
-        bound=bound,
-        sure=lambda r: r * inner,
-        reach=lambda r: r * outer,
-    )
+# Pairs of a place and a point that a task lists at a time.
+PAIR_BUDGET = 1_000_000
+# Pairs of a place (of a corner, for outlines) and a strip of points that make a task.
+TASK_PAIRS = 50_000_000
 
 
 def count_name(layer: str, radius) -> str:
@@ -93,7 +53,7 @@ def proximity_counts(
     property row, so a key with several rows has its counts multiplied;
     ``mode="distinct"`` counts once per location of the key.  ``quad_segs``
     replaces circles by inscribed polygons.  Up to ``held`` distinct points are sent to
-    every executor.
+    every executor; of more, a task lists ``pair_budget`` pairs at a time.
     """
     names = _names(layers, radii, mode)
     tallies = [f"n{j}" for j in range(len(layers))]
@@ -104,7 +64,11 @@ def proximity_counts(
     if n <= held:
         found = counts_around_points(sites, spots, tallies, radii, names, quad_segs, far)
     else:
-        found = _descend(settle(sites.distinct()), spots, layers, radii, _point_shape(quad_segs), names, pair_budget)
+        metric, bound = buffer_metric(F.col("px") - F.col("x"), F.col("py") - F.col("y"), quad_segs)
+        found = counts_in_strips(
+            settle(sites.distinct()), spots, ["x", "y"], ("x", "x", "y", "y"), tallies, radii, names, pair_budget, TASK_PAIRS,
+            quad_segs, None if quad_segs is None else lambda r: metric <= bound(r),
+        )
     return _per_key(visits, found, key, ["x", "y"], names, mode)
 
 
@@ -138,7 +102,12 @@ def outline_counts(
     xs, ys = F.transform(corners, lambda p: p["x"]), F.transform(corners, lambda p: p["y"])
     box = {"x0": F.array_min(xs), "x1": F.array_max(xs), "y0": F.array_min(ys), "y1": F.array_max(ys)}
     places = settle(props.where(usable).dropDuplicates(keys).select(*keys, "rings", *[c.alias(n) for n, c in box.items()]))
-    found = counts_around_outlines(places, settle(_spots(pois, layers)), tallies, radii, names, keys, held)
+    spots = settle(_spots(pois, layers))
+    if extent(spots)[0] <= held:
+        found = counts_around_outlines(places, spots, tallies, radii, names, keys, held)
+    else:
+        box = ("x0", "x1", "y0", "y1")
+        found = counts_in_strips(places, spots, keys, box, tallies, radii, names, PAIR_BUDGET, TASK_PAIRS)
     return _per_key(visits, found, key, keys, names, mode)
 
 
@@ -177,184 +146,3 @@ def _spots(pois: DataFrame, layers: Sequence[str]) -> DataFrame:
     wanted = pois.where(_usable(["x", "y"]) & F.col("layer").isin(list(layers)))
     per_layer = [F.count_if(F.col("layer") == layer).alias(f"n{j}") for j, layer in enumerate(layers)]
     return wanted.groupBy(F.col("x").alias("px"), F.col("y").alias("py")).agg(*per_layer)
-
-
-def _descend(sites, spots, layers, radii, shape, names, pair_budget) -> DataFrame:
-    """Counts per site, from whole-cell totals and exact tests over all levels."""
-    # Neighbours within the largest radius lie at most one base cell away.
-    base = max(radii) * (1 + 1e-6)
-
-    x0, x1, y0, y1 = shape.box
-    opens = [f"open{i}" for i in range(len(radii))]
-    sures = [f"sure{i}" for i in range(len(radii))]
-    tallies = [f"n{j}" for j in range(len(layers))]
-
-    # Counts travel as one row per site and layer, ``layer, c0, c1, ...``.
-    per_radius = [f"c{i}" for i in range(len(radii))]
-
-    parts = []
-    pairs = None
-    level = 0
-    last = _deepest(sites, spots, shape, base)
-    while True:
-        size = base / 2 ** (LEVEL_BITS * level)
-
-        def cell(at: Column, size: float = size) -> Column:
-            return cell_number(at, size)
-
-        placed = sites.withColumns({"ax": cell((F.col(x0) + F.col(x1)) / 2), "ay": cell((F.col(y0) + F.col(y1)) / 2)})
-        pinned = spots.withColumns({"bx": cell(F.col("px")), "by": cell(F.col("py"))})
-        if pairs is not None:
-            # Only what lies in crowded cells of the level above goes on, less at every level.
-            placed = placed.join(_above(pairs, "ax", "ay"), _up("ax", "ay"), "left_semi")
-            pinned = pinned.join(_above(pairs, "bx", "by"), _up("bx", "by"), "left_semi")
-            placed, pinned = settle(placed), settle(pinned)
-            sites, spots = placed.drop("ax", "ay"), pinned.drop("bx", "by")
-        a = placed.groupBy("ax", "ay").agg(
-            F.count(F.lit(1)).alias("na"),
-            F.min(x0).alias("ax0"), F.max(x1).alias("ax1"),
-            F.min(y0).alias("ay0"), F.max(y1).alias("ay1"),
-        )
-        b = pinned.groupBy("bx", "by").agg(
-            F.count(F.lit(1)).alias("nb"),
-            F.min("px").alias("bx0"), F.max("px").alias("bx1"),
-            F.min("py").alias("by0"), F.max("py").alias("by1"),
-            *[F.sum(n).alias(n) for n in tallies],
-        )
-        pairs = _cell_pairs(a, b, pairs, opens)
-        pairs = settle(_classify(pairs, radii, shape, opens, sures, tallies))
-
-        undecided = reduce(lambda p, q: p | q, map(F.col, opens))
-        work = F.col("na").cast("double") * F.col("nb")
-        heavy = work > pair_budget
-        exact = undecided if level == last else undecided & ~heavy
-        decided = reduce(lambda p, q: p | q, map(F.col, sures))
-        load = pairs.agg(
-            F.sum(F.when(exact, work)).alias("tests"),
-            F.count_if(decided).alias("decided"),
-            F.count_if(undecided & ~exact).alias("heavy"),
-        ).head()
-        if load["tests"]:
-            leaf = pairs.where(exact).select("ax", "ay", "bx", "by", "na", "nb", *opens)
-            # The points go to the cell pairs first; sites move once.
-            by_spot = _meet(leaf, pinned, ["bx", "by"], ["ax", "ay"], F.col("nb").cast("double"))
-            tasks = math.ceil(load["tests"] / TASK_PAIRS)
-            by_site = _meet(by_spot.drop("nb"), placed, ["ax", "ay"], ["px", "py"], F.col("na").cast("double"), tasks)
-            # The box test is cheap and spares most pairs the exact one.
-            gap_x = F.greatest(F.lit(0.0), F.col("px") - F.col(x1), F.col(x0) - F.col("px"))
-            gap_y = F.greatest(F.lit(0.0), F.col("py") - F.col(y1), F.col(y0) - F.col("py"))
-            close = by_site.where(gap_x * gap_x + gap_y * gap_y <= shape.reach(max(radii)) ** 2)
-            measured = close.select(*shape.keys, *opens, *tallies, shape.metric.alias("metric"))
-            within = [F.col(o) & (F.col("metric") <= shape.bound(r)) for o, r in zip(opens, radii)]
-            near = measured.select(*shape.keys, *tallies, *[w.alias(f"w{i}") for i, w in enumerate(within)])
-            near = near.where(reduce(lambda p, q: p | q, [F.col(f"w{i}") for i in range(len(radii))]))
-            tested = _by_layer(near, tallies).groupBy(*shape.keys, "layer")
-            parts.append(
-                tested.agg(*[F.sum(F.when(F.col(f"w{i}"), F.col("n")).otherwise(F.lit(0))).alias(c) for i, c in enumerate(per_radius)])
-            )
-        if load["decided"]:
-            totals = _by_layer(pairs.where(decided), tallies).groupBy("ax", "ay", "layer")
-            totals = totals.agg(
-                *[
-                    F.sum(F.when(F.col(s), F.col("n")).otherwise(F.lit(0))).alias(c)
-                    for s, c in zip(sures, per_radius)
-                ]
-            )
-            parts.append(placed.join(totals, ["ax", "ay"]).select(*shape.keys, "layer", *per_radius))
-        if not load["heavy"]:
-            break
-        pairs = pairs.where(undecided & ~exact)
-        level += 1
-
-    wide = [
-        F.sum(F.when(F.col("layer") == j, F.col(f"c{i}")).otherwise(F.lit(0))).alias(name)
-        for (i, j), name in names.items()
-    ]
-    if not parts:
-        empty = sites.where(F.lit(False))
-        parts = [empty.select(*shape.keys, *[F.lit(0).cast("long").alias(c) for c in ("layer", *per_radius)])]
-    return reduce(DataFrame.unionByName, parts).groupBy(*shape.keys).agg(*wide)
-
-
-def _deepest(sites: DataFrame, spots: DataFrame, shape: _Shape, base: float) -> int:
-    """The last level at which cells still tell the farthest coordinates apart."""
-    x0, x1, y0, y1 = shape.box
-    widest = [F.max(F.greatest(*[F.abs(F.col(c)) for c in columns])) for columns in ((x0, x1, y0, y1), ("px", "py"))]
-    far = max(sites.agg(widest[0]).head()[0] or 0.0, spots.agg(widest[1]).head()[0] or 0.0, base)
-    return max(0, int((math.log2(CELL_RANGE) - math.log2(far / base)) // LEVEL_BITS) - 1)
-
-
-def _up(cx: str, cy: str) -> list[Column]:
-    """Condition: a cell lies in a cell of the level above."""
-    return [F.shiftright(cx, LEVEL_BITS) == F.col(f"up_{cx}"), F.shiftright(cy, LEVEL_BITS) == F.col(f"up_{cy}")]
-
-
-def _above(pairs: DataFrame, cx: str, cy: str) -> DataFrame:
-    return pairs.select(F.col(cx).alias(f"up_{cx}"), F.col(cy).alias(f"up_{cy}")).distinct()
-
-
-def _meet(leaf: DataFrame, places: DataFrame, here: list[str], other: list[str], rows: Column, tasks: int | None = None) -> DataFrame:
-    """Join the places of each cell ``here`` to its rows of ``leaf``, each of which makes ``rows`` rows.
-
-    A cell with more work than one task should do is dealt over as many salts as it
-    takes, by what it is paired with; its places are repeated for each.
-    """
-    load = settle(leaf.groupBy(*here).agg(F.ceil(F.sum(rows) / TASK_PAIRS).alias("_salts")))
-    left = leaf.join(load, here).withColumn("_salt", F.pmod(F.xxhash64(*other), F.col("_salts")))
-    right = places.join(load, here).withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)))
-    keys = [*here, "_salt"]
-    if tasks is not None:  # small in bytes, large in work: no key is, so a number of tasks can be set
-        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
-    return left.drop("_salts").join(right.drop("_salts"), keys).drop("_salt")
-
-
-def _by_layer(df: DataFrame, tallies: list[str]) -> DataFrame:
-    """One row per layer present: the counts ``n0, n1, ...`` become ``layer, n``."""
-    rest = [c for c in df.columns if c not in tallies]
-    each = [F.struct(F.lit(j).alias("layer"), F.col(t).alias("n")) for j, t in enumerate(tallies)]
-    return df.select(*rest, F.inline(F.array(*each))).where(F.col("n") > 0)
-
-
-def _cell_pairs(a: DataFrame, b: DataFrame, parents: DataFrame | None, opens: list[str]) -> DataFrame:
-    """Cell pairs to look at: neighbours at the base level, children below it."""
-    if parents is None:
-        steps = F.array(*[F.lit(d) for d in (-1, 0, 1)])
-        around = b.withColumn("_dx", F.explode(steps)).withColumn("_dy", F.explode(steps))
-        around = around.withColumn("ax", F.col("bx") + F.col("_dx")).withColumn("ay", F.col("by") + F.col("_dy"))
-        return a.join(around, ["ax", "ay"]).withColumns({o: F.lit(True) for o in opens})
-
-    def children(cells: DataFrame, cx: str, cy: str) -> DataFrame:
-        return cells.withColumn(f"up_{cx}", F.shiftright(cx, LEVEL_BITS)).withColumn(
-            f"up_{cy}", F.shiftright(cy, LEVEL_BITS)
-        )
-
-    up = parents.select(
-        *[F.col(c).alias(f"up_{c}") for c in ("ax", "ay", "bx", "by")], *opens
-    )
-    return up.join(children(a, "ax", "ay"), ["up_ax", "up_ay"]).join(children(b, "bx", "by"), ["up_bx", "up_by"])
-
-
-def _classify(pairs, radii, shape, opens, sures, tallies) -> DataFrame:
-    """Mark, per radius still open, the pairs wholly inside and those undecided."""
-
-    def gap(c: str) -> Column:
-        return F.greatest(F.lit(0.0), F.col(f"b{c}0") - F.col(f"a{c}1"), F.col(f"a{c}0") - F.col(f"b{c}1"))
-
-    def far(c: str) -> Column:
-        return F.greatest(F.col(f"b{c}1") - F.col(f"a{c}0"), F.col(f"a{c}1") - F.col(f"b{c}0"))
-
-    measured = pairs.select(
-        "ax", "ay", "bx", "by", "na", "nb", *opens, *tallies,
-        (gap("x") * gap("x") + gap("y") * gap("y")).alias("_gap2"),
-        (far("x") * far("x") + far("y") * far("y")).alias("_far2"),
-    )
-    flags = {}
-    for r, is_open, is_sure in zip(radii, opens, sures):
-        inside = F.col("_far2") <= shape.sure(float(r)) ** 2
-        apart = F.col("_gap2") > shape.reach(float(r)) ** 2
-        flags[is_sure] = F.col(is_open) & inside
-        flags[is_open] = F.col(is_open) & ~inside & ~apart
-    marked = measured.select(
-        "ax", "ay", "bx", "by", "na", "nb", *tallies, *[c.alias(n) for n, c in flags.items()]
-    )
-    return marked.where(reduce(lambda p, q: p | q, [F.col(n) for n in flags]))

@@ -31,7 +31,7 @@ from hedonic.functions.geo import buffer_metric, sector
 from hedonic.session import settle
 
 # Distinct points of one pyramid: what is broadcast has less than a row of a hundred bytes for each.
-HELD_SPOTS = 200_000
+HELD_SPOTS = 20_000
 # A cell with more points is cut further.
 LEAF_SPOTS = 100
 # A cell is cut into 4 x 4, so many times at most.

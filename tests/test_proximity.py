@@ -1,10 +1,11 @@
 """Proximity counts against brute force, under skew, and their plans."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from hedonic.operators import proximity, pyramid
+from hedonic.operators import proximity, pyramid, strips
 from hedonic.operators.layers import DEFAULT_LAYERS, LayerSpec, poi_layer, stack_layers
 from hedonic.operators.proximity import count_name, outline_counts, proximity_counts
 from tests.conftest import rows
@@ -239,3 +240,55 @@ def test_plan_has_no_nested_loop_or_python(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for bad in ("NestedLoop", "Cartesian", "Python", "Arrow"):
         assert bad not in plan
+
+
+@pytest.mark.parametrize("totals, pairs", [(5_000_000, 1_000_000), (60, 7)])
+def test_many_points_and_outlines_meet_in_strips(spark, monkeypatch, totals, pairs):
+    """Beyond the held points: several slabs, wide and odd outlines, corners exactly on a radius, no cell pairs, no broadcast points."""
+    monkeypatch.setattr(strips, "SLAB_TOTALS", totals)
+    monkeypatch.setattr(strips, "CHUNK", 50)
+    monkeypatch.setattr(proximity, "PAIR_BUDGET", pairs)
+    rng = np.random.default_rng(21)
+    square = lambda x, y, w: [(x - w, y - w), (x + w, y - w), (x + w, y + w), (x - w, y + w)]
+    homes = {"giant": [square(0.0, 0.0, 60000), square(0.0, 0.0, 15000), square(0.0, 0.0, 4000)], "dot": [[(100.0, 100.0)]]}
+    for i, (x, y, w) in enumerate(np.round(rng.uniform(-20000, 20000, (25, 3)) / 500).tolist()):
+        x, y, w = 500 * x, 500 * y, 25 * abs(w) + 1
+        homes[f"h{i}"] = [square(x, y, w), square(x, y, w / 2)[::-1], square(x + 3 * w, y, w / 3)]
+        homes[f"s{i}"] = [[tuple(p) for p in (rng.uniform(-w, w, (7, 2)) + (x, y)).tolist()]]
+    spots = [tuple(p) for p in (np.round(rng.uniform(-80000, 80000, (150, 2)) / 500) * 500).tolist()]
+    spots += [tuple(p) for p in rng.normal(0, 9000, (250, 2)).tolist()]
+    rows_ = [(k, [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]) for k, rings in homes.items()]
+    rows_ += [("none", None), ("lost", [[{"x": float("inf"), "y": 0.0}]]), ("half", [[{"x": 1.0, "y": None}]])]
+    props = spark.createDataFrame(rows_, "pin string, rings array<array<struct<x: double, y: double>>>")
+    pois = frame(spark, [("ab"[i % 2], *p) for i, p in enumerate(spots)], "layer string, x double, y double")
+    got = {r[0]: tuple(r[1:]) for r in outline_counts(props, pois, ["a", "b"], (500, 3000), held=0).collect()}
+    want = {k: (0,) * 4 for k in ("none", "lost", "half")}
+    for k, rings in homes.items():
+        far = [outline_distance(rings, *p) for p in spots]
+        want[k] = tuple(sum(d <= r for d in far[j::2]) for j in (0, 1) for r in (500, 3000))
+    assert got == want
+    places = [(k, *map(float, rings[0][0])) for k, rings in homes.items()]
+    points = [("ab"[i % 2], *p) for i, p in enumerate(spots)]
+    assert run(spark, places, points, ["a", "b"], (500, 3000), held=0, pair_budget=pairs) == brute(places, points, ["a", "b"], (500, 3000))
+
+
+def test_work_on_a_place_grows_with_the_root_of_the_points():
+    """Points that are tested one by one around a place: a few times the root, however many lie near it."""
+    tested = []
+
+    class Counting(strips.Buffer):
+        def near(self, radius, dx, dy):
+            tested.append(len(dx))
+            return super().near(radius, dx, dy)
+
+    rng = np.random.default_rng(22)
+    x, y = rng.uniform(0, 100_000, (2, 200))
+    where = strips.Places(x, y, np.arange(200), np.ones(200, dtype=np.int64))
+    for n in (10_000, 160_000):
+        px, py = rng.uniform(0, 100_000, (2, n))
+        table = pa.table({"px": px, "py": py, "layer": np.zeros(n, dtype=np.int32), "n": np.ones(n, dtype=np.int64)})
+        tested.clear()
+        for rows_, counts, *_ in strips.spots_around(where, strips.Slab(table, 1), (20000.0,), Counting(), 10**6):
+            d2 = (x[rows_, None] - px) ** 2 + (y[rows_, None] - py) ** 2
+            assert (counts[:, 0, 0] == (d2 <= 20000.0**2).sum(axis=1)).all()
+        assert sum(tested) / 200 < 4 * np.sqrt(n)
