@@ -33,6 +33,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -245,10 +246,16 @@ def train(
                 names=["id", "label", "at", "n"],
             )
 
-    rows = drawn.mapInArrow(features, "id string, label string, at array<int>, n array<int>").toPandas()
-    rows = rows[rows["at"].map(len) > 0]
-    rows = rows.assign(first=rows["at"].map(lambda a: int(a[0]))).sort_values(["id", "label", "first"])
-    return fit([(np.asarray(a), np.asarray(n)) for a, n in zip(rows["at"], rows["n"], strict=True)], rows["label"].tolist())
+    # Collected as Arrow: as rows, every number would be an object in the driver's JVM and in Python.
+    found = drawn.mapInArrow(features, "id string, label string, at array<int>, n array<int>").toArrow().combine_chunks()
+    found = found.filter(pc.greater(pc.list_value_length(found["at"]), 0))
+    sizes = pc.list_value_length(found["at"]).to_numpy()
+    at, n = (pc.list_flatten(found[c]).to_numpy() for c in ("at", "n"))
+    ends = np.cumsum(sizes)
+    rows = pd.DataFrame({"id": found["id"].to_pandas(), "label": found["label"].to_pandas(), "first": at[ends - sizes]})
+    rows = rows.sort_values(["id", "label", "first"])
+    cuts = [(ends[i] - sizes[i], ends[i]) for i in rows.index]
+    return fit([(at[i:j], n[i:j]) for i, j in cuts], rows["label"].tolist())
 
 
 def identify(docs: DataFrame, model: Model, *, text_col: str = "text", prefix: str = "") -> DataFrame:
