@@ -91,47 +91,69 @@ def signatures(lines: DataFrame) -> DataFrame:
     hashes = [F.hash(F.substring("part", i + 1, SHINGLE)).bitwiseAND((1 << BITS) - 1) for i in range(STRETCH)]
     # The stretch at a line's end holds fewer shingles; its first stands in for the others.
     hashes[1:] = [F.when(F.length("part") >= i + SHINGLE, h).otherwise(hashes[0]) for i, h in enumerate(hashes[1:], 1)]
-    hashed = parts.select("key", F.explode(F.array(*hashes)).alias("h"))
-    signed = hashed.groupBy("key").agg(*[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks())])
+    hashed = parts.select("key", *[h.alias(f"h{i}") for i, h in enumerate(hashes)])
+    # A stretch's least value comes first, so that a group's minima are touched once for all its shingles.
+    least = [F.least(*[F.col(f"h{i}").bitwiseXOR(F.lit(m)) for i in range(STRETCH)]) for m in _masks()]
+    signed = hashed.groupBy("key").agg(*[F.min(v).alias(f"m{i}") for i, v in enumerate(least)])
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
     return signed.select("key", F.array(*bands).alias("bands"))
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, like: int) -> DataFrame:
-    """Pairs ``u, v`` of lines that are alike."""
-    left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"))
-    right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"))
-    both = pairs.join(left, "u").join(right, "v")
+def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs ``u, v`` of lines with ``common`` and ``every``: the sizes of their sets' intersection and union."""
+    left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"), F.col("n").alias("na"))
+    right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"), F.col("n").alias("nb"))
+    common = F.size(F.array_intersect(shingles(F.col("a")), shingles(F.col("b"))))
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", "na", "nb", common.alias("common"))
+    return both.select("u", "v", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("every"))
 
-    def alike(s: Column) -> Column:
-        return let(F.size(F.array_intersect(s["a"], s["b"])), lambda c: 100 * c >= like * (F.size(s["a"]) + F.size(s["b"]) - c))
 
-    sets = F.struct(F.array_distinct(shingles(F.col("a"))).alias("a"), F.array_distinct(shingles(F.col("b"))).alias("b"))
-    return both.where(let(sets, alike)).select("u", "v")
+def _shareable(labels: DataFrame, texts: DataFrame) -> DataFrame:
+    """``key, m``: how many shingles of a line stand in a line of another label too; lines without any are left out.
+
+    Shingles go by a hash; where two clash, the number is larger, never smaller.
+    """
+    every = F.explode(F.array_distinct(shingles(F.col("folded"))))
+    tokens = labels.join(texts, "key").select("key", "label", every.alias("shingle")).withColumn("shingle", F.xxhash64("shingle"))
+    spread = tokens.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("shingle")
+    return tokens.join(spread, "shingle", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
 
 
 def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
     """``key, component`` of every line (``key, folded``) that is like another; no empty lines are to be passed."""
     signed = settle(signatures(lines))
     banded = signed.select("key", F.explode("bands").alias("band"))
-    shared = banded.groupBy("band").agg(F.min("key").alias("head"), F.max("key").alias("other")).where("head != other")
-    members = settle(banded.join(shared.select("band", "head"), "band"))
-    release(signed)
+    # Most bands hold one line: they are counted, and only the others move with their lines.
+    shared = settle(banded.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("band"))
+    met = settle(rows_near(banded, shared, "band", SIEVE).join(shared, "band"))
+    release(signed, shared)
+    members = settle(met.join(met.groupBy("band").agg(F.min("key").alias("head")), "band"))
+    release(met)
 
     wanted = settle(members.select("key").distinct())
     near = rows_near(lines.select("key", "folded"), wanted, "key", SIEVE)
-    texts = settle(near.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
+    texts = near.join(wanted, "key", "left_semi").dropDuplicates(["key"])
+    texts = settle(texts.withColumn("n", F.size(F.array_distinct(shingles(F.col("folded"))))))
     star = members.where("key != head").select(F.col("key").alias("u"), F.col("head").alias("v")).distinct()
-    links = settle(_verify(star, texts, like))
+    star = settle(_compared(star, texts))
+    linked = f"100 * common >= {like} * every"
+    links = settle(star.where(linked).select("u", "v"))
     label = settle(components(links))
 
-    known = members.join(label.withColumnRenamed("node", "key"), "key", "left")
-    known = known.select("band", "key", F.coalesce("component", "key").alias("label"))
+    known = members.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("component", "key"))
     mixed = known.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("band")
-    open_ = settle(known.join(mixed, "band"))
-    a, b = open_.alias("a"), open_.alias("b")
-    rest = a.join(b, F.expr("a.band = b.band AND a.label < b.label")).select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct()
-    more = settle(_verify(rest, texts, like))
+    # One minus similarity is a metric: lines whose distances to the head differ by more are not alike.
+    far = star.select(F.col("u").alias("key"), F.col("v").alias("head"), (1 - F.col("common") / F.col("every")).alias("far"))
+    open_ = settle(known.join(mixed, "band").join(far, ["key", "head"], "left").select("band", "key", "label", F.coalesce("far", F.lit(0.0)).alias("far")))
+    # Nor are lines with too few shingles that stand outside their own component.
+    able = _shareable(open_.select("key", "label").distinct(), texts.select("key", "folded")).join(texts.select("key", "n"), "key")
+    able = settle(open_.join(able.where(f"100 * m >= {like} * n"), "key"))
+    a, b = able.alias("a"), able.alias("b")
+    could = F.expr(f"a.band = b.band AND a.label < b.label AND {100 + like} * least(a.m, b.m) >= {like} * (a.n + b.n)")
+    could &= F.abs(F.col("a.far") - F.col("b.far")) <= 1 - like / 100 + 1e-9
+    rest = settle(a.join(b, could).select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct())
+    more = settle(_compared(rest, texts).where(linked).select("u", "v"))
+    release(members, wanted, texts, star, open_, able, rest)
     return components(links.union(more)).withColumnRenamed("node", "key")
 
 

@@ -252,6 +252,26 @@ def test_links_follow_shingles_at_every_character(spark):
     assert len(want) > 150 and got.items() <= want.items() and len(want) - len(got) <= 4
 
 
+def test_unlike_variants_of_a_line_are_not_compared_in_pairs(spark, monkeypatch):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    common = "".join(rng.choice(letters) for _ in range(120))
+    lines = [common + "".join(rng.choice(letters) for _ in range(50)) for _ in range(60)]
+    lines += [lines[0] + "x", lines[7][:-1]]
+    asked, compared = [], ld._compared
+
+    def counted(pairs, texts):
+        asked.append(pairs.count())
+        return compared(pairs, texts)
+
+    monkeypatch.setattr(ld, "_compared", counted)
+    df = spark.createDataFrame(list(enumerate(lines)), "key long, folded string")
+    got = {r.key: r.component for r in ld.line_components(df).collect()}
+    assert got.items() <= {0: 0, 60: 0, 7: 7, 61: 7}.items() and len(got) >= 2
+    # Heads meet their bands' lines; of the rest only pairs that could be alike are left.
+    assert 0 < asked[0] <= ld.BANDS * len(lines) and asked[1] <= 6
+
+
 def test_lines_of_odd_rows_and_native_plan(spark, odd, none):
     docs = odd.drop("key", "at", "line", "node", "label")
     got = ld.dedup_lines(docs)
