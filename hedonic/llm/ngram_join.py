@@ -55,6 +55,8 @@ PER_HIT = 40
 #: The sketch has 2**SKETCH_BITS counters.
 SKETCH_BITS = 20
 LANES = 64
+#: Keys of more rows than this are crowded; their sets' differences from the leader are counted before pairs are formed.
+CROWD = 32
 CACHED_WORDS = 200_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -229,6 +231,33 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(check, "u long, v long, common long, every long")
 
 
+def _unlike(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, head, token``: the n-grams that only one of the two has."""
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, head, a, b in zip(*[batch.column(c).to_pylist() for c in ("node", "head", "a", "b")], strict=True):
+                found = _signed(np.setxor1d(ngram_set(a), ngram_set(b), assume_unique=True))
+                ends = [pa.array(np.full(len(found), x), pa.int64()) for x in (node, head)]
+                yield pa.RecordBatch.from_arrays([*ends, pa.array(found, pa.int64())], names=["node", "head", "token"])
+
+    left = texts.select("node", F.col("text").alias("a"))
+    right = texts.select(F.col("node").alias("head"), F.col("text").alias("b"))
+    return pairs.join(left, "node").join(right, "head").select("node", "head", "a", "b").mapInArrow(differ, "node long, head long, token long")
+
+
+def _echoed(open_: DataFrame, texts: DataFrame) -> DataFrame:
+    """``node, head, echoed``: how many n-grams that tell a node from its leader also tell one of another label from it.
+
+    Only for nodes in crowded keys that are not too far from the leader.
+    """
+    crowded = open_.groupBy("key").agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > CROWD).select("key")
+    pairs = settle(open_.where("node != head AND far <= 0.5").join(crowded, "key").select("node", "head", "label").distinct())
+    tokens = settle(_unlike(pairs.select("node", "head"), texts).join(pairs, ["node", "head"]))
+    spread = tokens.groupBy("head", "token").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("head", "token")
+    echoes = tokens.join(spread, ["head", "token"], "left_semi").groupBy("node", "head").agg(F.count(F.lit(1)).alias("echoed"))
+    return pairs.join(echoes, ["node", "head"], "left").select("node", "head", F.coalesce("echoed", F.lit(0)).alias("echoed"))
+
+
 def _linked(verified: DataFrame) -> DataFrame:
     return verified.where(100 * F.col("common") >= PERCENT * F.col("every")).select("u", "v")
 
@@ -238,6 +267,22 @@ def _fits(a: str, b: str):
     return (100 * F.least(a, b) >= PERCENT * F.greatest(a, b))
 
 
+def _meeting(open_: DataFrame) -> DataFrame:
+    """``u, v, n, m, i, j`` of nodes of different labels in a key: sizes and places, without pairs that cannot link."""
+    a, b = open_.alias("a"), open_.alias("b")
+    most = "least(a.before, b.before) + 1 + least(a.n - a.at, b.n - b.at) - 1"
+    common = f"ceil({PERCENT} * (a.n + b.n) / {100 + PERCENT})"
+    fits = f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)"
+    close = f"coalesce(abs(a.far - b.far) <= {1 - PERCENT / 100 + 1e-9}, true)"
+    # Two sets differ where just one of them differs from the leader, and may differ in a ninth of their sizes' sum.
+    less = f"coalesce({100 + PERCENT} * (a.apart + b.apart - 2 * least(a.echoed, b.echoed)) <= {100 - PERCENT} * (a.n + b.n), true)"
+    met = a.join(b, F.expr(f"a.key = b.key AND a.label < b.label AND {fits} AND {close} AND {less} AND (a.at < 0 OR {most} >= {common})"))
+    return met.select(
+        F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n"), F.col("b.n").alias("m"),
+        F.col("a.at").alias("i"), F.col("b.at").alias("j"),
+    )
+
+
 def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -276,27 +321,20 @@ def ngram_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = _linked(verified)
     label = settle(components(links))
 
-    # What is left: pairs of different components that share a key.  Entries of a set that
-    # no other set lists cannot be common to a pair whose shared key comes later in both.
-    earlier = F.row_number().over(Window.partitionBy("node", F.col("at") < 0).orderBy("at")) - 1
-    known = shared.select("key", "node", "n", "at", "head", earlier.alias("before")).join(label, "node", "left")
+    # What is left: pairs of different components that share a key.
+    known = shared.select("key", "node", "n", "at", "head").join(label, "node", "left")
     known = known.withColumn("label", F.coalesce("component", "node")).drop("component")
     # Jaccard distances obey the triangle inequality: two sets whose distances to their
     # key's leader differ by more than a link allows cannot link.
-    far = verified.select(F.col("u").alias("node"), F.col("v").alias("head"), (1 - F.col("common") / F.col("every")).alias("far"))
-    known = known.join(far, ["node", "head"], "left").withColumn("far", F.when(F.col("node") == F.col("head"), 0.0).otherwise(F.col("far")))
+    apart = F.col("every") - F.col("common")
+    far = verified.select(F.col("u").alias("node"), F.col("v").alias("head"), (apart / F.col("every")).alias("far"), apart.alias("apart"))
+    known = known.join(far, ["node", "head"], "left").withColumns({c: F.when(F.col("node") == F.col("head"), 0).otherwise(F.col(c)) for c in ("far", "apart")})
     mixed = known.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("key")
-    open_ = settle(known.join(mixed, "key"))
-    a, b = open_.alias("a"), open_.alias("b")
-    most = "least(a.before, b.before) + 1 + least(a.n - a.at, b.n - b.at) - 1"
-    common = f"ceil({PERCENT} * (a.n + b.n) / {100 + PERCENT})"
-    fits = f"100 * least(a.n, b.n) >= {PERCENT} * greatest(a.n, b.n)"
-    close = f"coalesce(abs(a.far - b.far) <= {1 - PERCENT / 100 + 1e-9}, true)"
-    met = a.join(b, F.expr(f"a.key = b.key AND a.label < b.label AND {fits} AND {close} AND (a.at < 0 OR {most} >= {common})"))
-    met = met.select(
-        F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.n").alias("n"), F.col("b.n").alias("m"),
-        F.col("a.at").alias("i"), F.col("b.at").alias("j"),
-    )
+    # Entries of a set that no set of another component lists cannot be common to a pair whose shared key comes later in both.
+    earlier = F.row_number().over(Window.partitionBy("node", F.col("at") < 0).orderBy("at")) - 1
+    open_ = settle(known.join(mixed, "key").withColumn("before", earlier))
+    open_ = settle(open_.join(_echoed(open_, texts), ["node", "head"], "left").withColumn("echoed", F.coalesce("echoed", "apart")))
+    met = _meeting(open_)
     need = F.ceil(PERCENT * (F.col("n") + F.col("m")) / (100 + PERCENT))
     # Subset keys (at < 0) say everything.  Of list entries a pair must share enough, and
     # what follows its last shared entry must be enough for the rest.

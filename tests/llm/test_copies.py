@@ -136,6 +136,20 @@ def test_an_id_with_several_texts_links_by_each(spark):
     assert got == sorted([(5, 5)] * 3 + [(8, 5), (9, 5), (0, None), (2, 2)], key=str)
 
 
+def test_a_family_on_both_sides_of_the_threshold_meets_in_few_pairs(spark, monkeypatch):
+    rows = list(enumerate(family(31, 250, 150, 9)))
+    want, made, meeting = brute_components(rows), [], nj._meeting
+
+    def counted(open_):
+        made.append(meeting(open_).count())
+        return meeting(open_)
+
+    monkeypatch.setattr(nj, "_meeting", counted)
+    assert joined(spark.createDataFrame(rows, "doc_id long, text string")) == want
+    # Copies too far from the leader share keys with all others; their differences tell that they link with none.
+    assert made[0] <= 20 * len(rows) < len(rows) ** 2 // 10
+
+
 def test_boundary_follows_cost():
     assert nj.choose_boundary({10: (5, 10**9)}) > 10
     assert nj.choose_boundary({16: (10**6, 1)}) <= 16
