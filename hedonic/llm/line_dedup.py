@@ -48,7 +48,7 @@ STRETCH, BITS = 8, 20
 #: Minima that stand side by side in a number, a bit apart.
 FIELDS = 3
 #: Lines of at least ``LONG`` shingles are compared if so many of their minima are the same.  Two of similarity 0.8 that
-#: share a band have 49 in common in the mean; with a chance of about two in ten thousand they have fewer than that.
+#: share a band have 49 in common in the mean; with a chance of 1.8 in ten thousand (independent minima) fewer than that.
 LONG, AGREE = 64, 38
 
 #: Every shingle of a line.
