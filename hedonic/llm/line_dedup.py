@@ -12,7 +12,8 @@ first of the document with the smallest id.
 Equal lines are one line from the start, through a partial aggregate by their 64-bit hash:
 a line found in a third of all documents is one row per task.  A family of near lines shares
 its bands; its pairs are never listed.  Each band first links its lines to its smallest
-line; then pairs are formed only between components that still differ inside a band.
+line, its head; then pairs are formed only between components that still differ inside a band,
+and only of lines whose differences from the head, which are few, let them be alike.
 
 Every line that is not empty takes part, in scripts with blanks or without: one of fewer than
 ``SHINGLE`` characters is a single shingle, and so like its equals only.  Empty lines stay.  Everything runs as column expressions: for signatures, lines are cut into stretches
@@ -28,7 +29,7 @@ from __future__ import annotations
 import random
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hedonic.llm.common import let, query, rows_near, rows_outside, table, unused
@@ -45,12 +46,6 @@ SIEVE = 21
 #: Shingles that start in one stretch of a line, and the bits of their hashes.
 STRETCH, BITS = 8, 20
 
-#: Minima that stand side by side in a number, a bit apart.
-FIELDS = 3
-#: Lines of at least ``LONG`` shingles are compared if so many of their minima are the same.  Two of similarity 0.8 that
-#: share a band have 49 in common in the mean; with a chance of 1.8 in ten thousand (independent minima) fewer than that.
-LONG, AGREE = 64, 38
-
 #: Every shingle of a line.
 SHINGLES = r"(?s)(?=(.{%d}|\A.{1,%d}\z))." % (SHINGLE, SHINGLE - 1)
 #: Every stretch, with the characters of its last shingle.
@@ -65,20 +60,6 @@ def _masks() -> list[int]:
     return [draw.getrandbits(BITS) for _ in range(ROWS * BANDS)]
 
 
-def _packed(values: list[Column]) -> Column:
-    """Numbers of ``BITS`` bits, ``FIELDS`` to each of an array."""
-    some = [values[at : at + FIELDS] for at in range(0, len(values), FIELDS)]
-    sides = [[F.shiftleft(v.cast("long"), (BITS + 1) * i) for i, v in enumerate(part)] for part in some]
-    return F.array(*[reduce(lambda a, b: a.bitwiseOR(b), part) for part in sides])
-
-
-def _agreeing(a: str, b: str) -> Column:
-    """How many minima of two packed arrays are the same: a difference of nothing leaves the bit above a field."""
-    upper = F.lit(sum(1 << (BITS + 1) * i + BITS for i in range(FIELDS)))
-    pairs = [F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))) for i in range(ROWS * BANDS // FIELDS)]
-    return reduce(lambda x, y: x + y, [F.bit_count((upper - p).bitwiseAND(upper)) for p in pairs])
-
-
 def folded(line: Column) -> Column:
     def fold(low: Column) -> Column:
         # Few lines need the pattern, and to see which is cheap.
@@ -105,7 +86,7 @@ def shingles(line: Column) -> Column:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """``key, mins, bands`` of every distinct line of ``lines`` (``key, folded``); ``mins`` holds the minima, packed."""
+    """``key, bands`` of every distinct line of ``lines`` (``key, folded``)."""
     parts = lines.select("key", F.explode(F.regexp_extract_all(F.col("folded"), F.lit(STRETCHES), F.lit(1))).alias("part"))
     # So many bits tell a line's shingles apart, and minima of them are short.
     hashes = [F.hash(F.substring("part", i + 1, SHINGLE)).bitwiseAND((1 << BITS) - 1) for i in range(STRETCH)]
@@ -116,69 +97,62 @@ def signatures(lines: DataFrame) -> DataFrame:
     least = [F.least(*[F.col(f"h{i}").bitwiseXOR(F.lit(m)) for i in range(STRETCH)]) for m in _masks()]
     signed = hashed.groupBy("key").agg(*[F.min(v).alias(f"m{i}") for i, v in enumerate(least)])
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    mins = _packed([F.col(f"m{i}") for i in range(ROWS * BANDS)])
-    return signed.select("key", mins.alias("mins"), F.array(*bands).alias("bands"))
+    return signed.select("key", F.array(*bands).alias("bands"))
 
 
 def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs ``u, v`` of lines with ``common`` and ``every``: the sizes of their sets' intersection and union."""
-    left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"), F.col("n").alias("na"))
-    right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"), F.col("n").alias("nb"))
-    common = F.size(F.array_intersect(shingles(F.col("a")), shingles(F.col("b"))))
-    both = pairs.join(left, "u").join(right, "v").select("u", "v", "na", "nb", common.alias("common"))
-    return both.select("u", "v", "common", (F.col("na") + F.col("nb") - F.col("common")).alias("every"))
+    """Pairs ``u, v`` of lines with ``common``, ``nu``, ``nv`` and ``apart``.
+
+    These are the sizes of their sets' intersection and of the sets, and short hashes of what stands in one of them only.
+    """
+    left = texts.select(F.col("key").alias("u"), shingles(F.col("folded")).alias("a"))
+    right = texts.select(F.col("key").alias("v"), shingles(F.col("folded")).alias("b"))
+    sides = [F.size(F.array_intersect("a", "b")).alias("common"), F.array_except("a", "b").alias("x"), F.array_except("b", "a").alias("y")]
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", *sides)
+    apart = F.array_distinct(F.transform(F.concat("x", "y"), lambda s: F.xxhash64(s).bitwiseAND(0x7FFF).cast("short")))
+    sizes = [(F.size(s) + F.col("common")).alias(n) for s, n in (("x", "nu"), ("y", "nv"))]
+    return both.select("u", "v", "common", *sizes, apart.alias("apart"))
 
 
-def _shareable(labels: DataFrame, texts: DataFrame) -> DataFrame:
-    """``key, m``: how many shingles of a line stand in a line of another label too; lines without any are left out.
+def _may_link(a: str, b: str, like: int) -> Column:
+    """Whether two lines of a band can be alike, by what sets each (``n, apart``) apart from the band's head.
 
-    Shingles go by a hash; where two clash, the number is larger, never smaller.
+    What sets the two apart is what stands in one of these sets only; hashes that clash can hide some of it, never add to it.
     """
-    every = F.explode(F.array_distinct(shingles(F.col("folded"))))
-    tokens = labels.join(texts, "key").select("key", "label", every.alias("shingle")).withColumn("shingle", F.xxhash64("shingle"))
-    spread = tokens.groupBy("shingle").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("shingle")
-    return tokens.join(spread, "shingle", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    every, x, y = F.col(f"{a}.n") + F.col(f"{b}.n"), F.col(f"{a}.apart"), F.col(f"{b}.apart")
+    most, each = (100 - like) * every, 100 + like
+    sizes = (each * F.abs(F.col(f"{a}.n") - F.col(f"{b}.n")) <= most) & (each * F.abs(F.size(x) - F.size(y)) <= most)
+    return sizes & (each * (F.size(x) + F.size(y) - 2 * F.size(F.array_intersect(x, y))) <= most)
 
 
 def line_components(lines: DataFrame, like: int = LIKE) -> DataFrame:
     """``key, component`` of every line (``key, folded``) that is like another; no empty lines are to be passed."""
-    signed = settle(signatures(lines))
-    banded = signed.select("key", F.explode("bands").alias("band"))
-    # Most bands hold one line: they are counted, and only the others move with their lines.
-    shared = settle(banded.groupBy("band").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("band"))
-    met = settle(rows_near(banded, shared, "band", SIEVE).join(shared, "band"))
-    release(shared)
-    members = settle(met.join(met.groupBy("band").agg(F.min("key").alias("head")), "band"))
-    release(met)
+    inside = Window.partitionBy("band")
+    banded = signatures(lines).select("key", F.explode("bands").alias("band"))
+    # Most bands hold one line, which goes.
+    banded = banded.select("band", "key", F.min("key").over(inside).alias("head"), F.max("key").over(inside).alias("last"))
+    members = settle(banded.where("head != last").drop("last"))
 
     wanted = settle(members.select("key").distinct())
     near = rows_near(lines.select("key", "folded"), wanted, "key", SIEVE)
-    texts = near.join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    texts = settle(texts.withColumn("n", F.size(F.array_distinct(shingles(F.col("folded"))))))
+    texts = settle(near.join(wanted, "key", "left_semi").dropDuplicates(["key"]))
     star = members.where("key != head").select(F.col("key").alias("u"), F.col("head").alias("v")).distinct()
     star = settle(_compared(star, texts))
-    linked = f"100 * common >= {like} * every"
+    linked = f"{100 + like} * common >= {like} * (nu + nv)"
     links = settle(star.where(linked).select("u", "v"))
     label = settle(components(links))
 
     known = members.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("component", "key"))
     mixed = known.groupBy("band").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a != b").select("band")
-    # One minus similarity is a metric: lines whose distances to the head differ by more are not alike.
-    far = star.select(F.col("u").alias("key"), F.col("v").alias("head"), (1 - F.col("common") / F.col("every")).alias("far"))
-    open_ = settle(known.join(mixed, "band").join(far, ["key", "head"], "left").select("band", "key", "label", F.coalesce("far", F.lit(0.0)).alias("far")))
-    # Nor are lines with too few shingles that stand outside their own component.
-    able = _shareable(open_.select("key", "label").distinct(), texts.select("key", "folded")).join(texts.select("key", "n"), "key")
-    able = settle(able.where(f"100 * m >= {like} * n"))
-    mins = rows_near(signed.select("key", "mins"), able, "key", SIEVE)
-    able = settle(open_.join(able.join(mins, "key"), "key"))
-    a, b = able.alias("a"), able.alias("b")
-    could = F.expr(f"a.band = b.band AND a.label < b.label AND {100 + like} * least(a.m, b.m) >= {like} * (a.n + b.n)")
-    could &= F.abs(F.col("a.far") - F.col("b.far")) <= 1 - like / 100 + 1e-9
-    if like >= LIKE:
-        could &= (F.least("a.n", "b.n") < LONG) | (_agreeing("a.mins", "b.mins") >= AGREE)
-    rest = settle(a.join(b, could).select(F.col("a.key").alias("u"), F.col("b.key").alias("v")).distinct())
+    about = star.select(F.col("u").alias("key"), F.col("v").alias("head"), F.col("nu").alias("n"), "apart")
+    heads = star.groupBy(F.col("v").alias("key")).agg(F.col("v").alias("head"), F.max("nv").alias("n"))
+    about = about.union(heads.withColumn("apart", F.array().cast("array<smallint>")))
+    open_ = settle(known.join(mixed, "band").join(about, ["key", "head"]).select("band", "key", "label", "n", "apart"))
+    pair = F.expr("a.band = b.band AND a.label < b.label") & _may_link("a", "b", like)
+    rest = open_.alias("a").join(open_.alias("b"), pair).select(F.col("a.key").alias("u"), F.col("b.key").alias("v"))
+    rest = settle(rest.distinct())
     more = settle(_compared(rest, texts).where(linked).select("u", "v"))
-    release(signed, members, wanted, texts, star, open_, able, rest)
+    release(members, wanted, texts, star, open_, rest)
     return components(links.union(more)).withColumnRenamed("node", "key")
 
 

@@ -286,6 +286,62 @@ def test_unlike_variants_of_a_line_are_not_compared_in_pairs(spark, monkeypatch)
     assert 0 < asked[0] <= ld.BANDS * len(lines) and asked[1] <= 6
 
 
+def edited(seed, n, length, edits):
+    """Copies of a line of letters with some characters replaced: similarities on both sides of the threshold."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    base = [rng.choice(letters) for _ in range(length)]
+    out = []
+    for _ in range(n):
+        line = list(base)
+        for _ in range(rng.randrange(1, edits + 1)):
+            line[rng.randrange(length)] = rng.choice(letters)
+        out.append("".join(line))
+    return out
+
+
+def test_a_family_of_lines_on_both_sides_of_the_threshold_meets_in_few_pairs(spark, monkeypatch):
+    lines = list(dict.fromkeys(edited(3, 200, 300, 9)))
+    asked, compared, sieved, near = [], ld._compared, [], ld.rows_near
+
+    def counted(pairs, texts):
+        asked.append({tuple(sorted(r)) for r in pairs.select("u", "v").collect()})
+        return compared(pairs, texts)
+
+    def seen(df, *rest):
+        sieved.append(df.columns)
+        return near(df, *rest)
+
+    monkeypatch.setattr(ld, "_compared", counted)
+    monkeypatch.setattr(ld, "rows_near", seen)
+    got = {r.key: r.component for r in ld.line_components(spark.createDataFrame(list(enumerate(lines)), "key long, folded string")).collect()}
+    links = brute_links({i: full(f) for i, f in enumerate(lines)})
+    forest = Forest()
+    for a, b in links:
+        forest.union(a, b)
+    assert sum(got.get(i) != forest.find(i) for i in list(forest)) <= 2 and set(got) <= set(forest)
+    # After the heads, what sets lines apart from their head tells the pairs that link; few others are read.
+    assert len(asked) == 2 and len(asked[1]) > 50 and len(asked[1] - links) <= 0.1 * len(asked[1])
+    # Bands have no sieve of all shared ones, which lets more and more strangers through.
+    assert not any("band" in columns for columns in sieved)
+
+
+def test_differences_from_a_head_never_hide_a_link(spark):
+    lines = edited(5, 40, 120, 4) + edited(6, 20, 30, 2) + ["日本語の長い文章です" * 3, "日本語の長い文章です" * 2 + "x", "tiny"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "key long, folded string")
+    for head in (0, 45):
+        pairs = spark.range(len(lines)).where(f"id != {head}").select(F.col("id").alias("u"), F.lit(head).cast("long").alias("v"))
+        rows = ld._compared(pairs, texts)
+        for r in rows.collect():
+            a, b = full(lines[r.u]), full(lines[r.v])
+            assert (r.common, r.nu, r.nv) == (len(a & b), len(a), len(b)) and len(r.apart) <= len(a ^ b)
+        about = rows.select(F.col("u").alias("key"), F.col("nu").alias("n"), "apart")
+        both = about.alias("a").join(about.alias("b"), F.expr("a.key < b.key") & ld._may_link("a", "b", ld.LIKE))
+        may = {tuple(r) for r in both.select("a.key", "b.key").collect()}
+        want = brute_links({i: full(f) for i, f in enumerate(lines) if i != head})
+        assert want <= may and len(may) <= len(want) + 5
+
+
 def test_lines_of_odd_rows_and_native_plan(spark, odd, none):
     docs = odd.drop("key", "at", "line", "node", "label")
     got = ld.dedup_lines(docs)
