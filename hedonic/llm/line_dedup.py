@@ -105,10 +105,12 @@ def _compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
     These are the sizes of their sets' intersection and of the sets, and short hashes of what stands in one of them only.
     """
-    left = texts.select(F.col("key").alias("u"), shingles(F.col("folded")).alias("a"))
-    right = texts.select(F.col("key").alias("v"), shingles(F.col("folded")).alias("b"))
+    left = texts.select(F.col("key").alias("u"), F.col("folded").alias("a"))
+    right = texts.select(F.col("key").alias("v"), F.col("folded").alias("b"))
     sides = [F.size(F.array_intersect("a", "b")).alias("common"), F.array_except("a", "b").alias("x"), F.array_except("b", "a").alias("y")]
-    both = pairs.join(left, "u").join(right, "v").select("u", "v", *sides)
+    # Lines are moved, not their shingles.
+    both = pairs.join(left, "u").join(right, "v").select("u", "v", shingles(F.col("a")).alias("a"), shingles(F.col("b")).alias("b"))
+    both = both.select("u", "v", *sides)
     apart = F.array_distinct(F.transform(F.concat("x", "y"), lambda s: F.xxhash64(s).bitwiseAND(0x7FFF).cast("short")))
     sizes = [(F.size(s) + F.col("common")).alias(n) for s, n in (("x", "nu"), ("y", "nv"))]
     return both.select("u", "v", "common", *sizes, apart.alias("apart"))
