@@ -331,7 +331,7 @@ def test_differences_from_a_head_never_hide_a_link(spark):
     texts = spark.createDataFrame(list(enumerate(lines)), "key long, folded string")
     for head in (0, 45):
         pairs = spark.range(len(lines)).where(f"id != {head}").select(F.col("id").alias("u"), F.lit(head).cast("long").alias("v"))
-        rows = ld._compared(pairs, texts)
+        rows = ld.settle(ld._compared(pairs, texts))
         for r in rows.collect():
             a, b = full(lines[r.u]), full(lines[r.v])
             assert (r.common, r.nu, r.nv) == (len(a & b), len(a), len(b)) and len(r.apart) <= len(a ^ b)
